@@ -78,10 +78,8 @@ def grouped_batches(
 def collate(batches: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fold each batch into one row of arrays in slot order; a batch has ``batch_size`` rows."""
     items = F.array_sort(F.collect_list(F.struct("slot", *columns)))
-    return batches.groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[F.transform(items, lambda r, c=c: r[c]).alias(c) for c in columns],
-    )
+    folded = batches.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"), items.alias("_items"))
+    return folded.select("batch_id", "n_rows", *[F.col("_items")[c].alias(c) for c in columns])
 
 
 def collate_with(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator, Sequence
 from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -50,12 +52,13 @@ def predict(
     kept = list(keep)
     features = list(features)
     schema = T.StructType([*[df.schema[c] for c in kept], *out.fields])
-    shipped = df.sparkSession.sparkContext.broadcast(model)
+    shipped = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
     names = out.fieldNames()
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer = pickle.loads(shipped.value)
         for frame in frames:
-            scored = normalise_output(shipped.value.predict(frame[features]), names)
+            scored = normalise_output(scorer.predict(frame[features]), names)
             kept_part = frame[kept].reset_index(drop=True)
             yield pd.concat([kept_part, scored.reset_index(drop=True)], axis=1)
 

@@ -12,10 +12,13 @@ HOT_KEYS = 256
 SALTS = 64
 
 
-def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    return reduce(
-        lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs]
-    )
+def _same(keys: Sequence[str], left: str, right: str) -> Column:
+    tests = [F.col(f"{left}{k}").eqNullSafe(F.col(f"{right}{k}")) for k in keys]
+    return reduce(lambda a, b: a & b, tests)
+
+
+def _renamed(df: DataFrame, keys: Sequence[str], prefix: str, *more: Column) -> DataFrame:
+    return df.select(*[F.col(k).alias(f"{prefix}{k}") for k in keys], *more)
 
 
 def lookup(
@@ -35,40 +38,34 @@ def lookup(
     """
     keys = list(keys)
     values = [c for c in dim.columns if c not in keys]
+    entry = F.struct(F.lit(True).alias("found"), *values)
     if weight is not None:
         top = dim.orderBy(F.col(weight).desc()).limit(HOT_KEYS)
+        hot = _renamed(top, keys, "_h_", entry.alias("_hot"))
     else:
-        heavy = (
+        heavy = _renamed(
             df.groupBy(*keys)
             .agg(F.count(F.lit(1)).alias("_n"))
             .orderBy(F.col("_n").desc())
-            .limit(HOT_KEYS)
-            .select(*[F.col(k).alias(f"_t_{k}") for k in keys])
+            .limit(HOT_KEYS),
+            keys,
+            "_h_",
         )
-        top = dim.join(F.broadcast(heavy), _same(dim, heavy, [(k, f"_t_{k}") for k in keys]), "left_semi")
-    hot = top.select(
-        *[F.col(k).alias(f"_h_{k}") for k in keys],
-        F.struct(F.lit(True).alias("found"), *values).alias("_hot"),
-    )
-    cold = dim.select(
-        *[F.col(k).alias(f"_c_{k}") for k in keys],
-        F.lit(0).alias("_c_salt"),
-        F.struct(F.lit(True).alias("found"), *values).alias("_cold"),
-    )
+        known = _renamed(dim, keys, "_m_", entry.alias("_known")).join(
+            F.broadcast(heavy), _same(keys, "_m_", "_h_"), "left_semi"
+        )
+        found = F.coalesce(F.col("_known.found"), F.lit(False)).alias("found")
+        hot = heavy.join(F.broadcast(known), _same(keys, "_h_", "_m_"), "left").select(
+            *[f"_h_{k}" for k in keys],
+            F.struct(found, *[F.col("_known")[v].alias(v) for v in values]).alias("_hot"),
+        )
+    cold = _renamed(dim, keys, "_c_", F.lit(0).alias("_c_salt"), entry.alias("_cold"))
     spread = [c for c in df.columns if c not in keys] or keys
-    first = df.join(F.broadcast(hot), _same(df, hot, [(k, f"_h_{k}") for k in keys]), "left")
-    first = first.withColumn(
-        "_salt",
-        F.when(F.col("_hot").isNull(), 0).otherwise(
-            F.pmod(F.xxhash64(*[df[c] for c in spread]), F.lit(SALTS)).cast("int") + 1
-        ),
-    ).drop(*[f"_h_{k}" for k in keys])
-    both = first.join(
-        cold,
-        _same(first, cold, [(k, f"_c_{k}") for k in keys])
-        & (first["_salt"] == cold["_c_salt"]),
-        "left",
+    salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int") + 1
+    first = df.join(F.broadcast(hot), _same(keys, "", "_h_"), "left").withColumn(
+        "_salt", F.when(F.col("_hot").isNull(), 0).otherwise(salt)
     )
+    both = first.join(cold, _same(keys, "", "_c_") & (F.col("_salt") == F.col("_c_salt")), "left")
     hit = F.coalesce(F.col("_hot"), F.col("_cold"))
     if how == "inner":
         both = both.filter(hit["found"])

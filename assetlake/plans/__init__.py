@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ["quality", "access"]
+AREAS = ["quality", "access", "series", "metadata", "catalog"]
 
 
 def load_all() -> None:
