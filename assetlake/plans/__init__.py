@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ["quality", "access", "series", "metadata", "catalog", "sources", "lineage"]
+AREAS = ["quality", "access", "series", "metadata", "catalog", "sources", "lineage", "streaming"]
 
 
 def load_all() -> None:

@@ -21,10 +21,12 @@ def scan_concat(load):
     return builds.concat([first, second])
 
 
+_TABLES = ["customer", "orders", "lineitem", "part", "supplier", "events", "documents", "embeddings", "pages", "conversations"]
+
+
 @query("partition_manifest")
 def partition_manifest(load):
-    names = ["orders", "lineitem", "events", "documents"]
-    manifests = [files.partition_manifest(load.spark, [load.path(n)]) for n in names]
+    manifests = [files.partition_manifest(load.spark, [load.path(n)]) for n in _TABLES]
     return files.require_parquet(builds.concat(manifests))
 
 
