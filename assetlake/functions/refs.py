@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Reference syntax (fixed pattern).
@@ -13,46 +13,59 @@ REF_PATTERN = (
 PARTS = ["account", "project", "type", "name", "version", "build", "selector"]
 
 
-def _group(text: Column, index: int) -> Column:
-    return F.nullif(F.regexp_extract(text, REF_PATTERN, index), F.lit(""))
+# Groups kept from a match: account or project, project, type, name, version with and without
+# its colon, build, selector.
+GROUPS = (2, 4, 5, 6, 7, 8, 10, 12)
 
 
-def parse_ref(ref: Column, expected_type: str | None = None) -> Column:
-    """Struct of ``status`` and the parts; ``status`` is ``ok`` or says what is wrong."""
-    bare = ~F.contains(ref, F.lit("/"))
-    full = F.when(bare, F.concat(F.lit(f"{expected_type}/"), ref)).otherwise(ref) if expected_type else ref
-    first, second = _group(full, 2), _group(full, 4)
-    matched = full.rlike(REF_PATTERN)
-    kind = _group(full, 5)
-    version = F.when(_group(full, 7).isNotNull(), F.regexp_extract(full, REF_PATTERN, 8))
-    status = F.when(ref.isNull(), "missing reference")
+def _groups(ref: Column, expected_type: str | None) -> Column:
+    """All groups of the reference by one regular expression; a text that does not match comes back whole."""
+    if expected_type:
+        ref = F.when(F.contains(ref, F.lit("/")), ref).otherwise(F.concat(F.lit(f"{expected_type}/"), ref))
+    return F.split(F.regexp_replace(ref, REF_PATTERN, "\x01".join(f"${g}" for g in GROUPS)), "\x01")
+
+
+def parse_refs(
+    df: DataFrame,
+    column: str,
+    into: str,
+    expected_type: str | None = None,
+    account: str | None = None,
+    project: str | None = None,
+) -> DataFrame:
+    """Add the struct ``into``: ``status`` (``ok`` or what is wrong) and the parts of a reference.
+
+    A bare name gets ``expected_type``. With a default account or project, missing ones are
+    filled in, and a reference that still lacks one is a ``relative reference``.
+    """
+    groups = F.col("_groups")
+    first, second, kind, name, colon, version, number, selector = (
+        F.nullif(F.get(groups, F.lit(i)), F.lit("")) for i in range(len(GROUPS))
+    )
+    who = F.coalesce(F.when(second.isNotNull(), first), F.lit(account))
+    what = F.coalesce(second, first, F.lit(project))
+    status = F.when(F.col(column).isNull(), "missing reference")
     if expected_type is None:
-        status = status.when(bare, "full path or type needed")
-    status = status.when(~matched, "pattern mismatch")
+        status = status.when(~F.contains(column, F.lit("/")), "full path or type needed")
+    status = status.when(F.size(groups) < len(GROUPS), "pattern mismatch")
     if expected_type is not None:
         status = status.when(kind != expected_type, "type mismatch")
+    if account is not None or project is not None:
+        status = status.when(who.isNull() | what.isNull(), "relative reference")
     status = status.otherwise("ok")
-    ok = status == "ok"
     values = {
-        "account": F.when(second.isNotNull(), first),
-        "project": F.coalesce(second, first),
+        "account": who,
+        "project": what,
         "type": kind,
-        "name": _group(full, 6),
-        "version": version,
-        "build": _group(full, 10).try_cast("long"),
-        "selector": _group(full, 12),
+        "name": name,
+        "version": F.when(colon.isNotNull(), F.coalesce(version, F.lit(""))),
+        "build": number.try_cast("long"),
+        "selector": selector,
     }
-    return F.struct(status.alias("status"), *[F.when(ok, values[p]).alias(p) for p in PARTS])
-
-
-def with_defaults(parsed: Column, account: str | None, project: str | None) -> Column:
-    """Fill a missing account or project; still missing is status ``relative reference``."""
-    who = F.coalesce(parsed["account"], F.lit(account))
-    what = F.coalesce(parsed["project"], F.lit(project))
-    ok = parsed["status"] == "ok"
-    status = F.when(ok & (who.isNull() | what.isNull()), "relative reference").otherwise(parsed["status"])
-    filled = {"account": F.when(ok, who), "project": F.when(ok, what)}
-    return F.struct(status.alias("status"), *[filled.get(p, parsed[p]).alias(p) for p in PARTS])
+    ok = status == "ok"
+    parsed = F.struct(status.alias("status"), *[F.when(ok, values[p]).alias(p) for p in PARTS])
+    listed = df.withColumn("_groups", _groups(F.col(column), expected_type))
+    return listed.withColumn(into, parsed).drop("_groups")
 
 
 def _qualifier(ref: Column, tag: Column | None) -> Column:
@@ -61,8 +74,12 @@ def _qualifier(ref: Column, tag: Column | None) -> Column:
 
 
 def render_path(ref: Column, tag: Column | None = None, selector: bool = True) -> Column:
-    """``account/project/type/name:tag#selector``; a tag wins over version and build."""
-    base = F.concat_ws("/", ref["account"], ref["project"], ref["type"], ref["name"])
+    """``account/project/type/name:tag#selector``; a tag wins over version and build.
+
+    The path of a reference that was not understood is null.
+    """
+    joined = F.concat_ws("/", ref["account"], ref["project"], ref["type"], ref["name"])
+    base = F.when(ref["name"].isNotNull(), joined)
     path = F.concat(base, F.coalesce(F.concat(F.lit(":"), _qualifier(ref, tag)), F.lit("")))
     if selector:
         path = F.concat(path, F.coalesce(F.concat(F.lit("#"), ref["selector"]), F.lit("")))

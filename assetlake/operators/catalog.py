@@ -139,9 +139,8 @@ def resolve_refs(
     ``version.build`` that build. ``builds`` has the reference parts, ``version_no``,
     ``index``, ``status`` and ``build_id``.
     """
-    parsed = refs.with_defaults(refs.parse_ref(F.col(column), expected_type), account, project)
-    rows = df.withColumn("_ref", parsed)
-    path = F.when(F.col("_ref.status") == "ok", refs.render_path(F.col("_ref"), selector=False))
+    rows = refs.parse_refs(df, column, "_ref", expected_type, account, project)
+    path = refs.render_path(F.col("_ref"), selector=False)
     base = F.concat_ws("/", "account", "project", "type", "name")
     versioned = F.concat(base, F.lit(":"), F.col("version"))
     exact = F.concat(versioned, F.lit("."), F.col("index").cast("string"))

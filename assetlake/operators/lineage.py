@@ -27,7 +27,7 @@ def latest_definitions(definitions: DataFrame) -> DataFrame:
 
 def dependencies(definitions: DataFrame) -> DataFrame:
     """``(src, dst, internal)`` per declared dependency of the latest definitions."""
-    current = latest_definitions(definitions)
+    current = cut_lineage(latest_definitions(definitions), "definitions")
     declared = current.select(F.explode("depends_on").alias("src"), F.col("node").alias("dst")).distinct()
     nodes = current.select(F.col("node").alias("src"), F.lit(True).alias("_known"))
     return lookup(declared, nodes, ["src"]).select("src", "dst", F.col("_known").isNotNull().alias("internal"))
@@ -47,8 +47,9 @@ def lineage_levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     spark = nodes.sparkSession
     edges = cut_lineage(edges.select("src", "dst").distinct(), "edges")
     path = shared_dir(spark, "levels")
-    rounds_left = nodes.count() + 1
-    front = nodes.select("node").distinct().join(
+    nodes = cut_lineage(nodes.select("node").distinct(), "nodes")
+    total = nodes.count()
+    front = nodes.join(
         edges.select(F.col("dst").alias("node")).distinct(), "node", "left_anti"
     )
     level = 0
@@ -57,13 +58,16 @@ def lineage_levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         reached = spark.read.schema(front.schema).parquet(f"{path}/level={level}")
         if reached.isEmpty():
             break
-        if level > rounds_left:
+        if level > total:
             raise CycleError("the dependencies form a cycle")
         follow = edges.join(reached.select(F.col("node").alias("src")), "src", "left_semi")
         front = follow.select(F.col("dst").alias("node")).distinct()
         level += 1
     every = spark.read.schema(f"node {nodes.schema['node'].dataType.simpleString()}, level int").parquet(path)
-    return every.groupBy("node").agg(F.max("level").alias("level"))
+    levels = every.groupBy("node").agg(F.max("level").alias("level"))
+    if levels.count() != total:
+        raise CycleError("some assets depend on a cycle")
+    return levels
 
 
 def level_groups(levels: DataFrame, edges: DataFrame) -> DataFrame:

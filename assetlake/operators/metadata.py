@@ -31,26 +31,22 @@ def path_type(path: Column) -> Column:
     return F.when(ending.isin(VIDEO_SUFFIXES), VIDEO).when(ending.isin(IMAGE_SUFFIXES), IMAGE).otherwise(FILE)
 
 
-def _kind(text: Column) -> Column:
-    """Kind of a JSON text, from its first character."""
-    first = F.substring(text, 1, 1)
-    return (
-        F.when(F.try_parse_json(text).isNull(), "invalid")
-        .when(first == '"', "string")
-        .when(first == "[", "list")
-        .when(first == "{", "object")
-        .when(first.isin("t", "f"), "boolean")
-        .when(first == "n", "null")
-        .otherwise("number")
-    )
+def _kind(json: Column) -> Column:
+    """Kind of a valid JSON text, from its first character; null is ``invalid``.
+
+    The text is named once, so a filter on the kind computes it once.
+    """
+    kinds = {'"': "string", "[": "list", "{": "object", "t": "boolean", "f": "boolean", "n": "null", "?": "invalid"}
+    table = F.create_map(*[F.lit(v) for pair in kinds.items() for v in pair])
+    return F.coalesce(table[F.coalesce(F.substring(json, 1, 1), F.lit("?"))], F.lit("number"))
 
 
-def _plain(text: Column, kind: Column) -> Column:
+def _plain(kind: Column, json: Column, value: Column) -> Column:
     """Stored text of a JSON value: strings unquoted, booleans ``True`` / ``False``."""
     return (
-        F.when(kind == "string", F.variant_get(F.try_parse_json(text), "$", "string"))
-        .when(kind == "boolean", F.initcap(text))
-        .otherwise(text)
+        F.when(kind == "string", F.try_variant_get(value, "$", "string"))
+        .when(kind == "boolean", F.initcap(json))
+        .otherwise(json)
     )
 
 
@@ -58,42 +54,49 @@ def walk_objects(df: DataFrame, keep: Sequence[str], column: str, delimiter: str
     """All non-object values inside JSON objects of any depth.
 
     Returns ``keep``, the key path, the enclosing key (null at the top), the key, the kind and
-    the value as JSON text. Arrays stay whole. Each round opens one level; only values that
-    are objects themselves are written out for the next round, until there are none.
+    the plain text of the value. Arrays stay whole. Each round opens one level; only values
+    that are objects themselves are written out for the next round, until there are none.
+    Texts without a second brace are not opened in search of them.
     """
     level = df.select(
         *keep,
         F.lit(None).cast("string").alias("path"),
         F.lit(None).cast("string").alias("key"),
         F.trim(F.col(column)).alias("json"),
-    ).filter(_kind(F.col("json")) == "object")
-    found = None
-    while True:
-        entries = level.select(
+    )
+
+    def opened(texts: DataFrame) -> DataFrame:
+        entries = texts.filter(F.startswith("json", F.lit("{"))).select(
             *keep,
             F.col("path").alias("above"),
             F.col("key").alias("parent"),
-            F.explode(F.parse_json("json").cast("map<string,variant>")).alias("key", "v"),
-        ).select(
+            F.explode(F.try_parse_json("json").cast("map<string,variant>")).alias("key", "v"),
+        )
+        return entries.select(
             *keep,
             F.concat_ws(delimiter, "above", "key").alias("path"),
             "parent",
             "key",
+            "v",
             F.coalesce(F.to_json("v"), F.lit("null")).alias("json"),
         )
-        entries = entries.withColumn("kind", _kind(F.col("json")))
-        leaves = entries.filter(F.col("kind") != "object")
+
+    found = None
+    while True:
+        kind = _kind(F.col("json"))
+        leaves = opened(level).withColumn("kind", kind).filter(F.col("kind") != "object")
+        leaves = leaves.withColumn("text", _plain(F.col("kind"), F.col("json"), F.col("v"))).drop("v", "json")
         found = leaves if found is None else found.unionByName(leaves)
-        inner = entries.filter(F.col("kind") == "object").select(*keep, "path", "key", "json")
-        level = cut_lineage(inner, "json-level")
+        nested = level.filter(F.instr(F.substring("json", 2, 2**31 - 1), "{") > 0)
+        inner = opened(nested).filter(F.startswith("json", F.lit("{")))
+        level = cut_lineage(inner.select(*keep, "path", "key", "json"), "json-level")
         if level.isEmpty():
             return found
 
 
 def flatten_params(df: DataFrame, keep: Sequence[str], column: str, delimiter: str = "/") -> DataFrame:
     """``(keep, path, value)`` for every leaf of nested JSON objects; null becomes ``None``."""
-    kind = F.col("kind")
-    value = F.when(kind == "null", F.lit("None")).otherwise(_plain(F.col("json"), kind))
+    value = F.when(F.col("kind") == "null", "None").otherwise(F.col("text"))
     return walk_objects(df, keep, column, delimiter).select(*keep, "path", value.alias("value"))
 
 
@@ -113,15 +116,17 @@ def type_log_rows(df: DataFrame, keep: Sequence[str]) -> DataFrame:
         "category", "group_tag", bad_step.alias("bad_step"),
     )
     is_json = F.col("source") == "json"
-    rows = rows.withColumn("kind", F.when(is_json, _kind(F.col("json"))).otherwise("plain"))
-    flat = rows.filter((F.col("kind") != "object") | F.col("bad_step") | F.col("kind").isNull())
-    carried = [*keep, "tag", "category"]
-    inner = walk_objects(rows.filter((F.col("kind") == "object") & ~F.col("bad_step")), carried, "json")
+    rows = rows.withColumn("v", F.when(is_json, F.try_parse_json("json")))
+    valid = F.when(F.col("v").isNotNull(), F.col("json"))
+    rows = rows.withColumn("kind", F.when(is_json, _kind(valid)).otherwise("plain"))
+    rows = rows.withColumn("text", _plain(F.col("kind"), F.col("json"), F.col("v"))).drop("v")
+    to_open = is_json & F.startswith("json", F.lit("{")) & (F.col("kind") == "object") & ~F.col("bad_step")
+    inner = walk_objects(rows.filter(to_open), [*keep, "tag", "category"], "json")
     items = inner.select(
         *keep,
         F.col("key").alias("tag"),
         F.lit("json").alias("source"),
-        "json",
+        "text",
         F.lit(None).cast("bigint").alias("x"),
         F.lit(None).cast("string").alias("x_type"),
         "category",
@@ -129,11 +134,11 @@ def type_log_rows(df: DataFrame, keep: Sequence[str]) -> DataFrame:
         F.lit(False).alias("bad_step"),
         "kind",
     )
-    every = flat.unionByName(items)
+    every = rows.filter(~F.coalesce(to_open, F.lit(False))).drop("json").unionByName(items)
     kind = F.col("kind")
     kind_type = (
         F.when(F.col("source") == "markdown", MARKDOWN)
-        .when(F.col("source") == "path", path_type(F.col("json")))
+        .when(F.col("source") == "path", path_type(F.col("text")))
         .when(kind.isin("string", "list"), TEXT)
         .when(kind == "boolean", BOOLEAN)
         .when(kind == "number", NUMBER)
@@ -150,7 +155,7 @@ def type_log_rows(df: DataFrame, keep: Sequence[str]) -> DataFrame:
             *keep,
             "tag",
             F.when(good, F.col("type")).alias("type"),
-            F.when(good, _plain(F.col("json"), F.coalesce(kind, F.lit("plain")))).alias("value"),
+            F.when(good, F.col("text")).alias("value"),
             F.when(good & stepped, F.col("x")).otherwise(F.lit(-1)).cast("bigint").alias("x"),
             F.when(good & stepped, F.coalesce("x_type", F.lit("STEP"))).alias("x_type"),
             "category",

@@ -284,12 +284,12 @@ def resolve_refs(load):
                 'https://lake.example/acme/shop/datasets/' || name || coalesce('?v=' || version, '')
                 || coalesce('.' || build, '') || coalesce('#' || selector, '') AS url,
                 'acme/shop/datasets/' || name || ':gold' || coalesce('#' || selector, '') AS tagged
-         FROM parsed WHERE good""",
+         FROM parsed""",
 )
 def render_refs(load):
-    rows = load("orders").select("o_orderkey", refs.with_defaults(refs.parse_ref(ref_column(), "datasets"), "acme", "shop").alias("r"))
+    rows = refs.parse_refs(load("orders").select("o_orderkey", ref_column().alias("ref")), "ref", "r", "datasets", "acme", "shop")
     ref = F.col("r")
-    return rows.filter(ref["status"] == "ok").select(
+    return rows.select(
         "o_orderkey",
         refs.render_path(ref).alias("path"),
         refs.render_url(ref, "https://lake.example").alias("url"),

@@ -17,9 +17,13 @@ PARSED = [
 ]
 
 
+def parsed(spark, ref, *args, **kwargs):
+    return refs.parse_refs(spark.createDataFrame([(ref,)], "ref string"), "ref", "r", *args, **kwargs)
+
+
 @pytest.mark.parametrize("ref, expected_type, parts", PARSED)
 def test_parse(spark, ref, expected_type, parts):
-    got = spark.range(1).select(refs.parse_ref(F.lit(ref), expected_type).alias("r")).first()["r"]
+    got = parsed(spark, ref, expected_type).first()["r"]
     assert (got["status"], tuple(got)[1:]) == ("ok", parts)
 
 
@@ -34,7 +38,7 @@ def test_parse(spark, ref, expected_type, parts):
     ],
 )
 def test_parse_errors(spark, ref, expected_type, problem):
-    got = spark.range(1).select(refs.parse_ref(F.lit(ref).cast("string"), expected_type).alias("r")).first()["r"]
+    got = parsed(spark, ref, expected_type).first()["r"]
     assert got["status"] == problem and set(tuple(got)[1:]) == {None}
 
 
@@ -51,15 +55,15 @@ def test_parse_errors(spark, ref, expected_type, problem):
     ],
 )
 def test_render(spark, ref, url):
-    parsed = refs.parse_ref(F.lit(ref))
-    path, got = spark.range(1).select(refs.render_path(parsed), refs.render_url(parsed, "https://h")).first()
+    path, got = parsed(spark, ref).select(refs.render_path(F.col("r")), refs.render_url(F.col("r"), "https://h")).first()
     assert path == ref
     assert got == (None if url is None else f"https://h/{url}")
 
 
 def test_defaults(spark):
-    parsed = refs.with_defaults(refs.parse_ref(F.lit("datasets/a")), None, "p")
-    assert spark.range(1).select(parsed["status"]).first()[0] == "relative reference"
+    assert parsed(spark, "datasets/a", project="p").first()["r"]["status"] == "relative reference"
+    got = parsed(spark, "q/datasets/a", account="o", project="p").first()["r"]
+    assert (got["account"], got["project"]) == ("o", "q")
 
 
 def test_build_states(spark):

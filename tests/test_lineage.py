@@ -59,6 +59,14 @@ def test_cycles(spark):
         g.lineage_levels(g.latest_definitions(definitions).select("node"), edges.union(spark.createDataFrame([("y", "m")], "src string, dst string")))
 
 
+def test_levels_need_an_acyclic_graph(spark):
+    nodes = spark.createDataFrame([("a",), ("b",), ("c",)], "node string")
+    for pairs in ([("a", "b"), ("b", "a")], [("a", "b"), ("b", "c"), ("c", "a")]):
+        with pytest.raises(g.CycleError):
+            g.lineage_levels(nodes, spark.createDataFrame(pairs, "src string, dst string"))
+    assert g.lineage_levels(nodes.limit(0), spark.createDataFrame([], "src string, dst string")).isEmpty()
+
+
 def test_self_loop_and_acyclic(spark):
     loop = spark.createDataFrame([("a", "a"), ("a", "b")], "src string, dst string")
     assert [r["cycle"] for r in g.cycle_paths(loop).collect()] == ["a -> a"]
