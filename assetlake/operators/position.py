@@ -8,9 +8,10 @@ function of the row: it stays the same in every branch of a plan and in every ta
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from assetlake.operators.skew import lookup
@@ -23,7 +24,7 @@ SAMPLES_PER_BLOCK = 16
 def split_points(
     df: DataFrame, order: Sequence[str], rows_per_block: int = ROWS_PER_BLOCK
 ) -> tuple[int, list[Row]]:
-    """Row count of ``df`` and at most ``MAX_BLOCKS - 1`` keys that cut it into even blocks."""
+    """Row count of ``df`` and at most ``MAX_BLOCKS - 1`` keys, as text, that cut it into even blocks."""
     total = df.count()
     blocks = min(MAX_BLOCKS, -(-total // rows_per_block))
     if blocks <= 1:
@@ -32,33 +33,40 @@ def split_points(
     keys = df.select(*order)
     if total > wanted:
         keys = keys.sample(fraction=wanted / total, seed=7)
-    sample = keys.distinct().orderBy(*order).collect()
+    sorted_keys = keys.distinct().orderBy(*order)
+    sample = sorted_keys.select(*[F.col(c).cast("string").alias(c) for c in order]).collect()
     step = max(1, len(sample) // blocks)
     return total, sample[step::step][: blocks - 1]
 
 
-def block_of(order: Sequence[str], points: Sequence[Row], schema) -> Column:
-    """Number of split points at or below the row's key, found by halving."""
+def with_block(df: DataFrame, order: Sequence[str], points: Sequence[Row]) -> DataFrame:
+    """Add ``_block``: the number of split points at or below the row's key.
+
+    The points form one array constant and the number is found by halving, one projection per
+    step, so that the search is compiled code rather than an interpreted lambda.
+    """
     if not points:
-        return F.lit(0)
-    key_type = {f.name: f.dataType for f in schema.fields}
+        return df.withColumn("_block", F.lit(0))
     depth = len(points).bit_length()
-    entries = [
-        F.struct(*[F.lit(p[c]).cast(key_type[c]).alias(c) for c in order]) for p in points
-    ]
-    missing = F.lit(None).cast(
-        "struct<" + ",".join(f"`{c}`:{key_type[c].simpleString()}" for c in order) + ">"
-    )
-    table = F.array(*entries, *[missing] * (2**depth - 1 - len(points)))
-    key = F.struct(*[F.col(c).alias(c) for c in order])
-    strides = F.array(*[F.lit(2**i) for i in reversed(range(depth))])
-    return F.aggregate(
-        strides,
-        F.lit(0),
-        lambda low, stride: F.when(
-            F.element_at(table, low + stride) <= key, low + stride
-        ).otherwise(low),
+    # One JSON constant, folded when the plan is optimised, instead of an expression per point.
+    listed = [{f"c{i}": p[c] for i, c in enumerate(order)} for p in points]
+    text = json.dumps(listed + [None] * (2**depth - 1 - len(points)))
+    plain = ",".join(f"c{i}:string" for i in range(len(order)))
+    typed = ",".join(f"c{i}:{df.schema[c].dataType.simpleString()}" for i, c in enumerate(order))
+    table = F.from_json(F.lit(text), f"array<struct<{plain}>>").cast(f"array<struct<{typed}>>")
+    found = df.withColumns(
+        {
+            "_points": table,
+            "_key": F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(order)]),
+            "_block": F.lit(0),
+        }
     )
+    low = F.col("_block")
+    for power in reversed(range(depth)):
+        middle = low + 2**power
+        not_above = F.element_at("_points", middle) <= F.col("_key")
+        found = found.withColumn("_block", F.when(not_above, middle).otherwise(low))
+    return found.drop("_points", "_key")
 
 
 def _block_starts(blocked: DataFrame) -> DataFrame:
@@ -79,7 +87,7 @@ def with_position(
 ) -> DataFrame:
     """Add the 0-based position of every row under the total order ``order``."""
     _, points = split_points(df, order, rows_per_block)
-    blocked = df.withColumn("_block", block_of(order, points, df.schema))
+    blocked = with_block(df, order, points)
     rank = F.row_number().over(Window.partitionBy("_block").orderBy(*order)).cast("long")
     if not points:
         return blocked.withColumn(name, rank - 1).drop("_block")
@@ -108,7 +116,7 @@ def row_slice(
     if len(wanted) == 0:
         return df.limit(0).withColumn("pos", F.lit(0).cast("long"))
     low, high = min(wanted[0], wanted[-1]), max(wanted[0], wanted[-1])
-    blocked = df.withColumn("_block", block_of(order, points, df.schema))
+    blocked = with_block(df, order, points)
     if points:
         starts = [(r["_block"], r["_start"]) for r in _block_starts(blocked).orderBy("_block").collect()]
         first = max(b for b, s in starts if s <= low)

@@ -4,7 +4,7 @@ A window partitioned by key alone sorts and walks each key in one task. Here the
 into ranges of (key, order); a window runs inside each range, and the part of a key that lies
 in earlier ranges arrives as a carry. A key can only enter a range from an earlier one if it
 is the key of that range's split point, so there is at most one carry per range and the
-broadcast of the carries is bounded by ``MAX_BLOCKS`` rows.
+broadcast of the carries is bounded by twice ``MAX_BLOCKS`` rows.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assetlake.operators.position import ROWS_PER_BLOCK, block_of, split_points
+from assetlake.operators.position import ROWS_PER_BLOCK, split_points, with_block
 
 _AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min}
 
@@ -47,7 +47,7 @@ def running(
     keys, order = list(keys), list(order)
     _, points = split_points(df, keys + order, rows_per_block)
     inputs = df.select("*", *[a.value.alias(f"_v_{a.name}") for a in aggregates])
-    blocked = inputs.withColumn("_block", block_of(keys + order, points, df.schema))
+    blocked = with_block(inputs, keys + order, points)
     window = Window.partitionBy(*keys, "_block").orderBy(*order)
 
     def local(a: Running) -> Column:
@@ -57,10 +57,9 @@ def running(
     scanned = blocked.select("*", *[local(a) for a in aggregates])
     names = [a.name for a in aggregates]
     if points:
-        key_schema = df.select(*keys).schema
-        entering = df.sparkSession.createDataFrame(
-            list({tuple(p[k] for k in keys) for p in points}), key_schema
-        )
+        texts = list({tuple(p[k] for k in keys) for p in points})
+        listed = df.sparkSession.createDataFrame(texts, ",".join(f"`{k}` string" for k in keys))
+        entering = listed.select(*[F.col(k).cast(df.schema[k].dataType).alias(k) for k in keys])
         before = (
             Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
         )

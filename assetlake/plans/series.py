@@ -9,6 +9,7 @@ from assetlake.operators import series as s
 from assetlake.operators.scan import Running, running
 from assetlake.plans.fixtures import READINGS_SQL, RUN_EVENTS_SQL, limits, run_events
 from assetlake.plans.registry import query
+from assetlake.session import cut_lineage
 
 COUNTER_RATE_SQL = (
     "WITH"
@@ -27,12 +28,12 @@ FROM kept WHERE last_t IS NOT NULL AND counter <> 0 AND cpu_limit <> 0
 
 
 def readings(load):
-    """A running CPU counter per user, read at whole hours."""
+    """A running CPU counter per user, read at whole hours, stored as a table of readings."""
     events = run_events(load).select(
         "event_id", "user_id", (F.col("hour") * 3600).alias("t"), "cents", limits().alias("cpu_limit")
     )
     total = Running("counter", "sum", F.col("cents") * 9_999_991)
-    return running(events, ["user_id"], ["event_id"], [total])
+    return cut_lineage(running(events, ["user_id"], ["event_id"], [total]), "readings")
 
 
 @query("counter_rate", COUNTER_RATE_SQL)
@@ -71,7 +72,8 @@ def trailing_rate(load):
 )
 def transfer_eta(load):
     totals = run_events(load).groupBy("user_id").agg(F.sum("cents").alias("total"))
-    return s.transfer_eta(trailing(load), totals, ["user_id"], "hour")
+    rates = cut_lineage(trailing(load), "rates")
+    return s.transfer_eta(rates, totals, ["user_id"], "hour")
 
 
 _ELAPSED_SQL = (

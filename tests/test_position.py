@@ -31,7 +31,7 @@ def test_position(rows, expected, per_block):
 
 def test_blocks_split_the_hot_key(rows):
     total, points = p.split_points(rows, ORDER, 50)
-    sizes = rows.groupBy(p.block_of(ORDER, points, rows.schema).alias("b")).count().collect()
+    sizes = p.with_block(rows, ORDER, points).groupBy("_block").count().collect()
     assert total == 1000
     assert max(r["count"] for r in sizes) < 200
 
