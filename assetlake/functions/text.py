@@ -39,3 +39,23 @@ def with_prefix(key: Column, prefix: str, separator: str = "-") -> Column:
 def log_line(time: Column, asset: Column, text: Column) -> Column:
     """``HH:MM:SS asset: text``."""
     return F.concat(F.date_format(time, "HH:mm:ss"), F.lit(" "), asset, F.lit(": "), text)
+
+
+def status_report(kind: str, message: Column) -> Column:
+    """JSON text of a status report of type ``Generic`` or ``Assertion``."""
+    return F.to_json(F.struct(F.lit(kind).alias("type"), message.alias("message")))
+
+
+def parse_report(text: Column) -> Column:
+    """Struct of ``type`` and ``message``; a text that is not a report is a generic message.
+
+    A report of an unknown type has type null.
+    """
+    report = F.try_parse_json(text)
+    kind = F.lower(F.try_variant_get(report, "$.type", "string"))
+    message = F.try_variant_get(report, "$.message", "string")
+    known = kind.isin("python", "generic", "assertion")
+    return F.struct(
+        F.when(report.isNull(), "generic").when(known, kind).alias("type"),
+        F.when(report.isNull(), text).when(known, message).alias("message"),
+    )

@@ -45,7 +45,7 @@ def train_status(events: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     """Current state of each train, with its version and JSON failure report."""
     state = last_by(events, keys, [seq], ["status", "version", "message"])
     name = status.status_name(F.col("status"), status.TRAIN_STATUSES)
-    report = F.to_json(F.struct(F.lit("Generic").alias("type"), F.col("message").alias("message")))
+    report = text.status_report("Generic", F.col("message"))
     return state.select(
         *keys,
         name.alias("status"),
@@ -104,6 +104,20 @@ def status_with_metadata(
     return lookup(tasks, current, keys)
 
 
+def failure_reasons(tasks: DataFrame, infos: DataFrame, key: str) -> DataFrame:
+    """Reason of each failed task: the report stored for its build or train, else its own text.
+
+    ``tasks`` has ``status`` and ``info``; ``infos`` has one ``report`` per ``key``.
+    """
+    failed = tasks.filter(F.col("status") == "FAILED")
+    found = lookup(failed, infos.select(key, "report"), [key])
+    chosen = F.when(F.coalesce("report", F.lit("")) != "", text.parse_report(F.col("report")))
+    own = F.struct(F.lit("generic").alias("type"), F.col("info").alias("message"))
+    return found.select(*tasks.columns, F.coalesce(chosen, own).alias("_r")).select(
+        *tasks.columns, F.col("_r.type").alias("report_type"), F.col("_r.message").alias("reason")
+    )
+
+
 def build_tags(builds: DataFrame, versions: DataFrame, key: str) -> DataFrame:
     """``tag`` is ``<version name>.<index>``, empty for a build without a version."""
     joined = lookup(builds, versions, [key])

@@ -34,6 +34,30 @@ def status_with_metadata(load):
     return c.status_with_metadata(tasks, metadata, ["run", "key"], "event_id")
 
 
+@query(
+    "failure_reasons",
+    "WITH"
+    + RUN_EVENTS_SQL
+    + """, infos AS (SELECT run, arg_max(event_type, event_id) AS kind, max(event_id) AS event_id FROM run_events
+                     WHERE event_type IN ('view', 'click', 'signup') GROUP BY run)
+SELECT e.event_id, e.run, 'FAILED' AS status, 'exit ' || e.user_id AS info,
+       CASE i.kind WHEN 'view' THEN 'assertion' ELSE 'generic' END AS report_type,
+       CASE i.kind WHEN 'view' THEN 'failed: rule(' || i.event_id || ')' WHEN 'click' THEN 'not JSON' ELSE 'exit ' || e.user_id END AS reason
+FROM run_events e LEFT JOIN infos i USING (run) WHERE e.event_type = 'error'""",
+)
+def failure_reasons(load):
+    events = run_events(load)
+    kind = F.col("event_type")
+    tasks = events.select(
+        "event_id", "run", F.when(kind == "error", "FAILED").otherwise("SUCCEEDED").alias("status"),
+        F.concat(F.lit("exit "), F.col("user_id")).alias("info"),
+    )
+    assertion = text.status_report("Assertion", F.concat(F.lit("failed: rule("), F.col("event_id"), F.lit(")")))
+    report = F.when(kind == "view", assertion).when(kind == "click", "not JSON")
+    stored = events.filter(kind.isin("view", "click", "signup")).select("run", "event_id", report.alias("report"))
+    return c.failure_reasons(tasks, c.last_by(stored, ["run"], ["event_id"], ["report"]), "run")
+
+
 @query(
     "build_tags",
     """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber AS "index",

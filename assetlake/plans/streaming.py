@@ -42,7 +42,7 @@ STREAM_RATE_SQL = (
     "WITH"
     + RUN_EVENTS_SQL
     + """, readings AS (
-  SELECT event_id, user_id, hour * 3600 AS t, (us - 1704067200000000) * 700 + cents * 9999991 AS counter,
+  SELECT event_id, user_id, us // 10000000 AS t, (us - 1704067200000000) * 700 + cents * 9999991 AS counter,
          CASE event_type WHEN 'error' THEN 0 WHEN 'view' THEN 1.5 ELSE 2 END AS cpu_limit
   FROM run_events),
 prior AS (
@@ -50,10 +50,18 @@ prior AS (
   FROM readings),
 kept AS (
   SELECT *, lag(counter) OVER w AS last_counter, lag(t) OVER w AS last_t
-  FROM prior WHERE seen IS NULL OR t > seen WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
-SELECT user_id, event_id, t, round_even(((counter - last_counter) / (t - last_t)) / 1000000000.0, 4) AS used,
-       cpu_limit AS allocated
-FROM kept WHERE last_t IS NOT NULL AND counter <> 0 AND cpu_limit <> 0
+  FROM prior WHERE seen IS NULL OR t > seen WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+rates AS (
+  SELECT k.user_id, event_id, t, round_even(((counter - last_counter) / (t - last_t)) / 1000000000.0, 4) AS used,
+         cpu_limit AS allocated, t - start AS x
+  FROM kept k JOIN (SELECT user_id, min(t) AS start FROM readings GROUP BY 1) s ON s.user_id = k.user_id
+  WHERE last_t IS NOT NULL AND counter <> 0 AND cpu_limit <> 0),
+stepped AS (
+  SELECT *, CASE WHEN x < 15 THEN x WHEN x < 60 THEN 15 + (x - 15) // 5 * 5 ELSE 60 + (x - 60) // 15 * 15 END AS step
+  FROM rates)
+SELECT user_id, step, max(event_id) AS event_id, arg_max(t, event_id) AS t, arg_max(used, event_id) AS used,
+       arg_max(allocated, event_id) AS allocated, arg_max(x, event_id) AS x
+FROM stepped GROUP BY 1, 2
 """
 )
 
@@ -61,7 +69,7 @@ FROM kept WHERE last_t IS NOT NULL AND counter <> 0 AND cpu_limit <> 0
 def raw_readings(load):
     counter = (F.col("us") - 1_704_067_200_000_000) * 700 + F.col("cents") * 9_999_991
     return run_events(load).select(
-        "event_id", "user_id", (F.col("hour") * 3600).alias("t"), counter.alias("counter"), limits().alias("cpu_limit")
+        "event_id", "user_id", F.floor(F.col("us") / 10_000_000).alias("t"), counter.alias("counter"), limits().alias("cpu_limit")
     )
 
 
@@ -76,7 +84,7 @@ def stream_counter_rate(load):
         "counter-rate",
         lambda at: feeds.counter_rates(readings, ["user_id"], READING_COLUMNS, f"{at}/rates", f"{at}/state", f"{at}/checkpoint"),
     )
-    return load.spark.read.parquet(f"{root}/rates").drop("batch")
+    return feeds.sampled_rates(load.spark, f"{root}/rates", ["user_id"], "event_id")
 
 
 @query("stream_fold_status", FOLD_SQL)

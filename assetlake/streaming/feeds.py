@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from assetlake.operators import catalog, metadata, quality, series
 from assetlake.operators.series import RATE_WINDOW
+from assetlake.operators.skew import lookup
 from assetlake.session import shared_dir
 
 # Poll and waiting times in seconds (fixed values).
@@ -76,18 +77,6 @@ def log_sink(calls: DataFrame, keep: Sequence[str], sink: str, checkpoint: str,
     return _writer(calls, checkpoint, follow).foreachBatch(write).start()
 
 
-def _batches(spark: SparkSession, root: str, before: int) -> list[int]:
-    """Numbers of the batch folders below ``root`` that are older than ``before``."""
-    files = spark.sparkContext._jvm.org.apache.hadoop.fs
-    path = files.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(path)]
-    numbers = [int(n.split("=")[1]) for n in names if n.startswith("batch=")]
-    return sorted(n for n in numbers if n < before)
-
-
 def counter_rates(
     readings: DataFrame,
     keys: Sequence[str],
@@ -100,28 +89,46 @@ def counter_rates(
     """Counter rates per micro-batch, with each key's baseline carried in a state table.
 
     The baseline of a key is a reading like any other and precedes the new ones, so a batch is
-    the batch operator over the baselines and the new readings; a hot key is split there.
-    ``columns`` names ``seq``, ``time``, ``counter`` and ``limit``.
+    the batch operator over the baselines and the new readings; a hot key is split there. Every
+    batch writes the whole state, numbered like the batch, so a retry finds what it found. The
+    state also holds each key's first time, from which ``x`` (elapsed seconds) and ``step`` (the
+    sampling step) follow. ``columns`` names ``seq``, ``time``, ``counter`` and ``limit``.
     """
     seq, time_, counter, limit = (columns[c] for c in ("seq", "time", "counter", "limit"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.select(*keys, seq, time_, counter, limit)
-        older = _batches(spark, state, batch_id)
-        if older:
-            rows = spark.read.schema(rows.schema).parquet(f"{state}/batch={older[-1]}").unionByName(rows)
-        rates = series.counter_rate(rows, keys, seq, time_, counter, limit)
-        rates.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-        best = F.max(F.struct(F.col(time_), (-F.col(seq)).alias("_minus"), F.col(counter), F.col(limit))).alias("_b")
-        kept = rows.groupBy(*keys).agg(best).select(
-            *keys, (-F.col("_b._minus")).alias(seq), f"_b.{time_}", f"_b.{counter}", f"_b.{limit}"
+        unknown = F.lit(None).cast(batch.schema[time_].dataType)
+        rows = batch.select(*keys, seq, time_, counter, limit, unknown.alias("start"))
+        if batch_id > 0:
+            rows = spark.read.schema(rows.schema).parquet(f"{state}/batch={batch_id - 1}").unionByName(rows)
+        baseline = F.struct(F.col(time_), (-F.col(seq)).alias("_minus"), F.col(counter), F.col(limit))
+        kept = rows.groupBy(*keys).agg(
+            F.max(baseline).alias("_b"),
+            F.min(F.coalesce("start", time_)).alias("start"),
+            F.count(F.lit(1)).alias("_rows"),
+        )
+        next_state = kept.select(
+            *keys, (-F.col("_b._minus")).alias(seq), f"_b.{time_}", f"_b.{counter}", f"_b.{limit}", "start"
         )
-        kept.write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+        next_state.write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+        rates = series.counter_rate(rows.drop("start"), keys, seq, time_, counter, limit)
+        timed = lookup(rates, kept.select(*keys, "start", "_rows"), keys, weight="_rows")
+        elapsed = F.col(time_) - F.col("start")
+        timed.select(
+            *rates.columns, F.bround(elapsed, 0).cast("long").alias("x"), series.sampling_grid(elapsed).alias("step")
+        ).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
     return _writer(readings, checkpoint, follow).foreachBatch(write).start()
 
 
+def sampled_rates(spark: SparkSession, sink: str, keys: Sequence[str], seq: str) -> DataFrame:
+    """The last written rate per key and sampling step."""
+    written = spark.read.parquet(sink).drop("batch")
+    values = [c for c in written.columns if c not in (*keys, "step")]
+    return catalog.last_by(written, [*keys, "step"], [seq], values)
+
+
 def fold_statuses(
     history: DataFrame, keys: Sequence[str], seq: str, sink: str, checkpoint: str, follow: bool = False
 ) -> StreamingQuery:
