@@ -31,23 +31,12 @@ def path_type(path: Column) -> Column:
     return F.when(ending.isin(VIDEO_SUFFIXES), VIDEO).when(ending.isin(IMAGE_SUFFIXES), IMAGE).otherwise(FILE)
 
 
-def _kind(json: Column) -> Column:
-    """Kind of a valid JSON text, from its first character; null is ``invalid``.
-
-    The text is named once, so a filter on the kind computes it once.
-    """
-    kinds = {'"': "string", "[": "list", "{": "object", "t": "boolean", "f": "boolean", "n": "null", "?": "invalid"}
+def _kind(value: Column) -> Column:
+    """Kind of a variant, from its type name; null (no valid JSON) is ``invalid``."""
+    kinds = {"STR": "string", "ARR": "list", "OBJ": "object", "BOO": "boolean", "VOI": "null", "?": "invalid"}
     table = F.create_map(*[F.lit(v) for pair in kinds.items() for v in pair])
-    return F.coalesce(table[F.coalesce(F.substring(json, 1, 1), F.lit("?"))], F.lit("number"))
-
-
-def _plain(kind: Column, json: Column, value: Column) -> Column:
-    """Stored text of a JSON value: strings unquoted, booleans ``True`` / ``False``."""
-    return (
-        F.when(kind == "string", F.try_variant_get(value, "$", "string"))
-        .when(kind == "boolean", F.initcap(json))
-        .otherwise(json)
-    )
+    name = F.substring(F.schema_of_variant(value), 1, 3)
+    return F.coalesce(table[F.coalesce(name, F.lit("?"))], F.lit("number"))
 
 
 def walk_objects(df: DataFrame, keep: Sequence[str], column: str, delimiter: str = "/") -> DataFrame:
@@ -72,24 +61,17 @@ def walk_objects(df: DataFrame, keep: Sequence[str], column: str, delimiter: str
             F.col("key").alias("parent"),
             F.explode(F.try_parse_json("json").cast("map<string,variant>")).alias("key", "v"),
         )
-        return entries.select(
-            *keep,
-            F.concat_ws(delimiter, "above", "key").alias("path"),
-            "parent",
-            "key",
-            "v",
-            F.coalesce(F.to_json("v"), F.lit("null")).alias("json"),
-        )
+        path = F.concat_ws(delimiter, "above", "key").alias("path")
+        return entries.select(*keep, path, "parent", "key", _kind(F.col("v")).alias("kind"), F.col("v").cast("string").alias("text"))
 
     found = None
     while True:
-        kind = _kind(F.col("json"))
-        leaves = opened(level).withColumn("kind", kind).filter(F.col("kind") != "object")
-        leaves = leaves.withColumn("text", _plain(F.col("kind"), F.col("json"), F.col("v"))).drop("v", "json")
+        text = F.when(F.col("kind") == "boolean", F.initcap("text")).otherwise(F.col("text"))
+        leaves = opened(level).filter(F.col("kind") != "object").withColumn("text", text)
         found = leaves if found is None else found.unionByName(leaves)
         nested = level.filter(F.instr(F.substring("json", 2, 2**31 - 1), "{") > 0)
-        inner = opened(nested).filter(F.startswith("json", F.lit("{")))
-        level = cut_lineage(inner.select(*keep, "path", "key", "json"), "json-level")
+        inner = opened(nested).filter(F.col("kind") == "object")
+        level = cut_lineage(inner.select(*keep, "path", "key", F.col("text").alias("json")), "json-level")
         if level.isEmpty():
             return found
 
@@ -117,9 +99,13 @@ def type_log_rows(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     )
     is_json = F.col("source") == "json"
     rows = rows.withColumn("v", F.when(is_json, F.try_parse_json("json")))
-    valid = F.when(F.col("v").isNotNull(), F.col("json"))
-    rows = rows.withColumn("kind", F.when(is_json, _kind(valid)).otherwise("plain"))
-    rows = rows.withColumn("text", _plain(F.col("kind"), F.col("json"), F.col("v"))).drop("v")
+    kind = F.when(is_json, _kind(F.col("v"))).otherwise("plain")
+    stored = (
+        F.when(F.col("kind") == "string", F.col("v").cast("string"))
+        .when(F.col("kind") == "boolean", F.initcap("json"))
+        .otherwise(F.col("json"))
+    )
+    rows = rows.withColumn("kind", kind).withColumn("text", stored).drop("v")
     to_open = is_json & F.startswith("json", F.lit("{")) & (F.col("kind") == "object") & ~F.col("bad_step")
     inner = walk_objects(rows.filter(to_open), [*keep, "tag", "category"], "json")
     items = inner.select(
