@@ -6,6 +6,7 @@ Uniqueness needs one shuffle per distinct column set, pre-aggregated before the
 
 from __future__ import annotations
 
+import decimal
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -46,8 +47,20 @@ def adjusted_skewness(column: str) -> Column:
     return F.when(n < 3, F.lit(None)).when(F.var_pop(value) == 0, 0.0).otherwise(adjusted)
 
 
+def _same_kind(value: Any, data_type: T.DataType) -> bool:
+    """Whether a listed value can equal a value of the column at all."""
+    if isinstance(data_type, T.StringType):
+        return isinstance(value, str)
+    if isinstance(data_type, (T.NumericType, T.BooleanType)):
+        return isinstance(value, (bool, int, float, decimal.Decimal))
+    return True
+
+
 def _invalid(df: DataFrame, column: str, valid: Sequence[Any]) -> Column:
-    listed = [v for v in valid if v is not None]
+    data_type = df.schema[column].dataType
+    listed = [v for v in valid if v is not None and _same_kind(v, data_type)]
+    if isinstance(data_type, T.BooleanType):
+        listed = [bool(v) for v in listed if v in (0, 1)]
     value = F.col(f"`{column}`")
     missing = is_missing(df, column)
     outside = ~value.isin(listed) if listed else F.lit(True)
@@ -58,6 +71,10 @@ def _strings(value: Any) -> bool:
     return isinstance(value, list) and all(isinstance(v, str) for v in value)
 
 
+def _failed(detail: str) -> tuple[Column, Column, Column]:
+    return F.lit(False), F.lit(1).cast("long"), F.lit(detail)
+
+
 class Rule:
     """Base of all rules. ``verdict`` gives (passed, violations, detail) aggregate columns."""
 
@@ -169,6 +186,8 @@ class Skewness(Rule):
         return [self.column]
 
     def verdict(self, df):
+        if not isinstance(df.schema[self.column].dataType, (T.NumericType, T.BooleanType)):
+            return _failed("not a numeric column")
         value = adjusted_skewness(self.column)
         inside = F.coalesce((value > self.low) & (value < self.high), F.lit(False))
         text = F.coalesce(F.format_string("%.4f", value), F.lit("nan"))
@@ -189,7 +208,13 @@ class IsTrue(Rule):
 
     def verdict(self, df):
         if isinstance(self.predicate, (str, Column)):
-            test = F.expr(self.predicate) if isinstance(self.predicate, str) else self.predicate
+            try:
+                test = F.expr(self.predicate) if isinstance(self.predicate, str) else self.predicate
+                kind = df.agg(test.alias("t")).schema["t"].dataType
+            except Exception as error:  # a predicate that cannot be resolved is a failed rule
+                return _failed(type(error).__name__)
+            if not isinstance(kind, T.BooleanType):
+                return _failed("predicate must return a boolean")
             holds = F.coalesce(test, F.lit(False))
             return holds, F.when(holds, 0).otherwise(1).cast("long"), F.lit(None).cast("string")
         problem = None

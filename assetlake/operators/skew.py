@@ -60,7 +60,9 @@ def lookup(
             F.struct(found, *[F.col("_known")[v].alias(v) for v in values]).alias("_hot"),
         )
     cold = _renamed(dim, keys, "_c_", F.lit(0).alias("_c_salt"), entry.alias("_cold"))
-    spread = [c for c in df.columns if c not in keys] or keys
+    # Maps and variants cannot be hashed.
+    hashable = [f.name for f in df.schema if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    spread = [c for c in hashable if c not in keys] or keys
     salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int") + 1
     first = df.join(F.broadcast(hot), _same(keys, "", "_h_"), "left").withColumn(
         "_salt", F.when(F.col("_hot").isNull(), 0).otherwise(salt)

@@ -89,6 +89,29 @@ def test_predicates(users):
     assert rows == {"crash": False, "text": False, "three": True, "sql": True, "null": False}
 
 
+def test_rules_that_cannot_be_evaluated_fail_alone(users):
+    rules = [
+        q.IsTrue("max(missing) > 0", "unresolved"),
+        q.IsTrue("count(*)", "number"),
+        q.Skewness("UserName", -1, 1),
+        q.ValidValues("OperatingSystem", [1, 2, "linux", "other"]),
+    ]
+    rows = [(r["rule"], r["passed"], r["detail"]) for r in q.run_suite(users, rules).orderBy("position").collect()]
+    assert rows == [
+        ("assert_valid_values", True, None),
+        ("assert_skewness", False, "not a numeric column"),
+        ("assert_true", False, "predicate must return a boolean"),
+        ("assert_true", False, "AnalysisException"),
+    ]
+
+
+def test_valid_values_of_other_types(spark):
+    df = spark.createDataFrame([(1, True), (2, False), (2, None)], "n long, b boolean")
+    assert outcome(df, q.ValidValues("n", [1, 2.0, "x"]))["assert_valid_values"]["passed"]
+    assert outcome(df, q.ValidValues("n", [1]))["assert_valid_values"]["violations"] == 2
+    assert outcome(df, q.ValidValues("b", [True, None]))["assert_valid_values"]["detail"] == "false"
+
+
 def test_suite_runs_all_rules_last_one_first(users):
     rules = [q.NotNull(["UserName"]), q.ValidValues("OperatingSystem", ["linux"]), q.Unique(["OperatingSystem"])]
     report = q.run_suite(users, rules).orderBy("position").collect()
