@@ -23,7 +23,6 @@ ORDER_RULES = [
 _SUITE_SQL = """
 WITH line AS (
   SELECT count(*) FILTER (WHERE l_returnflag IS NULL OR l_returnflag NOT IN ('A','N','R')) AS bad,
-         min(l_returnflag) FILTER (WHERE l_returnflag NOT IN ('A','N','R')) AS example,
          count(*) FILTER (WHERE l_shipdate IS NULL) AS no_date,
          count(*) FILTER (WHERE l_quantity IS NULL) AS no_quantity,
          CASE WHEN count(l_extendedprice) < 3 THEN NULL
@@ -35,7 +34,6 @@ line_dup AS (
 ord AS (
   SELECT min(o_totalprice) > 0 AS positive,
          count(*) FILTER (WHERE o_orderstatus IS NULL OR o_orderstatus NOT IN ('F','O')) AS bad,
-         min(o_orderstatus) FILTER (WHERE o_orderstatus NOT IN ('F','O')) AS example,
          count(*) FILTER (WHERE o_orderkey IS NULL) AS no_key,
          count(*) FILTER (WHERE o_custkey IS NULL) AS no_customer
   FROM orders),
@@ -49,7 +47,7 @@ report AS (
          printf('%.4f', skew) AS detail FROM line
   UNION ALL
   SELECT 'lineitem', 2, 'assert_valid_values', 'l_returnflag, [''A'', ''N'', ''R'']', bad = 0, bad,
-         CASE WHEN bad > 0 THEN coalesce(example, 'null') END FROM line
+         CASE WHEN bad > 0 THEN bad || ' rows outside the list' END FROM line
   UNION ALL
   SELECT 'lineitem', 1, 'assert_not_null', '[''l_shipdate'', ''l_quantity'']', no_date + no_quantity = 0,
          no_date + no_quantity,
@@ -63,7 +61,7 @@ report AS (
          CASE WHEN positive THEN 0 ELSE 1 END::BIGINT, NULL FROM ord
   UNION ALL
   SELECT 'orders', 2, 'assert_valid_values', 'o_orderstatus, [''F'', ''O'']', bad = 0, bad,
-         CASE WHEN bad > 0 THEN coalesce(example, 'null') END FROM ord
+         CASE WHEN bad > 0 THEN bad || ' rows outside the list' END FROM ord
   UNION ALL
   SELECT 'orders', 1, 'assert_not_null', '[''o_orderkey'', ''o_custkey'']', no_key + no_customer = 0,
          no_key + no_customer,
