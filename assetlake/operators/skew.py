@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 256
-SALTS = 64
+#: A key is hot if it has more than this share of the rows, so fewer than ``1 / HOT_SHARE`` keys are.
+HOT_SHARE = 1 / 1000
 
 
 def _same(keys: Sequence[str], left: str, right: str) -> Column:
@@ -30,27 +30,22 @@ def lookup(
 ) -> DataFrame:
     """Join ``df`` to ``dim``, which holds one row per key; null keys match null keys.
 
-    The ``HOT_KEYS`` most frequent keys of ``df`` are looked up by a broadcast of at most that
-    many rows, whatever the size of ``dim``. Every other key goes through a shuffled join;
-    the hot rows, already answered, pass that shuffle spread over ``SALTS`` salt values, so
-    no task gets a whole hot group. ``weight`` names a column of ``dim`` that already holds
-    the number of ``df`` rows per key; without it the keys are counted here.
+    Keys with more than ``HOT_SHARE`` of the rows are looked up by a broadcast, of fewer than ``1 / HOT_SHARE`` rows
+    whatever the size of ``dim``, and their rows are never shuffled. The other rows, none of whose keys is hot, go
+    through a join on the plain key. ``weight`` names a column of ``dim`` that already holds the number of ``df`` rows
+    per key; without it the keys are counted here.
     """
+    if how not in ("left", "inner"):
+        raise ValueError(f"unsupported lookup type: {how}")
     keys = list(keys)
     values = [c for c in dim.columns if c not in keys]
     entry = F.struct(F.lit(True).alias("found"), *values)
     if weight is not None:
-        top = dim.orderBy(F.col(weight).desc()).limit(HOT_KEYS)
-        hot = _renamed(top, keys, "_h_", entry.alias("_hot"))
+        total = dim.agg(F.sum(weight)).scalar()
+        hot = _renamed(dim.filter(F.col(weight) > total * HOT_SHARE), keys, "_h_", entry.alias("_hot"))
     else:
-        heavy = _renamed(
-            df.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .orderBy(F.col("_n").desc())
-            .limit(HOT_KEYS),
-            keys,
-            "_h_",
-        )
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        heavy = _renamed(counts.filter(F.col("_n") > df.agg(F.count(F.lit(1))).scalar() * HOT_SHARE), keys, "_h_")
         known = _renamed(dim, keys, "_m_", entry.alias("_known")).join(
             F.broadcast(heavy), _same(keys, "_m_", "_h_"), "left_semi"
         )
@@ -59,18 +54,12 @@ def lookup(
             *[f"_h_{k}" for k in keys],
             F.struct(found, *[F.col("_known")[v].alias(v) for v in values]).alias("_hot"),
         )
-    cold = _renamed(dim, keys, "_c_", F.lit(0).alias("_c_salt"), entry.alias("_cold"))
-    # Maps and variants cannot be hashed.
-    hashable = [f.name for f in df.schema if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
-    spread = [c for c in hashable if c not in keys] or keys
-    salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int") + 1
-    first = df.join(F.broadcast(hot), _same(keys, "", "_h_"), "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNull(), 0).otherwise(salt)
+    answered = df.join(F.broadcast(hot), _same(keys, "", "_h_"), "inner").withColumnRenamed("_hot", "_hit")
+    cold = _renamed(dim, keys, "_c_", entry.alias("_hit"))
+    rest = df.join(F.broadcast(hot.drop("_hot")), _same(keys, "", "_h_"), "left_anti")
+    both = answered.select(*df.columns, "_hit").unionByName(
+        rest.join(cold, _same(keys, "", "_c_"), how).select(*df.columns, "_hit")
     )
-    both = first.join(cold, _same(keys, "", "_c_") & (F.col("_salt") == F.col("_c_salt")), "left")
-    hit = F.coalesce(F.col("_hot"), F.col("_cold"))
     if how == "inner":
-        both = both.filter(hit["found"])
-    elif how != "left":
-        raise ValueError(f"unsupported lookup type: {how}")
-    return both.select(*df.columns, *[hit[v].alias(v) for v in values])
+        both = both.filter(F.col("_hit.found"))
+    return both.select(*df.columns, *[F.col("_hit")[v].alias(v) for v in values])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,7 +27,7 @@ def _checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if root is None:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="assetlake-")
         sc.setCheckpointDir(root)
