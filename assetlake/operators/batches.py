@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assetlake.operators.position import ROWS_PER_BLOCK, take_positions, with_position
+from assetlake.operators.position import ROWS_PER_BLOCK, positioned, take_positions
 
 
 def project(df: DataFrame, tensors: Sequence[str] | None) -> DataFrame:
@@ -38,9 +38,8 @@ def training_batches(
     if shuffle_seed is not None:
         df = df.withColumn("_shuffle", shuffle_key(order, shuffle_seed))
         sort = ["_shuffle", *sort]
-    total = df.count() if drop_last else None
     keep = list(dict.fromkeys([*(tensors or df.columns), *sort]))
-    placed = with_position(df.select(*keep), sort, "idx", rows_per_block)
+    total, placed = positioned(df.select(*keep), sort, "idx", rows_per_block)
     if drop_last:
         placed = placed.filter(F.col("idx") < total - total % batch_size)
     out = placed.select(
@@ -59,7 +58,7 @@ def sampled_batches(
     batch_size: int = 1,
     rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
-    """Batches of the rows a sampler names: ``sampler(pos, idx)``, where ``idx`` may repeat."""
+    """Batches of the rows a sampler names: ``sampler(pos, idx)``, where ``idx`` may repeat or count from the end."""
     picked = take_positions(df, order, sampler, "idx", rows_per_block)
     return picked.select(
         F.expr(f"pos div {batch_size}").alias("batch_id"),

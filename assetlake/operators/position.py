@@ -1,81 +1,51 @@
 """Global row order without a global sort in one task.
 
-Rows have no order of their own, so every operator here takes a total order key. The key range
-is cut into blocks at split points taken from a sample, as Spark's own range sort does. The
-points are collected once and then used as constants, so the block of a row is a plain
-function of the row: it stays the same in every branch of a plan and in every task retry.
+Rows have no order of their own, so every operator here takes a total order key. The rows are
+range-partitioned by it into as many blocks as their number asks for and stored once, each with the
+number of its block: later passes read the stored rows, so the block of a row is the same in every
+branch of a plan and in every task retry, and the input is evaluated only twice, for its row count
+and for the stored copy. Block tables grow with the rows and are joined, never collected.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assetlake.operators.skew import lookup
+from assetlake.session import cut_lineage
 
-ROWS_PER_BLOCK = 200_000
-MAX_BLOCKS = 8_192
-SAMPLES_PER_BLOCK = 16
+ROWS_PER_BLOCK = 100_000
 
 
-def split_points(
+def in_blocks(
     df: DataFrame, order: Sequence[str], rows_per_block: int = ROWS_PER_BLOCK
-) -> tuple[int, list[Row]]:
-    """Row count of ``df`` and at most ``MAX_BLOCKS - 1`` keys, as text, that cut it into even blocks."""
+) -> tuple[int, DataFrame]:
+    """Row count of ``df``, and its stored rows with ``_block``, which ascends with the order key."""
     total = df.count()
-    blocks = min(MAX_BLOCKS, -(-total // rows_per_block))
-    if blocks <= 1:
-        return total, []
-    wanted = blocks * SAMPLES_PER_BLOCK
-    keys = df.select(*order)
-    if total > wanted:
-        keys = keys.sample(fraction=wanted / total, seed=7)
-    sorted_keys = keys.distinct().orderBy(*order)
-    sample = sorted_keys.select(*[F.col(c).cast("string").alias(c) for c in order]).collect()
-    step = max(1, len(sample) // blocks)
-    return total, sample[step::step][: blocks - 1]
-
-
-def with_block(df: DataFrame, order: Sequence[str], points: Sequence[Row]) -> DataFrame:
-    """Add ``_block``: the number of split points at or below the row's key.
-
-    The points form one array constant and the number is found by halving, one projection per
-    step, so that the search is compiled code rather than an interpreted lambda.
-    """
-    if not points:
-        return df.withColumn("_block", F.lit(0))
-    depth = len(points).bit_length()
-    # One JSON constant, folded when the plan is optimised, instead of an expression per point.
-    listed = [{f"c{i}": p[c] for i, c in enumerate(order)} for p in points]
-    text = json.dumps(listed + [None] * (2**depth - 1 - len(points)))
-    plain = ",".join(f"c{i}:string" for i in range(len(order)))
-    typed = ",".join(f"c{i}:{df.schema[c].dataType.simpleString()}" for i, c in enumerate(order))
-    table = F.from_json(F.lit(text), f"array<struct<{plain}>>").cast(f"array<struct<{typed}>>")
-    found = df.withColumns(
-        {
-            "_points": table,
-            "_key": F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(order)]),
-            "_block": F.lit(0),
-        }
-    )
-    low = F.col("_block")
-    for power in reversed(range(depth)):
-        middle = low + 2**power
-        not_above = F.element_at("_points", middle) <= F.col("_key")
-        found = found.withColumn("_block", F.when(not_above, middle).otherwise(low))
-    return found.drop("_points", "_key")
+    ranged = df.repartitionByRange(max(1, -(-total // rows_per_block)), *order)
+    return total, cut_lineage(ranged.withColumn("_block", F.spark_partition_id()), "blocks")
 
 
 def _block_starts(blocked: DataFrame) -> DataFrame:
-    """First position of every block: one row per block, at most ``MAX_BLOCKS`` rows."""
+    """``(_block, _start, _n)``: first position and number of rows of every block."""
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     return (
         blocked.groupBy("_block")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+        .select("_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"), "_n")
+    )
+
+
+def _placed(blocked: DataFrame, starts: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """Rows of the blocks in ``starts`` with their position; the join keeps the window's partitioning."""
+    rank = F.row_number().over(Window.partitionBy("_block").orderBy(*order)).cast("long")
+    return (
+        blocked.join(starts.select("_block", "_start"), "_block")
+        .withColumn(name, F.col("_start") + rank - 1)
+        .drop("_block", "_start")
     )
 
 
@@ -86,17 +56,15 @@ def with_position(
     rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
     """Add the 0-based position of every row under the total order ``order``."""
-    _, points = split_points(df, order, rows_per_block)
-    blocked = with_block(df, order, points)
-    rank = F.row_number().over(Window.partitionBy("_block").orderBy(*order)).cast("long")
-    if not points:
-        return blocked.withColumn(name, rank - 1).drop("_block")
-    return (
-        blocked.withColumn("_rank", rank)
-        .join(F.broadcast(_block_starts(blocked)), "_block")
-        .withColumn(name, F.col("_start") + F.col("_rank") - 1)
-        .drop("_block", "_rank", "_start")
-    )
+    return positioned(df, order, name, rows_per_block)[1]
+
+
+def positioned(
+    df: DataFrame, order: Sequence[str], name: str = "idx", rows_per_block: int = ROWS_PER_BLOCK
+) -> tuple[int, DataFrame]:
+    """Row count of ``df``, and its rows with their positions."""
+    total, blocked = in_blocks(df, order, rows_per_block)
+    return total, _placed(blocked, _block_starts(blocked), order, name)
 
 
 def row_slice(
@@ -111,30 +79,21 @@ def row_slice(
 
     Only the blocks that the slice touches are sorted; the block sizes tell which those are.
     """
-    total, points = split_points(df, order, rows_per_block)
-    wanted = range(*slice(start, stop, step).indices(total))
+    total, blocked = in_blocks(df, order, rows_per_block)
+    return _sliced(blocked, order, range(*slice(start, stop, step).indices(total)), df)
+
+
+def _sliced(blocked: DataFrame, order: Sequence[str], wanted: range, df: DataFrame) -> DataFrame:
     if len(wanted) == 0:
         return df.limit(0).withColumn("pos", F.lit(0).cast("long"))
     low, high = min(wanted[0], wanted[-1]), max(wanted[0], wanted[-1])
-    blocked = with_block(df, order, points)
-    if points:
-        starts = [(r["_block"], r["_start"]) for r in _block_starts(blocked).orderBy("_block").collect()]
-        first = max(b for b, s in starts if s <= low)
-        last = max(b for b, s in starts if s <= high)
-        offset = next(s for b, s in starts if b == first)
-        part = blocked.filter(F.col("_block").between(first, last))
-        inside = {b: s for b, s in starts if first <= b <= last}
-        start_of = F.create_map(*[F.lit(v) for pair in inside.items() for v in pair])
-        idx = start_of[F.col("_block")]
-    else:
-        part, idx = blocked, F.lit(0)
-    rank = F.row_number().over(Window.partitionBy("_block").orderBy(*order)).cast("long")
-    idx_col = F.col("_idx")
+    touched = _block_starts(blocked).filter((F.col("_start") <= high) & (F.col("_start") + F.col("_n") > low))
+    idx = F.col("_idx")
     return (
-        part.withColumn("_idx", idx + rank - 1)
-        .filter(idx_col.between(low, high) & ((idx_col - low) % abs(wanted.step) == 0))
-        .withColumn("pos", ((idx_col - wanted[0]) / F.lit(wanted.step)).cast("long"))
-        .drop("_block", "_idx")
+        _placed(blocked, touched, order, "_idx")
+        .filter(idx.between(low, high) & ((idx - low) % abs(wanted.step) == 0))
+        .withColumn("pos", ((idx - wanted[0]) / F.lit(wanted.step)).cast("long"))
+        .drop("_idx")
     )
 
 
@@ -144,11 +103,11 @@ def row_at(
     """The row at ``index``; a negative index counts from the end."""
     if isinstance(index, bool) or not isinstance(index, int):
         raise TypeError("row position must be an integer")
-    total = df.count()
+    total, blocked = in_blocks(df, order, rows_per_block)
     at = index + total if index < 0 else index
     if not 0 <= at < total:
         raise IndexError(f"row position {index} is out of range for {total} rows")
-    return row_slice(df, order, at, at + 1, rows_per_block=rows_per_block).drop("pos")
+    return _sliced(blocked, order, range(at, at + 1), df).drop("pos")
 
 
 def head(df: DataFrame, order: Sequence[str], n: int = 5, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
@@ -180,6 +139,13 @@ def positional_equals(
     return pair.select("idx", same.alias("equal"))
 
 
+def resolved_position(index: Column, total: int) -> Column:
+    """A position within ``total`` rows; a negative one counts from the end, any other outside is an error."""
+    at = F.when(index < 0, index + total).otherwise(index)
+    message = F.concat(F.lit("row position "), F.coalesce(index.cast("string"), F.lit("null")), F.lit(f" is out of range for {total} rows"))
+    return F.when((at >= 0) & (at < total), at).otherwise(F.raise_error(message).cast("long"))
+
+
 def take_positions(
     df: DataFrame,
     order: Sequence[str],
@@ -187,5 +153,8 @@ def take_positions(
     index: str = "idx",
     rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
-    """Rows of ``df`` for a table of positions, in which positions may repeat."""
-    return lookup(positions, with_position(df, order, index, rows_per_block), [index], how="inner")
+    """Rows of ``df`` for a table of positions, in which positions may repeat and count from the end."""
+    total, placed = positioned(df, order, index, rows_per_block)
+    at = resolved_position(F.col(index).cast("long"), total)
+    # A left join: were a position without a row, the row would still be there, without values.
+    return lookup(positions.withColumn(index, at), placed, [index], how="left")

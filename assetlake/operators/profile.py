@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assetlake.operators.position import ROWS_PER_BLOCK, with_position
+from assetlake.operators.position import ROWS_PER_BLOCK, positioned
+
+#: Children of a node of a fingerprint's hash tree; part of its definition.
+ARITY = 256
 
 # Bytes per element of a fixed-width type (fixed values).
 ELEMENT_BYTES = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4, "double": 8}
@@ -119,33 +122,28 @@ def tensor_stats(df: DataFrame, column: str, key: str) -> DataFrame:
 
 
 def fingerprint(
-    df: DataFrame,
-    order: Sequence[str],
-    column: str,
-    fan_out: int = 4096,
-    rows_per_block: int = ROWS_PER_BLOCK,
+    df: DataFrame, order: Sequence[str], column: str, rows_per_block: int = ROWS_PER_BLOCK
 ) -> DataFrame:
-    """One sha256 for the whole column in ``order``.
+    """One sha256 for the whole column in ``order``: the root of a hash tree of arity ``ARITY``.
 
-    Up to ``fan_out`` rows, it is the sha256 of the row digests joined in order. Beyond that,
-    runs of ``fan_out`` digests are hashed first and the results in turn, so a group never
-    holds more than ``fan_out`` digests.
+    The leaves are the row digests (empty for null) in order. A node is the sha256 of its children joined in order;
+    there is at least one level of nodes, and levels until one node is left. The digest depends on the values and
+    their order only, and no group holds more than ``ARITY`` digests.
     """
-    total = df.count()
+    keyed = df.select(*order, F.coalesce(digest(column), F.lit("")).alias("_h"))
+    total, items = positioned(keyed, order, "_i", rows_per_block)
     if total == 0:
         empty = F.sha2(F.lit("").cast("binary"), 256)
         return df.sparkSession.range(1).select(F.lit(0).cast("long").alias("n_rows"), empty.alias("digest"))
-    keyed = df.select(*order, F.coalesce(digest(column), F.lit("")).alias("_h"))
-    items = with_position(keyed, order, "_i", rows_per_block).select("_i", "_h")
-    remaining, first = total, True
+    items, remaining, first = items.select("_i", "_h"), total, True
     while remaining > 1 or first:
         run = F.array_sort(F.collect_list(F.struct("_i", "_h")))
         text = F.array_join(F.transform(run, lambda r: r["_h"]), "")
         items = (
-            items.withColumn("_g", F.expr(f"_i div {fan_out}"))
+            items.withColumn("_g", F.expr(f"_i div {ARITY}"))
             .groupBy("_g")
             .agg(F.sha2(text.cast("binary"), 256).alias("_h"))
             .select(F.col("_g").alias("_i"), "_h")
         )
-        remaining, first = -(-remaining // fan_out), False
+        remaining, first = -(-remaining // ARITY), False
     return items.select(F.lit(total).cast("long").alias("n_rows"), F.col("_h").alias("digest"))

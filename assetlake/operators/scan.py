@@ -1,10 +1,9 @@
 """Running aggregates per key that split a hot key over many tasks.
 
 A window partitioned by key alone sorts and walks each key in one task. Here the rows are cut
-into ranges of (key, order); a window runs inside each range, and the part of a key that lies
-in earlier ranges arrives as a carry. A key can only enter a range from an earlier one if it
-is the key of that range's split point, so there is at most one carry per range and the
-broadcast of the carries is bounded by twice ``MAX_BLOCKS`` rows.
+into blocks by range of (key, order); a window runs inside each block, and the part of a key that
+lies in earlier blocks arrives as a carry, one row per key and block. Both joins are on the
+window's own partitioning.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assetlake.operators.position import ROWS_PER_BLOCK, split_points, with_block
+from assetlake.operators.position import ROWS_PER_BLOCK, in_blocks
 
 _AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min}
 
@@ -45,9 +44,8 @@ def running(
 ) -> DataFrame:
     """Add one column per running aggregate; ``keys`` + ``order`` must be a total order."""
     keys, order = list(keys), list(order)
-    _, points = split_points(df, keys + order, rows_per_block)
     inputs = df.select("*", *[a.value.alias(f"_v_{a.name}") for a in aggregates])
-    blocked = with_block(inputs, keys + order, points)
+    _, blocked = in_blocks(inputs, keys + order, rows_per_block)
     window = Window.partitionBy(*keys, "_block").orderBy(*order)
 
     def local(a: Running) -> Column:
@@ -55,33 +53,17 @@ def running(
         return _AGGREGATES[a.kind](f"_v_{a.name}").over(frame).alias(a.name)
 
     scanned = blocked.select("*", *[local(a) for a in aggregates])
-    names = [a.name for a in aggregates]
-    if points:
-        texts = list({tuple(p[k] for k in keys) for p in points})
-        listed = df.sparkSession.createDataFrame(texts, ",".join(f"`{k}` string" for k in keys))
-        entering = listed.select(*[F.col(k).cast(df.schema[k].dataType).alias(k) for k in keys])
-        before = (
-            Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-        )
-        match = [blocked[k].eqNullSafe(entering[k]) for k in keys]
-        partial = (
-            blocked.join(F.broadcast(entering), match, "left_semi")
-            .groupBy(*keys, "_block")
-            .agg(*[_AGGREGATES[a.kind](f"_v_{a.name}").alias(f"_p_{a.name}") for a in aggregates])
-        )
-        carry = partial.select(
-            *[F.col(k).alias(f"_k_{k}") for k in keys],
-            F.col("_block").alias("_b"),
-            *[
-                _AGGREGATES[a.kind](f"_p_{a.name}").over(before).alias(f"_c_{a.name}")
-                for a in aggregates
-            ],
-        )
-        on = [scanned[k].eqNullSafe(carry[f"_k_{k}"]) for k in keys]
-        on.append(scanned["_block"] == carry["_b"])
-        joined = scanned.join(F.broadcast(carry), on, "left")
-        merged = {
-            a.name: _merge(a.kind, F.col(f"_c_{a.name}"), F.col(a.name)) for a in aggregates
-        }
-        scanned = joined.select(*df.columns, *[merged[n].alias(n) for n in names])
-    return scanned.select(*df.columns, *names)
+    partial = blocked.groupBy(*keys, "_block").agg(
+        *[_AGGREGATES[a.kind](f"_v_{a.name}").alias(f"_p_{a.name}") for a in aggregates]
+    )
+    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carry = partial.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        F.col("_block").alias("_b"),
+        F.row_number().over(Window.partitionBy(*keys).orderBy("_block")).alias("_nth"),
+        *[_AGGREGATES[a.kind](f"_p_{a.name}").over(before).alias(f"_c_{a.name}") for a in aggregates],
+    ).filter("_nth > 1")
+    on = [scanned[k].eqNullSafe(carry[f"_k_{k}"]) for k in keys]
+    joined = scanned.join(carry, [*on, scanned["_block"] == carry["_b"]], "left")
+    merged = [_merge(a.kind, F.col(f"_c_{a.name}"), F.col(a.name)).alias(a.name) for a in aggregates]
+    return joined.select(*df.columns, *merged)

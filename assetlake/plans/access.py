@@ -144,16 +144,33 @@ def transformed_rows(load):
 @query(
     "sampled_batches",
     """WITH placed AS (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS idx, p_partkey, p_brand FROM part),
-            sampler AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS pos, o_custkey AS idx FROM orders)
+            sampler AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS pos,
+                               CASE WHEN o_custkey % 2 = 0 THEN (SELECT count(*) FROM part) - o_custkey ELSE o_custkey END AS idx FROM orders)
        SELECT pos // 16 AS batch_id, (pos % 16)::INTEGER AS slot, idx, p_partkey, p_brand
-       FROM sampler JOIN placed USING (idx)""",
+       FROM sampler LEFT JOIN placed USING (idx)""",
 )
 def sampled_batches(load):
-    orders = load("orders").select("o_orderkey", F.col("o_custkey").alias("idx"))
+    """A sampler whose even customers count from the end of the parts."""
+    customer = F.col("o_custkey")
+    orders = load("orders").select("o_orderkey", F.when(customer % 2 == 0, -customer).otherwise(customer).alias("idx"))
     sampler = p.with_position(orders, ["o_orderkey"], "pos").select("pos", "idx")
     return b.sampled_batches(load("part").select("p_partkey", "p_brand"), ["p_partkey"], sampler, 16)
 
 
+@query(
+    "grouped_batches",
+    """WITH placed AS (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS idx, p_partkey, p_brand FROM part),
+            groups AS (SELECT l_orderkey AS batch_id, l_linenumber AS slot, count(*) AS n, (l_orderkey + l_linenumber) % 100 AS idx
+                       FROM lineitem GROUP BY l_orderkey, l_linenumber)
+       SELECT batch_id, slot, idx, p_partkey, p_brand FROM groups LEFT JOIN placed USING (idx)""",
+)
+def grouped_batches(load):
+    """Batches given as groups of positions: one per order, with a slot per line number."""
+    lines = load("lineitem").select(F.col("l_orderkey").alias("batch_id"), F.col("l_linenumber").alias("slot")).distinct()
+    groups = lines.withColumn("idx", (F.col("batch_id") + F.col("slot")) % 100)
+    return b.grouped_batches(load("part").select("p_partkey", "p_brand"), ["p_partkey"], groups)
+
+
 @query(
     "collated_batches",
     """WITH placed AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS idx, * FROM orders)

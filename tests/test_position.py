@@ -30,8 +30,8 @@ def test_position(rows, expected, per_block):
 
 
 def test_blocks_split_the_hot_key(rows):
-    total, points = p.split_points(rows, ORDER, 50)
-    sizes = p.with_block(rows, ORDER, points).groupBy("_block").count().collect()
+    total, blocked = p.in_blocks(rows, ORDER, 50)
+    sizes = blocked.groupBy("_block").count().collect()
     assert total == 1000
     assert max(r["count"] for r in sizes) < 200
 
@@ -134,6 +134,21 @@ def test_fingerprint(spark):
     df = spark.createDataFrame([(i, f"t{i}") for i in range(50)], "i long, t string").repartition(5)
     flat = "".join(digest(f"t{i}") for i in range(50))
     assert fingerprint(df, ["i"], "t").first()["digest"] == digest(flat)
-    groups = [digest("".join(digest(f"t{i}") for i in range(s, min(s + 8, 50)))) for s in range(0, 50, 8)]
-    tree = fingerprint(df, ["i"], "t", fan_out=8, rows_per_block=7).first()
-    assert (tree["n_rows"], tree["digest"]) == (50, digest("".join(groups)))
+    many = spark.createDataFrame([(i, f"t{i}") for i in range(600)], "i long, t string").repartition(5)
+    groups = [digest("".join(digest(f"t{i}") for i in range(s, min(s + 256, 600)))) for s in range(0, 600, 256)]
+    for per_block in (7, 5000):
+        tree = fingerprint(many, ["i"], "t", rows_per_block=per_block).first()
+        assert (tree["n_rows"], tree["digest"]) == (600, digest("".join(groups)))
+
+
+def test_positions_from_the_end_and_out_of_range(spark):
+    df = spark.createDataFrame([(i, f"t{i}") for i in range(4)], "i long, t string")
+    picks = spark.createDataFrame([(0, 0), (1, -1), (2, 3), (3, -4)], "pos long, idx long")
+    got = b.sampled_batches(df, ["i"], picks, 2).orderBy("batch_id", "slot").collect()
+    assert [(r["idx"], r["t"]) for r in got] == [(0, "t0"), (3, "t3"), (3, "t3"), (0, "t0")]
+    for wrong in (4, -5, None):
+        with pytest.raises(Exception, match="out of range"):
+            b.sampled_batches(df, ["i"], spark.createDataFrame([(0, wrong)], "pos long, idx long"), 2).collect()
+    groups = spark.createDataFrame([(0, 0, 2), (0, 1, -2), (1, 0, 0)], "batch_id long, slot int, idx long")
+    got = b.grouped_batches(df, ["i"], groups).orderBy("batch_id", "slot").collect()
+    assert [r["t"] for r in got] == ["t2", "t2", "t0"]
