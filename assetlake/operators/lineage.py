@@ -15,7 +15,11 @@ from assetlake.session import cut_lineage, shared_dir
 
 
 class CycleError(ValueError):
-    """The dependencies form a cycle."""
+    """The dependencies form a cycle; ``nodes``, where known, is the table of the nodes on cycles."""
+
+    def __init__(self, message: str, nodes: DataFrame | None = None):
+        super().__init__(message)
+        self.nodes = nodes
 
 
 def latest_definitions(definitions: DataFrame) -> DataFrame:
@@ -26,11 +30,18 @@ def latest_definitions(definitions: DataFrame) -> DataFrame:
 
 
 def dependencies(definitions: DataFrame) -> DataFrame:
-    """``(src, dst, internal)`` per declared dependency of the latest definitions."""
+    """``(src, dst, internal)`` per declared dependency of the latest definitions, stored once."""
+    return graph(definitions)[1]
+
+
+def graph(definitions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The nodes and the :func:`dependencies` of the latest definitions, both stored."""
     current = cut_lineage(latest_definitions(definitions), "definitions")
     declared = current.select(F.explode("depends_on").alias("src"), F.col("node").alias("dst")).distinct()
-    nodes = current.select(F.col("node").alias("src"), F.lit(True).alias("_known"))
-    return lookup(declared, nodes, ["src"]).select("src", "dst", F.col("_known").isNotNull().alias("internal"))
+    nodes = current.select("node")
+    known = nodes.select(F.col("node").alias("src"), F.lit(True).alias("_known"))
+    found = lookup(declared, known, ["src"]).select("src", "dst", F.col("_known").isNotNull().alias("internal"))
+    return nodes, cut_lineage(found, "dependencies")
 
 
 def lineage_edges(definitions: DataFrame) -> DataFrame:
@@ -41,33 +52,28 @@ def lineage_edges(definitions: DataFrame) -> DataFrame:
 def lineage_levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``(node, level)``: the length of the longest path from an asset without dependencies.
 
-    Round r holds the nodes that a path of r edges reaches; a node's level is its last round.
-    Only the edges that leave the current round are followed.
+    A node enters the round in which its last dependency is placed. Each edge is followed once and then dropped; edges
+    that are left when no node can be placed belong to cycles or hang on one.
     """
     spark = nodes.sparkSession
-    edges = cut_lineage(edges.select("src", "dst").distinct(), "edges")
+    rest = cut_lineage(edges.select("src", "dst").distinct(), "edges")
     path = shared_dir(spark, "levels")
-    nodes = cut_lineage(nodes.select("node").distinct(), "nodes")
-    total = nodes.count()
-    front = nodes.join(
-        edges.select(F.col("dst").alias("node")).distinct(), "node", "left_anti"
-    )
+    kind = nodes.schema["node"].dataType.simpleString()
+    front = nodes.select("node").distinct().join(rest.select(F.col("dst").alias("node")), "node", "left_anti")
     level = 0
     while True:
         front.write.parquet(f"{path}/level={level}")
-        reached = spark.read.schema(front.schema).parquet(f"{path}/level={level}")
-        if reached.isEmpty():
+        front = spark.read.schema(f"node {kind}").parquet(f"{path}/level={level}")
+        placed = front.select(F.col("node").alias("src"))
+        followed = rest.join(placed, "src", "left_semi").select(F.col("dst").alias("node")).distinct()
+        rest = cut_lineage(rest.join(placed, "src", "left_anti"), "edges")
+        if front.isEmpty():
             break
-        if level > total:
-            raise CycleError("the dependencies form a cycle")
-        follow = edges.join(reached.select(F.col("node").alias("src")), "src", "left_semi")
-        front = follow.select(F.col("dst").alias("node")).distinct()
+        front = followed.join(rest.select(F.col("dst").alias("node")), "node", "left_anti")
         level += 1
-    every = spark.read.schema(f"node {nodes.schema['node'].dataType.simpleString()}, level int").parquet(path)
-    levels = every.groupBy("node").agg(F.max("level").alias("level"))
-    if levels.count() != total:
-        raise CycleError("some assets depend on a cycle")
-    return levels
+    if not rest.isEmpty():
+        raise CycleError("the dependencies form a cycle")
+    return spark.read.schema(f"node {kind}, level int").parquet(path)
 
 
 def level_groups(levels: DataFrame, edges: DataFrame) -> DataFrame:
@@ -98,29 +104,82 @@ def cyclic_edges(edges: DataFrame) -> DataFrame:
     return rest.select("src", "dst")
 
 
-def cyclic_nodes(edges: DataFrame) -> DataFrame:
-    """Nodes on a cycle, or on a path between cycles; empty means the graph can be ordered."""
+def _spread(marks: DataFrame, edges: DataFrame, purpose: str) -> DataFrame:
+    """The least ``mark`` that reaches each node of ``marks`` along ``edges``, one written round per step."""
+    marks = cut_lineage(marks, purpose)
+    while True:
+        reached = edges.join(marks.select(F.col("node").alias("src"), "mark"), "src").select(F.col("dst").alias("node"), "mark")
+        after = marks.unionByName(reached).groupBy("node").agg(F.min("mark").alias("mark"))
+        after = cut_lineage(after, purpose)
+        if after.join(marks, ["node", "mark"], "left_anti").isEmpty():
+            return after
+        marks = after
+
+
+def cycle_members(edges: DataFrame) -> DataFrame:
+    """``(node, component)``: every node on a cycle, with the least node of its strongly connected component.
+
+    Each round peels what is on no cycle, marks every node with the least node that reaches it, and takes for each
+    mark the nodes that also reach back to it; these components leave the graph.
+    """
+    spark = edges.sparkSession
     rest = cyclic_edges(edges)
-    return rest.select(F.col("src").alias("node")).union(rest.select("dst")).distinct()
+    path, k = shared_dir(spark, "components"), 0
+    kind = rest.schema["src"].dataType.simpleString()
+    while True:
+        nodes = rest.select(F.col("src").alias("node")).union(rest.select("dst")).distinct()
+        ahead = _spread(nodes.withColumn("mark", F.col("node")), rest, "reach")
+        marks = ahead.select(F.col("node"), F.col("mark"))
+        inside = (
+            rest.join(marks.select(F.col("node").alias("src"), F.col("mark").alias("m")), "src")
+            .join(marks.select(F.col("node").alias("dst"), F.col("mark").alias("m")), ["dst", "m"])
+            .select("src", "dst")
+        )
+        inside = cut_lineage(inside, "inside")
+        back = inside.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+        roots = marks.filter("node = mark")
+        members = _spread(roots, back, "members")
+        sizes = members.groupBy("mark").agg(F.count(F.lit(1)).alias("n"))
+        loops = inside.filter("src = dst").select(F.col("src").alias("mark")).distinct().withColumn("loop", F.lit(True))
+        real = sizes.join(loops, "mark", "left").filter("n > 1 OR loop").select("mark")
+        members.join(real, "mark", "left_semi").select("node", F.col("mark").alias("component")).write.parquet(f"{path}/round={k}")
+        gone = members.select("node")
+        rest = rest.join(gone.withColumnRenamed("node", "src"), "src", "left_anti").join(
+            gone.withColumnRenamed("node", "dst"), "dst", "left_anti"
+        )
+        rest, k = cyclic_edges(rest), k + 1
+        if rest.isEmpty():
+            return spark.read.schema(f"node {kind}, component {kind}, round int").parquet(path).drop("round")
+
+
+def cyclic_nodes(edges: DataFrame) -> DataFrame:
+    """Nodes on a cycle; empty means the graph can be ordered."""
+    return cycle_members(edges).select("node")
 
 
 def require_acyclic(edges: DataFrame) -> None:
-    """Raise ``CycleError`` naming some of the cyclic nodes."""
-    some = cyclic_nodes(edges).limit(20).collect()
-    if some:
-        raise CycleError("cyclic dependencies around " + ", ".join(sorted(str(r["node"]) for r in some)))
+    """Raise ``CycleError`` if there is a cycle; its ``nodes`` is the table of all nodes on cycles."""
+    # What peeling leaves is empty exactly if there is no cycle.
+    if not cyclic_edges(edges).isEmpty():
+        nodes = cut_lineage(cyclic_nodes(edges), "cyclic")
+        raise CycleError(f"cyclic dependencies around {nodes.count()} nodes, least {nodes.agg(F.min('node')).first()[0]}", nodes)
 
 
 def cycle_paths(edges: DataFrame) -> DataFrame:
     """All simple cycles as ``a -> b -> a``, from each asset to what it depends on.
 
-    Each cycle is found once, from its smallest node: paths grow along edges to larger nodes
-    until they return to their start or cannot grow.
+    Each cycle is found once, from its smallest node: paths grow along edges to larger nodes of the same strongly
+    connected component until they return to their start or cannot grow.
     """
     spark = edges.sparkSession
+    members = cut_lineage(cycle_members(edges), "members")
+    inside = (
+        edges.select("src", "dst").distinct()
+        .join(members.select(F.col("node").alias("src"), "component"), "src")
+        .join(members.select(F.col("node").alias("dst"), "component"), ["dst", "component"])
+    )
     steps = cut_lineage(
-        cyclic_edges(edges).select(F.col("dst").cast("string").alias("last"), F.col("src").cast("string").alias("next")),
-        "cycle-steps",
+        inside.select(F.col("dst").cast("string").alias("last"), F.col("src").cast("string").alias("next")), "cycle-steps"
     )
     root = shared_dir(spark, "cycles")
     grown = steps.select(F.col("last").alias("start"), F.array("last").alias("path"), "last").distinct()

@@ -59,14 +59,13 @@ def external_deps(load):
 
 
 def _levels(load):
-    declared = definitions(load)
-    nodes = g.latest_definitions(declared).select("node")
-    return g.lineage_levels(nodes, g.lineage_edges(declared))
+    nodes, depends = g.graph(definitions(load))
+    return g.lineage_levels(nodes, depends.filter("internal").select("src", "dst")), depends
 
 
 @query("lineage_levels", _LEVELS_SQL + "SELECT node, level FROM levels")
 def lineage_levels(load):
-    return _levels(load)
+    return _levels(load)[0]
 
 
 @query(
@@ -78,11 +77,11 @@ def lineage_levels(load):
          FROM (SELECT *, count(*) OVER (PARTITION BY level) AS n_assets FROM levels) LEFT JOIN depends ON dst = node""",
 )
 def level_groups(load):
-    return g.level_groups(_levels(load), g.dependencies(definitions(load)))
+    return g.level_groups(*_levels(load))
 
 
 def ring_edges(load):
-    """Groups of four parts in a chain; by size, some chains close into one or more cycles."""
+    """Groups of four parts in a chain; by size, some chains close into one or more cycles, joined by bridge nodes."""
     parts = load("part").select(F.expr("p_partkey div 4").alias("b"), (F.col("p_partkey") % 4).alias("i"), "p_size")
 
     def name(i):
@@ -92,7 +91,12 @@ def ring_edges(load):
     close = parts.filter("i = 3 AND p_size > 25").select(name(3).alias("src"), name(0).alias("dst"))
     back = parts.filter("i = 2 AND p_size > 25").select(name(2).alias("src"), name(0).alias("dst"))
     loop = parts.filter("i = 1 AND p_size > 40").select(name(1).alias("src"), name(1).alias("dst"))
-    return chain.unionByName(close).unionByName(back).unionByName(loop)
+    # Group b leads to group b + 1 by way of a node that is on no cycle itself.
+    bridge = F.concat(F.lit("bridge"), F.col("b"))
+    after = F.concat(F.lit("g"), F.col("b") + 1, F.lit(".0"))
+    into = parts.filter("i = 3").select(name(3).alias("src"), bridge.alias("dst"))
+    out = parts.filter("i = 3").select(bridge.alias("src"), after.alias("dst"))
+    return chain.unionByName(close).unionByName(back).unionByName(loop).unionByName(into).unionByName(out)
 
 
 _RINGS_SQL = """
@@ -101,12 +105,14 @@ e AS (
   SELECT 'g' || b || '.' || i AS src, 'g' || b || '.' || (i + 1) AS dst FROM parts WHERE i < 3
   UNION ALL SELECT 'g' || b || '.3', 'g' || b || '.0' FROM parts WHERE i = 3 AND p_size > 25
   UNION ALL SELECT 'g' || b || '.2', 'g' || b || '.0' FROM parts WHERE i = 2 AND p_size > 25
-  UNION ALL SELECT 'g' || b || '.1', 'g' || b || '.1' FROM parts WHERE i = 1 AND p_size > 40),
+  UNION ALL SELECT 'g' || b || '.1', 'g' || b || '.1' FROM parts WHERE i = 1 AND p_size > 40
+  UNION ALL SELECT 'g' || b || '.3', 'bridge' || b FROM parts WHERE i = 3
+  UNION ALL SELECT 'bridge' || b, 'g' || (b + 1) || '.0' FROM parts WHERE i = 3),
 walk AS (
-  SELECT dst AS start, [dst] AS path, src AS next FROM e WHERE src >= dst
+  SELECT dst AS start, [dst] AS path, src AS next FROM e WHERE src >= dst AND src NOT LIKE 'bridge%' AND dst NOT LIKE 'bridge%'
   UNION ALL
   SELECT w.start, list_append(w.path, w.next), e.src FROM walk w JOIN e ON e.dst = w.next
-  WHERE w.next > w.start AND NOT list_contains(w.path, w.next) AND e.src >= w.start),
+  WHERE w.next > w.start AND NOT list_contains(w.path, w.next) AND e.src >= w.start AND e.src NOT LIKE 'bridge%'),
 cycles AS (SELECT path, array_to_string(list_append(path, start), ' -> ') AS cycle FROM walk WHERE next = start)
 """
 
