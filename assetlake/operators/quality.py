@@ -11,7 +11,8 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,7 +64,11 @@ def _invalid(df: DataFrame, column: str, valid: Sequence[Any]) -> Column:
         listed = [bool(v) for v in listed if v in (0, 1)]
     value = F.col(f"`{column}`")
     missing = is_missing(df, column)
-    outside = ~value.isin(listed) if listed else F.lit(True)
+    if isinstance(data_type, (T.StringType, T.NumericType, T.BooleanType)):
+        within = value.isin(listed) if listed else F.lit(False)
+    else:  # a listed value that the column's type cannot hold equals nothing
+        within = value.isin([F.lit(v).try_cast(data_type) for v in listed]) if listed else F.lit(False)
+    outside = ~F.coalesce(within, F.lit(False))
     return F.when(missing, F.lit(None not in valid)).otherwise(outside)
 
 
@@ -231,7 +236,7 @@ class IsTrue(Rule):
 
 def duplicates(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     """Every key that occurs more than once, with its number of rows."""
-    return df.groupBy(*subset).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
+    return df.groupBy(*[F.col(f"`{c}`") for c in subset]).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
 
 
 def invalid_values(df: DataFrame, column: str, valid: Sequence[Any]) -> DataFrame:
@@ -259,7 +264,8 @@ def skewness_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, n, skewness)`` for every column, in one pass."""
     parts = []
     for i, c in enumerate(columns):
-        parts += [F.count(c).alias(f"_n{i}"), adjusted_skewness(c).alias(f"_s{i}")]
+        numbers = F.count(F.when(~is_missing(df, c), 1))
+        parts += [numbers.alias(f"_n{i}"), adjusted_skewness(c).alias(f"_s{i}")]
     rows = F.array(
         *[
             F.struct(F.lit(c).alias("column"), F.col(f"_n{i}").alias("n"), F.col(f"_s{i}").alias("skewness"))
@@ -322,6 +328,33 @@ def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return report
 
 
+def evaluated(df: DataFrame, rules: Sequence[Rule]) -> list[Row]:
+    """The rows of :func:`run_suite`, evaluated now; a rule that cannot be evaluated fails on its own.
+
+    The fused aggregate is tried first. Only if it fails are the rules evaluated one by one, so that the guilty ones
+    fail with their error and the others keep their results.
+    """
+    try:
+        return run_suite(df, rules).orderBy("position").collect()  # one row per rule
+    except PySparkException:
+        rows = []
+    for position, rule in enumerate(reversed(list(rules))):
+        try:
+            row = run_suite(df, [rule]).first().asDict()
+        except PySparkException as error:
+            name = error.getCondition() or type(error).__name__
+            row = {"rule": rule.name, "args": rule.args(), "passed": False, "violations": 1, "detail": name}
+        rows.append(Row(**(row | {"position": position})))
+    return rows
+
+
+def evaluated_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """:func:`evaluated` as a table."""
+    names = [part.split()[0] for part in REPORT_SCHEMA.split(", ")]
+    rows = [tuple(r[n] for n in names) for r in evaluated(df, rules)]
+    return df.sparkSession.createDataFrame(rows, REPORT_SCHEMA)
+
+
 def failure_message(report: DataFrame, *by: str) -> DataFrame:
     """``failed: rule(args), …`` over the failed rules, or null where all passed.
 
@@ -340,7 +373,7 @@ def failure_message(report: DataFrame, *by: str) -> DataFrame:
 
 def check(df: DataFrame, rules: Sequence[Rule]) -> list:
     """Run the suite and raise ``SuiteFailed`` after all rules if any failed."""
-    rows = run_suite(df, rules).orderBy("position").collect()
+    rows = evaluated(df, rules)
     failed = [r for r in rows if not r["passed"]]
     if failed:
         raise SuiteFailed(

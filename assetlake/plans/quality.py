@@ -177,6 +177,22 @@ def predicate_report(load):
     return q.run_suite(load("orders"), rules).select("args", "passed")
 
 
+@query(
+    "suite_errors",
+    """SELECT * FROM (VALUES (0, 'assert_true', false, 1), (1, 'assert_valid_values', false, (SELECT count(*) FROM orders)::INTEGER),
+                              (2, 'assert_not_null', true, 0), (3, 'assert_true', true, 0)) t(position, rule, passed, violations)""",
+)
+def suite_errors(load):
+    """A rule that fails at run time and a date column with a text in its list; the other rules keep their results."""
+    rules = [
+        q.IsTrue("min(o_totalprice) > 0"),
+        q.NotNull(["o_orderkey"]),
+        q.ValidValues("o_orderdate", ["nope"]),
+        q.IsTrue("max(1 / (o_orderkey - o_orderkey)) > 0"),
+    ]
+    return q.evaluated_report(load("orders"), rules).select("position", "rule", "passed", "violations")
+
+
 @query(
     "describe_opaque",
     """WITH g AS (SELECT sha256(text) AS digest, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY 1)
@@ -229,4 +245,4 @@ SELECT (SELECT count(*) FROM documents) AS n_rows, h AS digest FROM two
 
 @query("dataset_fingerprint", _FINGERPRINT_SQL)
 def dataset_fingerprint(load):
-    return profile.fingerprint(load("documents"), ["doc_id"], "text", fan_out=256)
+    return profile.fingerprint(load("documents"), ["doc_id"], "text")

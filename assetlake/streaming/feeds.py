@@ -44,8 +44,12 @@ def _writer(stream: DataFrame, checkpoint: str, follow: bool):
     return writer.trigger(availableNow=True)
 
 
-def drain(query: StreamingQuery, timeout: float = DRAIN_SECONDS) -> str | None:
-    """Wait for a bounded query to end; the warning text tells if it did not end in time."""
+def drain(query: StreamingQuery, timeout: float | None = None) -> str | None:
+    """Wait for a bounded query to end; with a ``timeout`` (``DRAIN_SECONDS``, say) it is stopped after that
+    and the warning text tells so."""
+    if timeout is None:
+        query.awaitTermination()
+        return None
     if query.awaitTermination(timeout):
         return None
     query.stop()
@@ -70,9 +74,11 @@ def log_sink(calls: DataFrame, keep: Sequence[str], sink: str, checkpoint: str,
     """Type logged values and append them; bad rows land in ``status=error``, never raise."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # the typing reads it once per level of nesting
         typed = metadata.type_log_rows(batch, keep)
         status = F.when(F.col("error").isNull(), "ok").otherwise("error")
         typed.withColumn("status", status).write.mode("overwrite").partitionBy("status").parquet(f"{sink}/batch={batch_id}")
+        batch.unpersist()
 
     return _writer(calls, checkpoint, follow).foreachBatch(write).start()
 
@@ -188,21 +194,20 @@ def checked_sink(
     checkpoint: str,
     follow: bool = False,
 ) -> StreamingQuery:
-    """Run a suite on every micro-batch; a failing batch goes to ``quarantine``, not to ``good``.
+    """Run a suite on every micro-batch; a passing one is published to ``good``, a failing one to ``quarantine``.
 
-    The batch is written once, to quarantine, and checked there; only a batch that passes is
-    then copied on.
+    The batch is written once to a staging folder, which the next batch replaces, and checked there.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        held = f"{quarantine}/batch={batch_id}"
-        batch.write.mode("overwrite").parquet(held)
-        stored = spark.read.schema(batch.schema).parquet(held)
-        report = f"{reports}/batch={batch_id}"
-        quality.run_suite(stored, rules).coalesce(1).write.mode("overwrite").parquet(report)
-        if spark.read.schema(quality.REPORT_SCHEMA).parquet(report).filter(~F.col("passed")).isEmpty():
-            stored.write.mode("overwrite").parquet(f"{good}/batch={batch_id}")
+        staged = f"{checkpoint}-staging"
+        batch.write.mode("overwrite").parquet(staged)
+        stored = spark.read.schema(batch.schema).parquet(staged)
+        report = quality.evaluated_report(stored, rules)
+        report.coalesce(1).write.mode("overwrite").parquet(f"{reports}/batch={batch_id}")
+        target = good if report.filter(~F.col("passed")).isEmpty() else quarantine
+        stored.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     return _writer(stream, checkpoint, follow).foreachBatch(write).start()
 
