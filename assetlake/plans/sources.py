@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import functions as F
 
+from assetlake.operators.quality import NotNull
 from assetlake.plans.registry import query
 from assetlake.session import shared_dir
-from assetlake.sources import builds, chunks, files, records
+from assetlake.sources import builds, files, records
 
 
 @query(
@@ -21,13 +24,20 @@ def scan_concat(load):
     return builds.concat([first, second])
 
 
-_TABLES = ["customer", "orders", "lineitem", "part", "supplier", "events", "documents", "embeddings", "pages", "conversations"]
+_TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
 
 
-@query("partition_manifest")
+@query(
+    "partition_manifest",
+    " UNION ALL ".join(f"SELECT '{n}' AS name, 'parquet' AS format, count(*) AS n_rows FROM {n}" for n in _TABLES),
+)
 def partition_manifest(load):
-    manifests = [files.partition_manifest(load.spark, [load.path(n)]) for n in _TABLES]
-    return files.require_parquet(builds.concat(manifests))
+    """Rows of every table by its manifest, all checksums computed."""
+    parts = [files.partition_manifest(load.spark, [load.path(n)]).withColumn("name", F.lit(n)) for n in _TABLES]
+    whole = builds.concat(parts).filter(F.length("checksum") == 32)
+    return whole.groupBy("name", "format").agg(F.sum("n_rows").alias("n_rows"))
 
 
 @query(
@@ -61,29 +71,6 @@ def build_roundtrip(load):
     return store.read("orders")
 
 
-@query(
-    "byte_chunks",
-    """SELECT count(*) AS n_rows, sum(octet_length(encode(text)))::BIGINT AS n_bytes,
-              0::BIGINT AS oversized, 0::BIGINT AS gaps FROM documents""",
-)
-def byte_chunks(load):
-    """Coverage of the chunk layout: all rows, all bytes (less the 8 + 4 fixed bytes per row), no gaps."""
-    laid = chunks.byte_chunks(load("documents").select("doc_id", "text"), limit=500_000)
-    # Each partition's chunks must start where the ones before it end.
-    per = laid.groupBy("partition").agg(
-        F.sum("n_rows").alias("n_rows"),
-        F.sum(F.col("n_bytes") - 12 * F.col("n_rows")).alias("n_bytes"),
-        F.count(F.when(F.col("n_bytes") > 500_000, 1)).alias("oversized"),
-        F.max(F.col("start") + F.col("n_rows")).alias("end"),
-    )
-    return per.agg(
-        F.sum("n_rows").alias("n_rows"),
-        F.sum("n_bytes").alias("n_bytes"),
-        F.sum("oversized").alias("oversized"),
-        F.count(F.when(F.col("end") != F.col("n_rows"), 1)).alias("gaps"),
-    )
-
-
 @query(
     "records_to_table",
     """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
@@ -114,6 +101,34 @@ def file_admission(load):
     return listed.select("*", files.admit(F.col("path"), F.col("size")).alias("_a")).select("page_id", "path", "size", "_a.*")
 
 
-@query("dir_inventory")
-def dir_inventory(load):
-    return files.inventory(files.list_files(load.spark, load.root, "*.parquet"))
+@query(
+    "build_outcomes",
+    """SELECT 'good' AS name, 'COMPLETED' AS status, CAST(NULL AS VARCHAR) AS info, count(*) AS n_rows FROM orders
+       UNION ALL SELECT 'raising', 'FAILED', 'Dataset build failed with no table ' || count(*) || ' rows', 0 FROM orders
+       UNION ALL SELECT 'listed', 'COMPLETED', NULL, count(DISTINCT o_orderstatus) FROM orders""",
+)
+def build_outcomes(load):
+    """States and rows of a good, a raising and a list dataset built from ``orders``."""
+    store = builds.BuildStore(load.spark, shared_dir(load.spark, "builds"))
+
+    @builds.dataset("good", rules=[NotNull(["o_orderkey"])])
+    def good(spark):
+        return load("orders")
+
+    @builds.dataset("raising")
+    def raising(spark):
+        raise ValueError(f"no table {load('orders').count()} rows")
+
+    @builds.dataset("listed")
+    def listed(spark):
+        states = load("orders").groupBy("o_orderstatus").count().collect()  # a handful of states
+        return [{"state": r["o_orderstatus"], "n": r["count"]} for r in states]
+
+    for function in (good, raising, listed):
+        with contextlib.suppress(ValueError):
+            store.build(function)
+    sizes = [
+        store.read(f.name).agg(F.lit(f.name).alias("name"), F.count(F.lit(1)).alias("n_rows")) for f in (good, listed)
+    ]
+    states = store.builds().select("name", "status", "info").join(builds.concat(sizes), "name", "left")
+    return states.withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))

@@ -3,21 +3,28 @@
 from __future__ import annotations
 
 import functools
+import hashlib
+import inspect
+import json
 import time
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from assetlake.operators import catalog, quality
 from assetlake.session import prepare
+from assetlake.sources import records
 
 EVENT_SCHEMA = (
     "seq long, name string, version string, version_no long, index long, build_id string, "
     "status int, location string, info string, schema string"
 )
+REGISTRATION_SCHEMA = "seq long, name string, description string, dependencies array<string>, source_digest string"
 STARTED, COMPLETED, FAILED = 1, 2, 3
 
 
@@ -35,10 +42,19 @@ def concat(frames: Sequence[DataFrame]) -> DataFrame:
 
 def read_nanosecond_times(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """Read Parquet whose ``columns`` are nanosecond timestamps, cut to microseconds."""
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    df = spark.read.parquet(path)
-    micros = {c: F.timestamp_micros(F.expr(f"`{c}` div 1000")).cast("timestamp_ntz") for c in columns}
-    return df.withColumns(micros)
+    setting = "spark.sql.legacy.parquet.nanosAsLong"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "true")
+    try:
+        df = spark.read.parquet(path)
+        micros = {c: F.timestamp_micros(F.floor(F.col(f"`{c}`") / 1000)).cast("timestamp_ntz") for c in columns}
+        df = df.withColumns(micros)
+    finally:
+        if before is None:
+            spark.conf.unset(setting)
+        else:
+            spark.conf.set(setting, before)
+    return df
 
 
 @dataclass(frozen=True)
@@ -96,26 +112,14 @@ class BuildStore:
 
     def _next_index(self, name: str, version: str) -> int:
         try:
-            events = self.events()
-        except Exception:  # no build was ever recorded below this root
-            return 1
-        same = events.filter((F.col("name") == name) & (F.col("version") == version))
-        return (same.agg(F.max("index")).first()[0] or 0) + 1
-
-    def write(
-        self,
-        df: DataFrame,
-        name: str,
-        version: str = "1",
-        rules: Sequence[quality.Rule] = (),
-        index: int | None = None,
-        max_records_per_file: int = 0,
-    ) -> str:
-        """Write one build and return its id.
-
-        The table is computed once, into the build's own folder; the rules then run on the
-        written columns. If a rule fails, the build is recorded as FAILED, without a location.
-        """
+            events = self.events().filter((F.col("name") == name) & (F.col("version") == version))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return 1  # no build was ever recorded below this root
+        return (events.agg(F.max("index")).first()[0] or 0) + 1
+
+    def _start(self, name: str, version: str, index: int | None) -> dict:
         build = {
             "name": name,
             "version": version,
@@ -123,24 +127,68 @@ class BuildStore:
             "index": index if index is not None else self._next_index(name, version),
             "build_id": uuid.uuid4().hex,
         }
-        location = f"{self.root}/{name}/{build['build_id']}"
         self._record(status=STARTED, **build)
+        return build
+
+    def _finish(self, build: dict, make: Callable, rules: Sequence[quality.Rule], max_records_per_file: int) -> str | None:
+        """Make, write and check the table of a started build; whatever is raised is recorded as its failure."""
+        location = f"{self.root}/{build['name']}/{build['build_id']}"
         try:
+            result = make()
+            if result is None:
+                self._record(status=COMPLETED, **build)
+                return None
+            df = records.check_table(result)
             df.write.mode("errorifexists").option("maxRecordsPerFile", max_records_per_file).parquet(location)
             if rules:
                 quality.check(self.spark.read.schema(df.schema).parquet(location), rules)
-        except Exception as error:
+        except BaseException as error:
             self._record(status=FAILED, info=str(error), **build)
             raise
         self._record(status=COMPLETED, location=location, schema=df.schema.json(), **build)
         return build["build_id"]
 
+    def write(
+        self,
+        df: DataFrame,
+        name: str,
+        version: str = "1",
+        rules: Sequence[quality.Rule] = (),
+        index: int | None = None,
+        max_records_per_file: int = 0,
+    ) -> str:
+        """Write one build and return its id.
+
+        The table is computed once, into the build's own folder; the rules then run on the
+        written columns. If a rule fails, the build is recorded as FAILED, without a location.
+        """
+        return self._finish(self._start(name, version, index), lambda: df, rules, max_records_per_file)
+
+    def register(self, function: DatasetFunction) -> None:
+        """Record a dataset function's description, dependencies and source digest; the last registration counts."""
+        names = [d.name if isinstance(d, DatasetFunction) else d for d in function.dependencies]
+        try:
+            source = inspect.getsource(function.function)
+        except OSError:  # defined in an interactive session
+            source = function.function.__qualname__
+        row = (time.time_ns(), function.name, function.description, names, hashlib.sha256(source.encode()).hexdigest())
+        entry = self.spark.createDataFrame([row], REGISTRATION_SCHEMA)
+        entry.coalesce(1).write.mode("append").parquet(f"{self.root}/_registrations")
+
+    def registrations(self) -> DataFrame:
+        """What is registered of each dataset."""
+        every = self.spark.read.schema(REGISTRATION_SCHEMA).parquet(f"{self.root}/_registrations")
+        return catalog.registry_latest(every, ["name"], "seq")
+
     def build(self, function: DatasetFunction, version: str = "1", *args, **kwargs) -> str | None:
-        """Run a dataset function and write its result; no result means no build."""
-        result = function(self.spark, *args, **kwargs)
-        if result is None:
-            return None
-        return self.write(result, function.name, version, function.rules)
+        """Register and run a dataset function and write its result, a DataFrame or a list of dicts.
+
+        The build is STARTED before the function runs and FAILED if it raises. Without a result the build completes
+        but has nothing to read.
+        """
+        self.register(function)
+        started = self._start(function.name, version, None)
+        return self._finish(started, lambda: function(self.spark, *args, **kwargs), function.rules, 0)
 
     def read(self, name: str, version: str | None = None, index: int | None = None) -> DataFrame:
         """Latest completed build of a dataset, of one version of it, or exactly one build."""
@@ -149,7 +197,9 @@ class BuildStore:
             chosen = chosen.filter(F.col("version") == version)
         if index is not None:
             chosen = chosen.filter(F.col("index") == index)
-        best = catalog.latest_build(chosen, ["name"], ["location"]).first()
+        chosen = chosen.filter("location IS NOT NULL")
+        best = catalog.latest_build(chosen, ["name"], ["location", "build_id"]).first()
         if best is None:
             raise LookupError(f"no completed build of {name}")
-        return scan_partitions(self.spark, [best["location"]])
+        written = self.events().filter((F.col("build_id") == best["build_id"]) & (F.col("status") == COMPLETED)).first()
+        return self.spark.read.schema(StructType.fromJson(json.loads(written["schema"]))).parquet(best["location"])

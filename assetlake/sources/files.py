@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,24 +23,24 @@ def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> Da
     return reader.load(path).select("path", "length", F.col("modificationTime").alias("modified"))
 
 
-def inventory(files: DataFrame) -> DataFrame:
-    """Number of files and bytes."""
-    kept = files.filter(~F.endswith("path", F.lit("/")))
-    return kept.agg(
-        F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")
-    )
-
-
 def partition_manifest(spark: SparkSession, paths: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
-    """``(location, format, n_rows, length, checksum)`` per Parquet file.
+    """``(location, format, n_rows, length, checksum)`` per file; any file that is not Parquet is an error.
 
-    The checksum covers the rows of a file in any order: row hashes are summed and xor-ed, so
-    large files are read split by split and none is held in memory whole.
+    The files are listed and their formats checked before one is opened. The checksum covers the schema and the rows
+    of a file in any order: row hashes, which include which values are null, are summed and xor-ed, so large files are
+    read split by split and none is held in memory whole.
     """
+    listed = reduce(DataFrame.unionAll, [list_files(spark, p) for p in paths])
+    formats = listed.select(F.ltrim(suffix(F.col("path")), F.lit(".")).alias("format"))
+    require_parquet(formats.distinct()).count()
     df = spark.read.option("mergeSchema", True).parquet(*paths)
-    row = F.xxhash64(*(columns or df.columns))
+    names = list(columns or df.columns)
+    row = F.xxhash64(*[part for n in names for part in (F.col(f"`{n}`").isNull(), F.col(f"`{n}`"))])
     digest = F.concat(
-        F.lpad(F.hex(F.bit_xor(row)), 16, "0"), F.hex(F.sum(F.pmod(row, F.lit(2**31)))), F.hex(F.count(F.lit(1)))
+        F.lit(df.select(*[f"`{n}`" for n in names]).schema.simpleString()),
+        F.lpad(F.hex(F.bit_xor(row)), 16, "0"),
+        F.hex(F.sum(F.pmod(row, F.lit(2**31)))),
+        F.hex(F.count(F.lit(1))),
     )
     location = F.col("_metadata.file_path")
     return df.groupBy(location.alias("location"), F.col("_metadata.file_size").alias("length")).agg(
@@ -50,10 +51,11 @@ def partition_manifest(spark: SparkSession, paths: Sequence[str], columns: Seque
 
 
 def require_parquet(manifest: DataFrame) -> DataFrame:
-    """The manifest itself; reading it fails at the first partition of another format."""
+    """The manifest itself; whatever reads it fails at the first partition of another format."""
     message = F.concat(F.lit("Unsupported partition format: "), F.coalesce(F.col("format"), F.lit("none")))
-    checked = F.when(F.col("format").eqNullSafe("parquet"), F.col("format")).otherwise(F.raise_error(message))
-    return manifest.withColumn("format", checked.cast("string"))
+    refused = F.raise_error(message).cast("boolean")
+    # A filter, unlike a column, is evaluated whichever columns are used later.
+    return manifest.filter(F.when(F.col("format").eqNullSafe("parquet"), F.lit(True)).otherwise(refused))
 
 
 def cache_plan(
@@ -67,17 +69,18 @@ def cache_plan(
     manifest = require_parquet(manifest)
     if no_cache:
         return manifest.withColumn("action", F.lit("remote"))
+    known = F.coalesce(F.col("checksum"), F.lit("")) != ""
     stored = cache.select("checksum").distinct().withColumn("_cached", F.lit(True))
     decided = (
-        manifest.filter(F.coalesce(F.col("checksum"), F.lit("")) != "")
+        manifest.filter(known)
         .groupBy("checksum")
         .agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_n"))
         .join(stored, "checksum", "left")
     )
     hit = F.col("_cached").isNotNull() | (F.col(order) != F.col("_first"))
-    action = F.when(F.col("_n").isNull(), "remote").when(hit, "cache").otherwise("fetch")
-    planned = lookup(manifest, decided, ["checksum"], weight="_n")
-    return planned.withColumn("action", action).drop("_first", "_n", "_cached")
+    planned = lookup(manifest.filter(known), decided, ["checksum"], weight="_n")
+    planned = planned.withColumn("action", F.when(hit, "cache").otherwise("fetch")).drop("_first", "_n", "_cached")
+    return planned.unionByName(manifest.filter(~known).withColumn("action", F.lit("remote")))
 
 
 def admit(path: Column, size: Column) -> Column:

@@ -3,10 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from assetlake.plans.registry import ORACLES, QUERIES
 from compare import duck, duck_table, spark_table
 
 SF_DIR = "/root/testdata/sf0.001"
-ROWS_ONLY = {"partition_manifest", "dir_inventory"}
 
 
 @pytest.fixture(scope="module")
@@ -14,17 +14,14 @@ def con():
     return duck(SF_DIR)
 
 
-def test_every_query_has_a_twin_or_is_known_to_have_none():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
+def test_every_query_has_a_twin():
+    assert set(QUERIES) == set(ORACLES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     got = spark_table(entry.queries()[name](spark, SF_DIR))
-    if name in ROWS_ONLY:
-        assert got[1]
-    else:
-        assert got == duck_table(con, entry.oracle_sql()[name])
+    assert got == duck_table(con, entry.oracle_sql()[name])
 
 
 def test_entry(spark):

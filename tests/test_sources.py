@@ -7,38 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assetlake.operators import quality as q
-from assetlake.sources import builds, chunks, files, records
-
-
-def batch(*lengths):
-    return pa.RecordBatch.from_arrays([pa.array(["x" * n for n in lengths])], names=["data"])
-
-
-@pytest.mark.parametrize(
-    "lengths, limit, rows",
-    [((3, 3, 3), 4_000_000, [3]), ((3, 3, 3, 3, 2), 15, [2, 2, 1]), ((3, 3, 11, 3, 2), 15, [1] * 5), ((3, 3, 3, 3), 14, [2, 2]), ((), 5, [])],
-)
-def test_chunk_sizes(lengths, limit, rows):
-    sizes = chunks.chunk_sizes(batch(*lengths), limit)
-    assert [n for _, n, _ in sizes] == rows
-    assert all(size <= limit for _, _, size in sizes)
-
-
-def test_chunk_errors():
-    with pytest.raises(ValueError, match="average 6 bytes"):
-        chunks.chunk_sizes(batch(3, 3, 3, 3, 2), 5)
-    with pytest.raises(ValueError, match="row 2 alone"):
-        chunks.chunk_sizes(batch(3, 3, 17, 3, 2), 15)
-
-
-def test_chunk_layout_has_no_gaps(spark):
-    df = spark.range(25_000).select(F.repeat(F.lit("x"), (F.col("id") % 40).cast("int")).alias("t")).repartition(3)
-    rows = chunks.byte_chunks(df, 50_000).orderBy("partition", "chunk_id").collect()
-    ends = {}
-    for r in rows:
-        assert r["start"] == ends.get(r["partition"], 0) and r["n_bytes"] <= 50_000
-        ends[r["partition"]] = r["start"] + r["n_rows"]
-    assert sum(ends.values()) == 25_000
+from assetlake.sources import builds, files, records
 
 
 def test_concat_of_partitions(spark, lake):
@@ -81,9 +50,27 @@ def test_dataset_functions(spark, lake):
     def nothing(session):
         return None
 
+    @builds.dataset("bad")
+    def raising(session):
+        raise SystemExit("stopped")
+
+    @builds.dataset("l", description="two rows")
+    def listed(session):
+        return [{"a": 1}, {"a": 2, "b": "x"}]
+
     assert store.build(nothing) is None
+    with pytest.raises(LookupError):
+        store.read("none")
     store.build(numbers)
     assert store.read("d").count() == 3
+    store.build(listed)
+    assert sorted(map(tuple, store.read("l").collect())) == [(1, None), (2, "x")]
+    with pytest.raises(SystemExit):
+        store.build(raising)
+    states = {r["name"]: r["status"] for r in store.builds().collect()}
+    assert states == {"none": "COMPLETED", "d": "COMPLETED", "l": "COMPLETED", "bad": "FAILED"}
+    known = {r["name"]: (r["description"], r["dependencies"]) for r in store.registrations().collect()}
+    assert known["d"] == ("", ["datasets/x"]) and known["l"] == ("two rows", [])
     assert store.write(spark.range(0), "empty") and store.read("empty").isEmpty()
     with pytest.raises(ValueError):
         builds.dataset("d", dependencies=[3])
@@ -124,9 +111,17 @@ def test_manifest_and_format_gate(spark, lake):
     manifest = files.partition_manifest(spark, [f"{lake}/a"])
     assert manifest.agg(F.sum("n_rows")).first()[0] == 100
     assert files.require_parquet(manifest).count() == 2
-    assert files.inventory(files.list_files(spark, f"{lake}/a", "*.parquet")).first()["files"] == 2
+    csv = manifest.withColumn("format", F.lit("csv")).withColumn("checksum", F.lit(""))
+    for read in (files.require_parquet(csv), files.cache_plan(csv, manifest, "location").drop("format")):
+        with pytest.raises(Exception, match="Unsupported partition format: csv"):
+            read.count()
+    df.write.csv(f"{lake}/other")
     with pytest.raises(Exception, match="Unsupported partition format: csv"):
-        files.require_parquet(manifest.withColumn("format", F.lit("csv"))).collect()
+        files.partition_manifest(spark, [f"{lake}/a", f"{lake}/other"])
+    rows = [("a", None), (None, "a")]
+    for i, row in enumerate(rows):
+        spark.createDataFrame([row], "x string, y string").write.parquet(f"{lake}/null{i}")
+    assert len({files.partition_manifest(spark, [f"{lake}/null{i}"]).first()["checksum"] for i in range(2)}) == 2
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         files.list_files(spark, f"{lake}/missing").collect()
 
