@@ -25,28 +25,21 @@ def full_hash(text: str) -> Column:
 def refine(
     docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str] = (), bits: int = FILTER_BITS
 ) -> tuple[DataFrame, DataFrame]:
-    """The stages of the refinement: (rows that alone have their length and prefix, groups of equal texts).
+    """(``docs`` with ``_ed_maybe``: whether another row may have its length and prefix; ids and full hashes of those).
 
-    The first stored pass keeps (id, length, prefix hash) of each row. Lengths that occur once are settled; of
-    the others, prefixes that occur once are settled. Only the remaining rows are read again in full and hashed
+    The first pass counts the rows of each length and prefix hash. Lengths that occur once are settled; of the others,
+    prefixes that occur once are settled. Only the remaining rows are read again in full and hashed
     with SHA-256. The surviving (length, prefix) keys reach that second scan as a bit filter of bounded size.
     """
     norm = normalised(text_col)
-    first = cut_lineage(
-        docs.select(
-            F.col(id_col).alias("id"),
-            F.octet_length(norm).alias("len"),
-            F.xxhash64(F.octet_length(norm), F.substring(norm, 1, PREFIX_CHARS)).alias("prefix"),
-        ),
-        "exact-prefix",
-    )
-    lengths = first.groupBy("len").agg(F.count(F.lit(1)).alias("n"))
-    shared_len = lengths.where("n > 1")
-    narrowed = first.join(shared_len.select("len"), "len", "left_semi")
-    shared_prefix = narrowed.groupBy("len", "prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    key = F.xxhash64(F.octet_length(norm), F.substring(norm, 1, PREFIX_CHARS))
+    first = docs.select(F.octet_length(norm).alias("len"), key.alias("prefix"))
+    # Rows are counted by length and prefix first, so that a group of copies is one row from here on.
+    pairs = cut_lineage(first.groupBy("len", "prefix").agg(F.count(F.lit(1)).alias("n")), "exact-pairs")
+    lengths = pairs.groupBy("len").agg(F.sum("n").alias("rows")).where("rows > 1")
+    shared_prefix = pairs.join(lengths, "len", "left_semi").where("n > 1")
     surviving = cut_lineage(bit_filter(shared_prefix, "prefix", bits), "exact-filter")
-    again = docs.withColumn("_ed_key", F.xxhash64(F.octet_length(norm), F.substring(norm, 1, PREFIX_CHARS)))
-    flagged = maybe_in(again, F.col("_ed_key"), surviving, "_ed_maybe", bits).drop("_ed_key")
+    flagged = maybe_in(docs, key, surviving, "_ed_maybe", bits)
     hashed = cut_lineage(
         flagged.where("_ed_maybe").select(F.col(id_col).alias("id"), full_hash(text_col).alias("hash"), *carry),
         "exact-hash",
