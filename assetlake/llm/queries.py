@@ -5,7 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from assetlake.llm import embedding_dedup, exact_dedup, langid, mixing, packing, sharding, simhash, token_counts
+from assetlake.llm import (
+    embedding_dedup,
+    exact_dedup,
+    langid,
+    lm_scoring,
+    mixing,
+    packing,
+    sharding,
+    simhash,
+    substring_dedup,
+    token_counts,
+)
 from assetlake.llm.common import crc32_utf8, whole
 from assetlake.plans.registry import Tables
 from assetlake.session import prepare
@@ -30,6 +41,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_lm_scoring")
+def op1(t):
+    """Log-bilinear and unigram scores of every document."""
+    return lm_scoring.score(t("documents"))
+
+
 @query("op2_token_counts")
 def op2(t):
     """Byte-level BPE tokens of every document."""
@@ -59,6 +76,13 @@ def op4(t):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query("op5_substring_dedup")
+def op5(t):
+    """Words left of every document once repeated passages are removed."""
+    left = substring_dedup.substring_dedup(t("documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
+
+
 @query("op6_sharding")
 def op6(t):
     """Forty shards by a two-pass shuffle; row counts differ by one at most."""
