@@ -12,7 +12,7 @@ from assetlake.session import cut_lineage
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_REPEATS = 3
-ROWS_PER_BLOCK = 50_000
+ROWS_PER_BLOCK = 4_000
 SEED = "mix-1/"
 #: Relative weight of a source over the run, as (time, weight) knots joined by straight lines; sources take the
 #: schedules in turn, as they take the weights. The integral of a schedule is scaled to the source's taken words.
