@@ -16,7 +16,8 @@ from assetlake.session import cut_lineage
 
 CAPACITY = 4096
 END = 1
-ROUNDS = 16
+#: Rounds of the schedule, knapsack tables per round, the step of the weights, and the least fill of a configuration.
+ROUNDS, PRICINGS, ETA, NEARLY_FULL = 4, 40, 1.0, 0.998
 ROWS_PER_BLOCK = 4_000
 KEPT_WORDS = 1_000_000
 
@@ -81,56 +82,74 @@ def pieces(
 
 
 def price_configurations(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Knapsack by dynamic programming: the dearest filling of every capacity and the length it uses last (index)."""
+    """Knapsack by dynamic programming: the dearest filling of every capacity and the item it takes last (-1: none).
+
+    ``lengths`` descend, so that of equally dear fillings the one of longer items is taken.
+    """
     best, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    fits = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
+    first = np.searchsorted(-lengths, -np.arange(capacity + 1))
     for room in range(1, capacity + 1):
-        if k := fits[room]:
-            values = best[room - lengths[:k]] + prices[:k]
+        k = first[room]
+        if k < len(lengths):
+            values = best[room - lengths[k:]] + prices[k:]
             j = int(values.argmax())
-            if values[j] > best[room - 1]:
-                best[room], last[room] = values[j], j
+            if values[j] > best[room - 1] + 1e-12:
+                best[room], last[room] = values[j], k + j
                 continue
         best[room] = best[room - 1]
     return best, last
 
 
-def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = ROUNDS) -> dict[tuple[int, ...], float]:
-    """Fractional configurations (tuples of length indices) that cover the demand.
+def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = ROUNDS) -> dict[tuple, float]:
+    """Fractional configurations, as tuples of (item, copies), within the demand; ``lengths`` descend.
 
     Multiplicative weights: a length's price starts at its size and falls by a factor for each demand-share it is
-    covered ahead of the round's schedule. Each round prices all configurations with one knapsack table, and every
-    length that is behind, longest first, buys the dearest configuration that contains it.
+    covered ahead of the round's schedule; one without any left is free. Every length that is behind, longest first,
+    buys the dearest configuration that contains it, read from a knapsack table, as much as the scarcest length in it
+    has left. When a configuration would not be nearly full the prices are set anew, up to ``PRICINGS`` times a round;
+    what still finds no full configuration waits for the next round, and after the last for the rounding.
     """
-    covered, x = np.zeros(len(lengths)), defaultdict(float)
+    covered, x, sizes = np.zeros(len(lengths)), defaultdict(float), lengths.tolist()
+    noise = np.random.default_rng(5)
     for t in range(1, rounds + 1):
-        due = demand * (t / rounds)
-        ahead = covered / demand - (t - 1) / rounds
-        prices = lengths / capacity * np.exp(-0.5 * rounds * np.clip(ahead, 0, None) / 4)
-        _, last = price_configurations(lengths, prices, capacity)
-        steps = np.flatnonzero(last >= 0)
-        below = np.zeros(capacity + 1, np.int64)  # the largest room, this or smaller, at which an item is taken
-        below[steps] = steps
-        below = np.maximum.accumulate(below)
-        for i in range(len(lengths) - 1, -1, -1):
-            behind = due[i] - covered[i]
-            if behind <= 1e-9:
-                continue
-            items, room = [i], capacity - int(lengths[i])
-            while room > 0 and (room := int(below[room])) > 0 and last[room] >= 0:
-                items.append(int(last[room]))
-                room -= int(lengths[last[room]])
-            times = behind / items.count(i)
-            x[tuple(sorted(items, reverse=True))] += times
-            np.add.at(covered, items, times)
+        left = (demand * (t / rounds) - covered).tolist()
+        below, taken, tables, fresh = [], [], 0, False
+        for i, size in enumerate(sizes):
+            while left[i] > 1e-9:
+                if not below:
+                    ahead = np.clip(covered / demand * rounds - (t - 1), 0, None)
+                    prices = lengths / capacity * np.exp(-ETA * ahead) * (1 + 1e-3 * noise.random(len(lengths)))
+                    some = np.flatnonzero(np.array(left) > 1e-9)
+                    _, last = price_configurations(lengths[some], prices[some], capacity)
+                    below = np.zeros(capacity + 1, np.int64)  # the largest room, this or smaller, at which an item is taken
+                    below[last >= 0] = np.flatnonzero(last >= 0)
+                    below, taken = np.maximum.accumulate(below).tolist(), some[last].tolist()
+                    tables, fresh = tables + 1, True
+                items, room = {i: 1}, capacity - size
+                while room > 0 and (at := below[room]):
+                    j = taken[at]
+                    if left[j] <= 1e-9 or items.get(j, 0) + 1 > demand[j]:
+                        room = at - 1  # none of it left: the next smaller filling
+                        continue
+                    items[j] = items.get(j, 0) + 1
+                    room = at - sizes[j]
+                if sum(sizes[j] * k for j, k in items.items()) < NEARLY_FULL * capacity:
+                    if fresh or tables >= PRICINGS:
+                        break
+                    below = []
+                    continue
+                times, fresh = min(left[j] / k for j, k in items.items()), False
+                x[tuple(sorted(items.items()))] += times
+                for j, k in items.items():
+                    left[j] -= k * times
+                    covered[j] += k * times
     return x
 
 
-def best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[list[int]]:
-    """Best-fit decreasing of what rounding leaves: lists of length indices, one per sequence."""
+def best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[dict[int, int]]:
+    """Best-fit decreasing of what rounding leaves: copies by item, one dictionary per sequence; ``lengths`` descend."""
     sequences, rooms, mask = [], defaultdict(list), 0
-    for i in range(len(lengths) - 1, -1, -1):
-        size = int(lengths[i])
+    for i, size in enumerate(lengths.tolist()):
         for _ in range(int(left[i])):
             fitting = mask >> size
             if fitting:
@@ -140,8 +159,8 @@ def best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[list[
                     mask &= ~(1 << room)
             else:
                 room, s = capacity, len(sequences)
-                sequences.append([])
-            sequences[s].append(i)
+                sequences.append({})
+            sequences[s][i] = sequences[s].get(i, 0) + 1
             rest = room - size
             if rest:
                 rooms[rest].append(s)
@@ -156,27 +175,25 @@ def layout(histogram: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
     configuration bought and so bounded whatever the corpus, is placed by best fit. Rows are in order of
     (length, first rank).
     """
-    lengths = np.array(sorted(histogram), np.int64)
+    lengths = np.array(sorted(histogram, reverse=True), np.int64)
     left = np.array([histogram[k] for k in lengths.tolist()], np.int64)
     rows, sequence, used = [], 0, np.zeros(len(lengths), np.int64)
 
-    def place(items: list[int], times: int) -> None:
+    def place(items: dict[int, int], times: int) -> None:
         nonlocal sequence
         offset = 0
-        for i in sorted(set(items), reverse=True):
-            copies = items.count(i)
+        for i, copies in items.items():
             rows.append((lengths[i], used[i], sequence, copies, offset))
             used[i] += copies * times
             offset += copies * int(lengths[i])
         sequence += times
 
-    for items, share in sorted(solve(lengths, left.astype(float), capacity).items(), reverse=True):
-        need = {i: items.count(i) for i in items}
-        times = min(int(share), *(int(left[i]) // k for i, k in need.items()))
+    for items, share in sorted(solve(lengths, left.astype(float), capacity).items()):
+        times = min(int(share), *(int(left[i]) // k for i, k in items))
         if times > 0:
-            for i, k in need.items():
+            for i, k in items:
                 left[i] -= k * times
-            place(list(items), times)
+            place(dict(items), times)
     for items in best_fit(lengths, left, capacity):
         place(items, 1)
     table = np.array(rows, np.int64).reshape(-1, 5)
