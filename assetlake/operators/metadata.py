@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assetlake.operators.skew import lookup
-from assetlake.session import cut_lineage
 
 # Types of logged values (fixed names).
 TEXT, TABLE, NUMBER, BOOLEAN = "TEXT", "TABLE", "NUMBER", "BOOLEAN"
@@ -39,45 +38,56 @@ def _kind(value: Column) -> Column:
     return F.coalesce(table[F.coalesce(name, F.lit("?"))], F.lit("number"))
 
 
+def _depth(json: Column) -> Column:
+    """How deep the objects of a JSON text are nested, from its braces outside of strings."""
+    braces = F.regexp_replace(F.regexp_replace(json, r'"(\\.|[^"\\])*"', ""), "[^{}]", "")
+    zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(state: Column, brace: Column) -> Column:
+        now = state["now"] + F.when(brace == "{", 1).when(brace == "}", -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))
+
+    return F.aggregate(F.split(braces, ""), zero, step)["most"]
+
+
 def walk_objects(df: DataFrame, keep: Sequence[str], column: str, delimiter: str = "/") -> DataFrame:
     """All non-object values inside JSON objects of any depth.
 
     Returns ``keep``, the key path, the enclosing key (null at the top), the key, the kind and
-    the plain text of the value. Arrays stay whole. Each round opens one level; only values
-    that are objects themselves are written out for the next round, until there are none.
-    Texts without a second brace are not opened in search of them.
+    the plain text of the value. Arrays stay whole. A text that is no valid JSON, or has a key
+    twice, gives one row of kind ``invalid`` without a path. One pass finds how deep the objects
+    go; then a single plan parses each text once and opens all objects level by level.
     """
-    level = df.select(
-        *keep,
-        F.lit(None).cast("string").alias("path"),
-        F.lit(None).cast("string").alias("key"),
-        F.trim(F.col(column)).alias("json"),
-    )
-
-    def opened(texts: DataFrame) -> DataFrame:
-        entries = texts.filter(F.startswith("json", F.lit("{"))).select(
+    texts = df.select(*keep, F.trim(F.col(column)).alias("json")).filter("json IS NOT NULL")
+    depth = texts.filter(F.startswith("json", F.lit("{"))).agg(F.max(_depth(F.col("json")))).first()[0] or 0
+    none = F.lit(None).cast("string")
+    rows = texts.select(
+        *keep, none.alias("path"), none.alias("parent"), none.alias("key"), F.try_parse_json("json").alias("v")
+    ).filter("v IS NULL OR startswith(schema_of_variant(v), 'OBJ')")
+    # What is no object passes a level as an entry without a key.
+    entry = "array<struct<key:string,value:variant>>"
+    opened = F.map_entries(F.try_variant_get("v", "$", "map<string,variant>")).cast(entry)
+    same = F.array(F.struct(none.alias("key"), F.col("v").alias("value")))
+    inner = F.col("_e.key").isNotNull()
+    for _ in range(depth):
+        rows = rows.withColumn("_e", F.explode(F.when(_kind(F.col("v")) == "object", opened).otherwise(same))).select(
             *keep,
-            F.col("path").alias("above"),
-            F.col("key").alias("parent"),
-            F.explode(F.try_parse_json("json").cast("map<string,variant>")).alias("key", "v"),
+            F.when(inner, F.concat_ws(delimiter, "path", "_e.key")).otherwise(F.col("path")).alias("path"),
+            F.when(inner, F.col("key")).otherwise(F.col("parent")).alias("parent"),
+            F.coalesce("_e.key", "key").alias("key"),
+            F.col("_e.value").alias("v"),
         )
-        path = F.concat_ws(delimiter, "above", "key").alias("path")
-        return entries.select(*keep, path, "parent", "key", _kind(F.col("v")).alias("kind"), F.col("v").cast("string").alias("text"))
-
-    found = None
-    while True:
-        text = F.when(F.col("kind") == "boolean", F.initcap("text")).otherwise(F.col("text"))
-        leaves = opened(level).filter(F.col("kind") != "object").withColumn("text", text)
-        found = leaves if found is None else found.unionByName(leaves)
-        nested = level.filter(F.instr(F.substring("json", 2, 2**31 - 1), "{") > 0)
-        inner = opened(nested).filter(F.col("kind") == "object")
-        level = cut_lineage(inner.select(*keep, "path", "key", F.col("text").alias("json")), "json-level")
-        if level.isEmpty():
-            return found
+    kind, text = _kind(F.col("v")), F.col("v").cast("string")
+    return rows.select(*keep, "path", "parent", "key", kind.alias("kind"), text.alias("text")).withColumn(
+        "text", F.when(F.col("kind") == "boolean", F.initcap("text")).otherwise(F.col("text"))
+    )
 
 
 def flatten_params(df: DataFrame, keep: Sequence[str], column: str, delimiter: str = "/") -> DataFrame:
-    """``(keep, path, value)`` for every leaf of nested JSON objects; null becomes ``None``."""
+    """``(keep, path, value)`` for every leaf of nested JSON objects; null becomes ``None``.
+
+    A text that cannot be parsed gives a row without path and value.
+    """
     value = F.when(F.col("kind") == "null", "None").otherwise(F.col("text"))
     return walk_objects(df, keep, column, delimiter).select(*keep, "path", value.alias("value"))
 
@@ -160,7 +170,9 @@ def decode_log_rows(df: DataFrame) -> DataFrame:
         F.when(kind == NUMBER, value.try_cast("double")).alias("number"),
         F.when(kind.isin(TEXT, MARKDOWN, TABLE), value).alias("text"),
         F.when(kind == BOOLEAN, value == "True").alias("flag"),
-        F.when(~F.coalesce(known, F.lit(False)), "not a plain value").alias("decode_error"),
+        F.when(~F.coalesce(known, F.lit(False)), "not a plain value")
+        .when((kind == NUMBER) & value.try_cast("double").isNull(), "not a number")
+        .alias("decode_error"),
     )
 
 

@@ -4,37 +4,45 @@ from pyspark.sql import functions as F
 from assetlake.functions import refs, status, text
 from assetlake.operators import catalog as c
 
-PARSED = [
-    ("models/test", None, (None, None, "models", "test", None, None, None)),
-    ("models/test", "models", (None, None, "models", "test", None, None, None)),
-    ("test", "models", (None, None, "models", "test", None, None, None)),
-    ("test:1", "models", (None, None, "models", "test", "1", None, None)),
-    ("models/test:1.2", None, (None, None, "models", "test", "1", 2, None)),
-    ("the-project/models/test:1.2", None, (None, "the-project", "models", "test", "1", 2, None)),
-    ("the-org/the-project/models/test:1.2", None, ("the-org", "the-project", "models", "test", "1", 2, None)),
-    ("The-org/The_Project/datasets/test_asset#sel", None, ("The-org", "The_Project", "datasets", "test_asset", None, None, "sel")),
-    ("The-org/The_Project/datasets/t:the_tag.12#sel", None, ("The-org", "The_Project", "datasets", "t", "the_tag", 12, "sel")),
-]
+PATHS = {"": (None, None), "prj/": (None, "prj"), "acc/prj/": ("acc", "prj")}
+VERSIONS = {"": (None, None), ":": ("", None), ":v_7": ("v_7", None), ":7.": ("7", None), ":7.40": ("7", 40), ":.3": ("", 3)}
+SELECTORS = {"": None, "#Col-1": "Col-1"}
 
 
 def parsed(spark, ref, *args, **kwargs):
     return refs.parse_refs(spark.createDataFrame([(ref,)], "ref string"), "ref", "r", *args, **kwargs)
 
 
-@pytest.mark.parametrize("ref, expected_type, parts", PARSED)
-def test_parse(spark, ref, expected_type, parts):
-    got = parsed(spark, ref, expected_type).first()["r"]
-    assert (got["status"], tuple(got)[1:]) == ("ok", parts)
+@pytest.mark.parametrize("kind", ["datasets", "models"])
+def test_parse_with_each_optional_part_present_and_absent(spark, kind):
+    want = {
+        f"{path}{kind}/N_1-x{version}{selector}": (*owner, kind, "N_1-x", *build, chosen)
+        for path, owner in PATHS.items()
+        for version, build in VERSIONS.items()
+        for selector, chosen in SELECTORS.items()
+    }
+    df = spark.createDataFrame([(r,) for r in want], "ref string")
+    for expected_type in (None, kind):
+        got = refs.parse_refs(df, "ref", "r", expected_type).collect()
+        assert {r["ref"]: (r["r"]["status"], tuple(r["r"])[1:]) for r in got} == {k: ("ok", v) for k, v in want.items()}
+    bare = refs.parse_refs(spark.createDataFrame([("N:2.5#s",)], "ref string"), "ref", "r", kind).first()["r"]
+    assert tuple(bare) == ("ok", None, None, kind, "N", "2", 5, "s")
 
 
 @pytest.mark.parametrize(
     "ref, expected_type, problem",
     [
-        ("the-model:1.21", None, "full path or type needed"),
-        ("a/b/c/models/x", None, "pattern mismatch"),
-        ("models/x y", None, "pattern mismatch"),
-        ("models/x", "datasets", "type mismatch"),
-        (None, None, "missing reference"),
+        ("N:2.5", None, "full path or type needed"),
+        ("", None, "full path or type needed"),
+        ("files/N", None, "pattern mismatch"),
+        ("x/acc/prj/models/N", None, "pattern mismatch"),
+        ("datasets/", None, "pattern mismatch"),
+        ("datasets/N:V", None, "pattern mismatch"),
+        ("datasets/N:1.x", None, "pattern mismatch"),
+        ("datasets/N#", None, "pattern mismatch"),
+        ("datasets/N .1", "datasets", "pattern mismatch"),
+        ("acc/prj/datasets/N", "models", "type mismatch"),
+        (None, "models", "missing reference"),
     ],
 )
 def test_parse_errors(spark, ref, expected_type, problem):

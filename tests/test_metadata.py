@@ -55,18 +55,23 @@ def test_objects_expand_and_lose_the_step(spark):
 
 def test_flatten_any_depth(spark):
     deep = '{"a": {"b": {"c": {"d": {"e": "x"}}}}, "n": null, "l": [{"k": 1}], "s": "{no}"}'
-    df = spark.createDataFrame([(1, deep), (2, "[1]"), (3, None), (4, "not json")], "id long, j string")
-    got = sorted((r["id"], r["path"], r["value"]) for r in m.flatten_params(df, ["id"], "j").collect())
-    assert got == [(1, "a/b/c/d/e", "x"), (1, "l", '[{"k":1}]'), (1, "n", "None"), (1, "s", "{no}")]
+    texts = [(1, deep), (2, "[1]"), (3, None), (4, "not json"), (5, "{bad"), (6, '{"a": 1, "a": 2}'), (7, '{"e": {}, "}{": {"}": "{"}}')]
+    df = spark.createDataFrame(texts, "id long, j string")
+    got = sorted(((r["id"], r["path"], r["value"]) for r in m.flatten_params(df, ["id"], "j").collect()), key=repr)
+    assert got == [
+        (1, "a/b/c/d/e", "x"), (1, "l", '[{"k":1}]'), (1, "n", "None"), (1, "s", "{no}"),
+        (4, None, None), (5, None, None), (6, None, None), (7, "}{/}", "{"),
+    ]
+    assert m.flatten_params(df.limit(0), ["id"], "j").isEmpty()
 
 
 def test_decoding(spark):
-    rows = [("NUMBER", "2.5"), ("BOOLEAN", "False"), ("TEXT", "t"), ("MARKDOWN", "m"), ("IMAGE", "u")]
+    rows = [("NUMBER", "2.5"), ("BOOLEAN", "False"), ("TEXT", "t"), ("MARKDOWN", "m"), ("IMAGE", "u"), ("NUMBER", "abc")]
     df = spark.createDataFrame(rows, "type string, value string")
     got = m.decode_log_rows(df).collect()
     assert [(r["number"], r["text"], r["flag"], r["decode_error"]) for r in got] == [
         (2.5, None, None, None), (None, None, False, None), (None, "t", None, None), (None, "m", None, None),
-        (None, None, None, "not a plain value"),
+        (None, None, None, "not a plain value"), (None, None, None, "not a number"),
     ]
 
 
