@@ -16,8 +16,10 @@ from assetlake.session import cut_lineage
 
 CAPACITY = 4096
 END = 1
-#: Rounds of the schedule, knapsack tables per round, the step of the weights, and the least fill of a configuration.
-ROUNDS, PRICINGS, ETA, NEARLY_FULL = 4, 40, 1.0, 0.998
+#: Rounds of the schedule, knapsack tables per round, the step of the weights, and the least fills of configurations.
+ROUNDS, PRICINGS, ETA, FILLS = 4, 40, 1.0, (0.998, 0.95, 0.85, 0.7)
+#: A packing this close to the least number of sequences that the volume allows is not tried again.
+GOOD = 1.001
 ROWS_PER_BLOCK = 4_000
 KEPT_WORDS = 1_000_000
 
@@ -100,14 +102,16 @@ def price_configurations(lengths: np.ndarray, prices: np.ndarray, capacity: int)
     return best, last
 
 
-def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = ROUNDS) -> dict[tuple, float]:
+def solve(
+    lengths: np.ndarray, demand: np.ndarray, capacity: int, least_fill: float = FILLS[0], rounds: int = ROUNDS
+) -> dict[tuple, float]:
     """Fractional configurations, as tuples of (item, copies), within the demand; ``lengths`` descend.
 
     Multiplicative weights: a length's price starts at its size and falls by a factor for each demand-share it is
     covered ahead of the round's schedule; one without any left is free. Every length that is behind, longest first,
     buys the dearest configuration that contains it, read from a knapsack table, as much as the scarcest length in it
-    has left. When a configuration would not be nearly full the prices are set anew, up to ``PRICINGS`` times a round;
-    what still finds no full configuration waits for the next round, and after the last for the rounding.
+    has left. When a configuration would be less full than ``least_fill`` the prices are set anew, up to ``PRICINGS`` times a round;
+    what still finds no such configuration waits for the next round, and after the last for the rounding.
     """
     covered, x, sizes = np.zeros(len(lengths)), defaultdict(float), lengths.tolist()
     noise = np.random.default_rng(5)
@@ -133,7 +137,7 @@ def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int =
                         continue
                     items[j] = items.get(j, 0) + 1
                     room = at - sizes[j]
-                if sum(sizes[j] * k for j, k in items.items()) < NEARLY_FULL * capacity:
+                if sum(sizes[j] * k for j, k in items.items()) < least_fill * capacity:
                     if fresh or tables >= PRICINGS:
                         break
                     below = []
@@ -168,15 +172,9 @@ def best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[dict[
     return sequences
 
 
-def layout(histogram: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
-    """Where the pieces of each length go: rows (length, first rank, first sequence, copies in one sequence, offset).
-
-    The fractional solution is rounded down, never beyond the demand; the rest, less than a sequence for each
-    configuration bought and so bounded whatever the corpus, is placed by best fit. Rows are in order of
-    (length, first rank).
-    """
-    lengths = np.array(sorted(histogram, reverse=True), np.int64)
-    left = np.array([histogram[k] for k in lengths.tolist()], np.int64)
+def rounded(lengths: np.ndarray, demand: np.ndarray, capacity: int, least_fill: float) -> tuple[int, list[tuple]]:
+    """A packing as (number of sequences, rows as :func:`layout` gives them)."""
+    left = demand.copy()
     rows, sequence, used = [], 0, np.zeros(len(lengths), np.int64)
 
     def place(items: dict[int, int], times: int) -> None:
@@ -188,15 +186,34 @@ def layout(histogram: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
             offset += copies * int(lengths[i])
         sequence += times
 
-    for items, share in sorted(solve(lengths, left.astype(float), capacity).items()):
-        times = min(int(share), *(int(left[i]) // k for i, k in items))
+    for items, share in sorted(solve(lengths, left.astype(float), capacity, least_fill).items()):
+        times = min(int(share + 1e-9), *(int(left[i]) // k for i, k in items))
         if times > 0:
             for i, k in items:
                 left[i] -= k * times
             place(dict(items), times)
     for items in best_fit(lengths, left, capacity):
         place(items, 1)
-    table = np.array(rows, np.int64).reshape(-1, 5)
+    return sequence, rows
+
+
+def layout(histogram: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
+    """Where the pieces of each length go: rows (length, first rank, first sequence, copies in one sequence, offset).
+
+    The fractional solution is rounded down, never beyond the demand; the rest, less than a sequence for each
+    configuration bought and so bounded whatever the corpus, is placed by best fit. Where lengths do not fill sequences
+    well, the program is solved with lesser fills too and the packing of fewest sequences taken. Rows are in order of
+    (length, first rank).
+    """
+    lengths = np.array(sorted(histogram, reverse=True), np.int64)
+    demand = np.array([histogram[k] for k in lengths.tolist()], np.int64)
+    least, best = -(-int((lengths * demand).sum()) // capacity), None
+    for fill in FILLS:
+        found = rounded(lengths, demand, capacity, fill)
+        best = found if best is None or found[0] < best[0] else best
+        if best[0] <= max(least + 1, least * GOOD):
+            break
+    table = np.array(best[1], np.int64).reshape(-1, 5)
     return table[np.lexsort((table[:, 1], table[:, 0]))]
 
 
