@@ -21,7 +21,7 @@ GROUP = 20_000
 CHUNK = 20_000
 LAST = (1 << 63) - 1
 ALL = -1
-KEPT_WORDS = 600_000
+KEPT_WORDS = 300_000
 
 
 def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
