@@ -104,48 +104,45 @@ def cyclic_edges(edges: DataFrame) -> DataFrame:
     return rest.select("src", "dst")
 
 
-def _spread(marks: DataFrame, edges: DataFrame, purpose: str) -> DataFrame:
-    """The least ``mark`` that reaches each node of ``marks`` along ``edges``, one written round per step."""
-    marks = cut_lineage(marks, purpose)
+def _reach(edges: DataFrame) -> DataFrame:
+    """``(node, way, mark)``: for way 0 the least node that reaches each node, for way 1 the least one it reaches."""
+    both = edges.select("src", "dst", F.lit(0).alias("way")).unionByName(
+        edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.lit(1).alias("way"))
+    )
+    both = cut_lineage(both, "ways")
+    marks = both.select(F.col("src").alias("node"), "way").union(both.select("dst", "way")).distinct()
+    marks = cut_lineage(marks.withColumn("mark", F.col("node")), "reach")
     while True:
-        reached = edges.join(marks.select(F.col("node").alias("src"), "mark"), "src").select(F.col("dst").alias("node"), "mark")
-        after = marks.unionByName(reached).groupBy("node").agg(F.min("mark").alias("mark"))
-        after = cut_lineage(after, purpose)
-        if after.join(marks, ["node", "mark"], "left_anti").isEmpty():
-            return after
-        marks = after
+        reached = both.join(marks.select(F.col("node").alias("src"), "way", "mark"), ["src", "way"])
+        own = marks.withColumn("own", F.col("mark"))
+        every = own.unionByName(reached.select(F.col("dst").alias("node"), "way", "mark"), allowMissingColumns=True)
+        after = every.groupBy("node", "way").agg(F.min("mark").alias("mark"), F.min("own").alias("own"))
+        after = cut_lineage(after, "reach")
+        marks = after.drop("own")
+        if after.filter("mark <> own").isEmpty():
+            return marks
 
 
 def cycle_members(edges: DataFrame) -> DataFrame:
     """``(node, component)``: every node on a cycle, with the least node of its strongly connected component.
 
-    Each round peels what is on no cycle, marks every node with the least node that reaches it, and takes for each
-    mark the nodes that also reach back to it; these components leave the graph.
+    Each round peels what is on no cycle and marks every node with the least node that reaches it and the least one it
+    reaches. Where the two agree, the node and its mark reach each other; these components leave the graph.
     """
     spark = edges.sparkSession
     rest = cyclic_edges(edges)
     path, k = shared_dir(spark, "components"), 0
     kind = rest.schema["src"].dataType.simpleString()
     while True:
-        nodes = rest.select(F.col("src").alias("node")).union(rest.select("dst")).distinct()
-        ahead = _spread(nodes.withColumn("mark", F.col("node")), rest, "reach")
-        marks = ahead.select(F.col("node"), F.col("mark"))
-        inside = (
-            rest.join(marks.select(F.col("node").alias("src"), F.col("mark").alias("m")), "src")
-            .join(marks.select(F.col("node").alias("dst"), F.col("mark").alias("m")), ["dst", "m"])
-            .select("src", "dst")
-        )
-        inside = cut_lineage(inside, "inside")
-        back = inside.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-        roots = marks.filter("node = mark")
-        members = _spread(roots, back, "members")
+        marks = _reach(rest)
+        agreed = marks.groupBy("node", "mark").agg(F.count(F.lit(1)).alias("ways")).filter("ways = 2")
+        members = cut_lineage(agreed.drop("ways"), "members")
         sizes = members.groupBy("mark").agg(F.count(F.lit(1)).alias("n"))
-        loops = inside.filter("src = dst").select(F.col("src").alias("mark")).distinct().withColumn("loop", F.lit(True))
+        loops = rest.filter("src = dst").select(F.col("src").alias("mark")).distinct().withColumn("loop", F.lit(True))
         real = sizes.join(loops, "mark", "left").filter("n > 1 OR loop").select("mark")
         members.join(real, "mark", "left_semi").select("node", F.col("mark").alias("component")).write.parquet(f"{path}/round={k}")
-        gone = members.select("node")
-        rest = rest.join(gone.withColumnRenamed("node", "src"), "src", "left_anti").join(
-            gone.withColumnRenamed("node", "dst"), "dst", "left_anti"
+        rest = rest.join(members.select(F.col("node").alias("src")), "src", "left_anti").join(
+            members.select(F.col("node").alias("dst")), "dst", "left_anti"
         )
         rest, k = cyclic_edges(rest), k + 1
         if rest.isEmpty():
@@ -168,18 +165,13 @@ def require_acyclic(edges: DataFrame) -> None:
 def cycle_paths(edges: DataFrame) -> DataFrame:
     """All simple cycles as ``a -> b -> a``, from each asset to what it depends on.
 
-    Each cycle is found once, from its smallest node: paths grow along edges to larger nodes of the same strongly
-    connected component until they return to their start or cannot grow.
+    Each cycle is found once, from its smallest node: paths grow along edges to larger nodes
+    until they return to their start or cannot grow.
     """
     spark = edges.sparkSession
-    members = cut_lineage(cycle_members(edges), "members")
-    inside = (
-        edges.select("src", "dst").distinct()
-        .join(members.select(F.col("node").alias("src"), "component"), "src")
-        .join(members.select(F.col("node").alias("dst"), "component"), ["dst", "component"])
-    )
     steps = cut_lineage(
-        inside.select(F.col("dst").cast("string").alias("last"), F.col("src").cast("string").alias("next")), "cycle-steps"
+        cyclic_edges(edges).select(F.col("dst").cast("string").alias("last"), F.col("src").cast("string").alias("next")),
+        "cycle-steps",
     )
     root = shared_dir(spark, "cycles")
     grown = steps.select(F.col("last").alias("start"), F.array("last").alias("path"), "last").distinct()

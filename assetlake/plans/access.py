@@ -145,7 +145,7 @@ def transformed_rows(load):
     "sampled_batches",
     """WITH placed AS (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS idx, p_partkey, p_brand FROM part),
             sampler AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS pos,
-                               CASE WHEN o_custkey % 2 = 0 THEN (SELECT count(*) FROM part) - o_custkey ELSE o_custkey END AS idx FROM orders)
+                               CASE WHEN o_custkey % 2 = 0 AND o_custkey > 0 THEN (SELECT count(*) FROM part) - o_custkey ELSE o_custkey END AS idx FROM orders)
        SELECT pos // 16 AS batch_id, (pos % 16)::INTEGER AS slot, idx, p_partkey, p_brand
        FROM sampler LEFT JOIN placed USING (idx)""",
 )

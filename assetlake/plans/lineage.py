@@ -91,11 +91,11 @@ def ring_edges(load):
     close = parts.filter("i = 3 AND p_size > 25").select(name(3).alias("src"), name(0).alias("dst"))
     back = parts.filter("i = 2 AND p_size > 25").select(name(2).alias("src"), name(0).alias("dst"))
     loop = parts.filter("i = 1 AND p_size > 40").select(name(1).alias("src"), name(1).alias("dst"))
-    # Group b leads to group b + 1 by way of a node that is on no cycle itself.
+    # An even group leads to the next one by way of a node that is on no cycle itself.
     bridge = F.concat(F.lit("bridge"), F.col("b"))
     after = F.concat(F.lit("g"), F.col("b") + 1, F.lit(".0"))
-    into = parts.filter("i = 3").select(name(3).alias("src"), bridge.alias("dst"))
-    out = parts.filter("i = 3").select(bridge.alias("src"), after.alias("dst"))
+    into = parts.filter("i = 3 AND b % 2 = 0").select(name(3).alias("src"), bridge.alias("dst"))
+    out = parts.filter("i = 3 AND b % 2 = 0").select(bridge.alias("src"), after.alias("dst"))
     return chain.unionByName(close).unionByName(back).unionByName(loop).unionByName(into).unionByName(out)
 
 
@@ -106,8 +106,8 @@ e AS (
   UNION ALL SELECT 'g' || b || '.3', 'g' || b || '.0' FROM parts WHERE i = 3 AND p_size > 25
   UNION ALL SELECT 'g' || b || '.2', 'g' || b || '.0' FROM parts WHERE i = 2 AND p_size > 25
   UNION ALL SELECT 'g' || b || '.1', 'g' || b || '.1' FROM parts WHERE i = 1 AND p_size > 40
-  UNION ALL SELECT 'g' || b || '.3', 'bridge' || b FROM parts WHERE i = 3
-  UNION ALL SELECT 'bridge' || b, 'g' || (b + 1) || '.0' FROM parts WHERE i = 3),
+  UNION ALL SELECT 'g' || b || '.3', 'bridge' || b FROM parts WHERE i = 3 AND b % 2 = 0
+  UNION ALL SELECT 'bridge' || b, 'g' || (b + 1) || '.0' FROM parts WHERE i = 3 AND b % 2 = 0),
 walk AS (
   SELECT dst AS start, [dst] AS path, src AS next FROM e WHERE src >= dst AND src NOT LIKE 'bridge%' AND dst NOT LIKE 'bridge%'
   UNION ALL
