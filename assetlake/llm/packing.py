@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -38,7 +39,13 @@ class Encoder:
         self.words = Kept(self.ids, KEPT_WORDS)
 
     def ids(self, word: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        # The vocabulary is in lower case, and a mark after a letter is a piece of its own; special strings are left alone.
+        if b"<|" not in word:
+            if (low := word.lower()) != word:
+                return self.words[low]
+            if word[-1:] in (b",", b".") and word[-2:-1].isalpha():
+                return self.words[word[:-1]] + self.words[word[-1:]]
+        return array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
 
     def text(self, text: str) -> bytes:
         return b"".join(map(self.words.__getitem__, text.encode().split()))
