@@ -9,6 +9,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from assetlake.session import cut_lineage
+
 #: Words are the maximal runs of characters other than these (Python's ``bytes.split()`` uses the same set).
 SPACE = r"[\x20\x09-\x0D]+"
 FILTER_BITS = 24
@@ -125,3 +127,37 @@ def attach(rows: DataFrame, groups: DataFrame, keys: list[str], weight: str, how
     cold = groups.where(F.col(weight) <= least)
     rest = rows.join(F.broadcast(groups.where(F.col(weight) > least).select(*keys)), keys, "left_anti")
     return rows.join(hot, keys, "inner").unionByName(rest.join(cold, keys, how))
+
+
+def row_key(id_col: str, content: Column) -> Column:
+    """A digest of a row's id and content (neither may be told apart by anything else); never null."""
+    id_text = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    mark = F.when(F.col(id_col).isNull(), "n").otherwise(F.concat(F.lit("i"), F.length(id_text).cast("string")))
+    return F.md5(F.encode(F.concat(mark, F.lit(":"), id_text, F.coalesce(content, F.lit(""))), "UTF-8"))
+
+
+def ordered_id(id_col: str, key: Column) -> Column:
+    """The id as a struct that orders by (id is null, id, key), for components that are decided row by row."""
+    return F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), key.alias("key"))
+
+
+def keep_first(rows: DataFrame, key: Column, parts: DataFrame, purpose: str) -> DataFrame:
+    """``rows`` without those that are not the first of their component; of rows with the first's key one stays.
+
+    ``parts`` has, for each row that is to be decided, its ``key`` and the key ``first`` of its component's first row;
+    rows whose key is not there stay. Keys to drop are tested by a bit filter first, so that only rows it may hold
+    are shuffled.
+    """
+    counts = parts.groupBy("key", "first").agg(F.count(F.lit(1)).alias("_kf_n"))
+    decided = counts.where("key <> first or _kf_n > 1").withColumn("_kf_gone", F.expr("key <> first"))
+    decided = decided.select(F.col("key").alias("_kf_key"), "_kf_n", "_kf_gone")
+    decided = cut_lineage(decided, f"{purpose}-decided")
+    filtered = cut_lineage(bit_filter(decided.select(F.xxhash64("_kf_key").alias("key")), "key"), f"{purpose}-filter")
+    flagged = maybe_in(rows.withColumn("_kf_key", key), F.xxhash64("_kf_key"), filtered, "_kf_maybe")
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    checked = attach(flagged.where("_kf_maybe"), decided, ["_kf_key"], "_kf_n")
+    out = flagged.where("not _kf_maybe").select(*columns).unionByName(checked.where("_kf_gone is null").select(*columns))
+    if decided.where("not _kf_gone").isEmpty():
+        return out
+    copies = checked.where("not _kf_gone").select("_kf_key", F.struct(*columns).alias("_kf_row"))
+    return out.unionByName(copies.groupBy("_kf_key").agg(F.any_value("_kf_row").alias("_kf_row")).select("_kf_row.*"))

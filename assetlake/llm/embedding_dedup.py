@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assetlake.llm.common import attach
+from assetlake.llm.common import attach, keep_first, ordered_id, row_key
 from assetlake.llm.components import component_roots
 from assetlake.session import cut_lineage
 
@@ -245,6 +245,13 @@ def embedding_components(
 
 
 def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", **options) -> DataFrame:
-    """The vectors that stay, one of each component, with all their columns; see :func:`embedding_components`."""
-    gone = embedding_components(vectors, id_col, vector_col, **options).where(~F.col("kept") & F.col(id_col).isNotNull())
-    return vectors.join(gone.select(id_col).distinct(), id_col, "left_anti").select(*vectors.columns)
+    """The vectors that stay, one of each component, with all their columns; see :func:`embedding_components`.
+
+    It is the one with the least id, a null id being larger than every id; rows that repeat an id are told apart by
+    their vectors.
+    """
+    key = row_key(id_col, F.to_json(F.struct(F.col(vector_col).alias("x"))))
+    rows = vectors.where(usable(vector_col)).select(ordered_id(id_col, key).alias("id"), F.col(vector_col).alias("x"))
+    parts = embedding_components(rows, "id", "x", **options)
+    parts = parts.select(F.col("id.key").alias("key"), F.col("component_id.key").alias("first"))
+    return keep_first(vectors, key, parts, "vec")

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assetlake.llm.common import attach, bit_filter, free_name, maybe_in
+from assetlake.llm.common import attach, keep_first, ordered_id, row_key
 from assetlake.llm.components import component_roots
 from assetlake.session import cut_lineage
 
@@ -185,14 +185,14 @@ def simhash_components(
 def simhash_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, budget: int = BUDGET
 ) -> DataFrame:
-    """The documents with the least id of their component, with all their columns; see :func:`simhash_components`.
+    """One document of each component, with all its columns; see :func:`simhash_components`.
 
-    A component without any id keeps all its rows. Ids to drop are tested by a bit filter first, so that only rows
-    it may hold are shuffled with their texts.
+    It is the one with the least id, a null id being larger than every id; rows that repeat an id are told apart by
+    their texts. Keys of rows to drop are tested by a bit filter first, so that only rows it may hold are shuffled
+    with their texts.
     """
-    parts = simhash_components(docs, id_col, text_col, shingle, budget)
-    gone = cut_lineage(parts.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_sd_id")).distinct(), "simhash-gone")
-    filtered = bit_filter(gone.select(F.xxhash64("_sd_id").alias("key")), "key")
-    flagged = maybe_in(docs, F.xxhash64(id_col), cut_lineage(filtered, "simhash-filter"), flag := free_name(docs, "_sd_maybe"))
-    checked = flagged.where(flag).join(gone, F.col(id_col) == F.col("_sd_id"), "left_anti")
-    return flagged.where(~F.col(flag)).unionByName(checked).drop(flag)
+    key = row_key(id_col, F.col(text_col))
+    rows = docs.select(ordered_id(id_col, key).alias("id"), F.col(text_col).alias("text"))
+    parts = simhash_components(rows, "id", "text", shingle, budget)
+    parts = parts.select(F.col("id.key").alias("key"), F.col("component_id.key").alias("first"))
+    return keep_first(docs, key, parts, "simhash")

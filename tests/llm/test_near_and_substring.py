@@ -163,3 +163,42 @@ def test_simhash_and_substring_queries(spark):
     want = sorted((i, n, gone, hashlib.sha256(t.encode()).hexdigest()) for i, n, gone, t in without_repeats(rows))
     assert sorted(map(tuple, QUERIES["op5_substring_dedup"](spark, SMALL).collect())) == want
     assert any(gone for _, _, gone, _ in want)
+
+
+def near_copies():
+    """Groups of near copies with repeated and null ids, and a document alone under an id that has a near copy too."""
+    rng = np.random.default_rng(11)
+    texts = [" ".join(f"t{k}w{x}" for x in rng.integers(0, 10**6, 60)) for k in range(6)]
+    near = [t.upper() for t in texts]
+    rows = [(1, texts[0]), (7, near[0]), (7, texts[1])]  # 7 is gone as a copy of 1 and stays alone
+    rows += [(3, texts[2]), (None, near[2]), (None, texts[2])]  # a null id is the largest
+    rows += [(None, texts[3]), (None, near[3]), (None, texts[3])]  # only null ids
+    rows += [(5, texts[4]), (5, near[4]), (5, texts[4])]  # the least id several times
+    return [(i, t, "x") for i, t in rows + [(9, texts[5])]]
+
+
+@pytest.mark.parametrize("table", ["near", "odd cases"])
+def test_simhash_dedup_decides_by_row(spark, rows, table):
+    rows = near_copies() if table == "near" else [(r[0], r[1], r[2]) for r in rows]
+    groups = {}
+    for k, _, c in simhash([(k, r[1]) for k, r in enumerate(rows)]):
+        groups.setdefault(c, []).append(rows[k])
+    df = spark.createDataFrame(rows, "doc_id long, text string, n string").repartition(3)
+    kept = sh.simhash_dedup(df)
+    got = [tuple(r) for r in kept.collect()]
+    assert kept.columns == df.columns and len(got) == len(groups)
+    for members in groups.values():
+        own = [r for r in got if r in members]
+        assert len(own) == 1 and own[0][0] == least_known([r[0] for r in members])
+    if table == "near":
+        assert sorted((r[0] for r in got), key=repr) == [1, 3, 5, 7, 9, None] and (7, rows[2][1], "x") in got
+
+
+def test_embedding_dedup_decides_by_row(spark):
+    unit = np.eye(8).tolist()
+    rows = [(1, unit[0]), (7, unit[0]), (7, unit[1]), (3, unit[2]), (None, unit[2]), (None, unit[3]), (None, unit[3]), (5, unit[4]), (5, unit[4])]
+    rows += [(1, None), (1, None), (None, [0.0] * 8), (None, [0.0] * 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in embedding_dedup.embedding_dedup(df).collect()]
+    want = [rows[0], rows[2], rows[3], rows[5], rows[7], *rows[9:]]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
