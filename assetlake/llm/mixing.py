@@ -70,7 +70,6 @@ def plan_mix(
     carry: Sequence[str] | None = None,
     weights: Sequence[float] = WEIGHTS,
     most: int = MOST_REPEATS,
-    schedules=SCHEDULES,
     rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
     """One row per document: ``row`` (struct of ``carry``), ``source_size``, ``target``, ``size``, ``copies``,
@@ -138,6 +137,21 @@ def positions(planned: DataFrame, schedules=SCHEDULES) -> DataFrame:
     return copies.withColumn("position", F.least(time, F.lit(1.0)))
 
 
+def mix_plan(planned: DataFrame) -> DataFrame:
+    """The documents of :func:`plan_mix` in training order, with ``copies`` and ``taken`` counted from the copies
+    placed by :func:`positions` and ``places``, the sorted positions of a document's copies (null if it has none).
+
+    Documents are range-sorted by the position of their first copy; those that are never taken come last.
+    """
+    stored = cut_lineage(planned.withColumn("_mp_row", F.monotonically_increasing_id()), "mix-plan")
+    placed = positions(stored).groupBy("_mp_row").agg(F.sort_array(F.collect_list("position")).alias("places"))
+    joined = stored.drop("copies", "taken").join(placed, "_mp_row", "left")
+    counted = joined.withColumn("copies", F.coalesce(F.array_size("places"), F.lit(0)).cast("long"))
+    taken = counted.withColumn("taken", F.col("copies") * F.col("size"))
+    # The row's number spreads the documents without a place over the ranges.
+    return taken.orderBy(F.col("places").getItem(0).asc_nulls_last(), "_mp_row").drop("_mp_row")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mixed corpus: every taken copy of a document with all its columns, range-sorted by training position.
 

@@ -128,9 +128,9 @@ FROM c
 
 @query("op8_mixing", MIX_SQL)
 def op8(t):
-    """Words that the mix takes from each document."""
+    """Words that the mix takes from each document, in training order."""
     planned = mixing.plan_mix(t("documents").select("doc_id", "text", "source"), carry=["doc_id"])
-    return planned.select("row.doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix_plan(planned).select("row.doc_id", "size", "source_size", "target", "taken")
 
 
 @query("op9_best_fit_packing")

@@ -122,6 +122,24 @@ def test_mixed_rows_come_in_training_order(docs):
     assert len(got) == sum(r["copies"] for r in planned)
 
 
+def test_mixing_query_places_every_copy_in_training_order(spark, docs):
+    table = spark.read.parquet(f"{SMALL}/documents.parquet")
+    at = defaultdict(list)
+    for r in mixing.mix(table).collect():
+        at[r["doc_id"]].append(r["position"])
+    got = QUERIES["op8_mixing"](spark, SMALL).collect()
+    assert len(got) == table.count()
+    assert all(r["taken"] == len(at[r["doc_id"]]) * r["size"] for r in got)
+    first = [min(at[r["doc_id"]], default=2.0) for r in got]
+    assert first == sorted(first) and first[0] < 0.1 and 0.5 < max(p for p in first if p <= 1) <= 1
+    planned = mixing.plan_mix(docs, carry=["doc_id", "text"])
+    placed = mixing.mix_plan(planned).collect()
+    plain = ["row", "size", "source_size", "target", "copies", "taken"]
+    assert Counter(tuple(r[c] for c in plain) for r in placed) == Counter(tuple(r[c] for c in plain) for r in planned.collect())
+    every = sorted(p for r in placed for p in r["places"] or [])
+    assert every == sorted(r["_position"] for r in mixing.mix(docs).collect())
+
+
 def test_positions_follow_the_schedule(spark):
     from pyspark.sql import functions as F
 
