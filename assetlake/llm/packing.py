@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from array import array
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -21,6 +22,8 @@ END = 1
 ROUNDS, PRICINGS, ETA, FILLS = 4, 40, 1.0, (0.998, 0.95, 0.85, 0.7)
 #: A packing this close to the least number of sequences that the volume allows is not tried again.
 GOOD = 1.001
+#: Pieces that are placed one by one after rounding; if more are left, equal sequences are placed in bulk.
+REST = 16 * CAPACITY
 ROWS_PER_BLOCK = 4_000
 KEPT_WORDS = 1_000_000
 
@@ -179,8 +182,37 @@ def best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[dict[
     return sequences
 
 
+def first_fit_in_bulk(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
+    """First-fit decreasing, as (copies by item, number of such sequences); ``lengths`` descend.
+
+    A sequence takes the longest piece left and then, again and again, the longest that fits, which is what first fit
+    gives it; it is repeated until one of its lengths runs short. So a length ends or loses one of its possible copies
+    in a sequence each time, and the number of rows is bounded by the lengths, not by the pieces.
+    """
+    alive = [i for i, n in enumerate(left.tolist()) if n]
+    sizes, counts, out = [-int(lengths[i]) for i in alive], [int(left[i]) for i in alive], []
+    while alive:
+        items, room, at = {}, capacity, 0
+        while (at := max(at, bisect_left(sizes, -room))) < len(alive):
+            items[at] = copies = min(counts[at], room // -sizes[at])
+            room += copies * sizes[at]
+            at += 1
+        times = min(counts[at] // copies for at, copies in items.items())
+        out.append(({alive[at]: copies for at, copies in items.items()}, times))
+        for at, copies in items.items():
+            counts[at] -= copies * times
+        for at in [at for at in items if not counts[at]][::-1]:
+            del alive[at], sizes[at], counts[at]
+    return out
+
+
 def rounded(lengths: np.ndarray, demand: np.ndarray, capacity: int, least_fill: float) -> tuple[int, list[tuple]]:
-    """A packing as (number of sequences, rows as :func:`layout` gives them)."""
+    """A packing as (number of sequences, rows as :func:`layout` gives them).
+
+    Rounding leaves less than a sequence of each configuration bought, but pieces that find none as full as
+    ``least_fill`` are not bought at all, and there may be any number of them. So best fit gets ``REST`` pieces at
+    most; more are placed in bulk.
+    """
     left = demand.copy()
     rows, sequence, used = [], 0, np.zeros(len(lengths), np.int64)
 
@@ -199,8 +231,12 @@ def rounded(lengths: np.ndarray, demand: np.ndarray, capacity: int, least_fill:
             for i, k in items:
                 left[i] -= k * times
             place(dict(items), times)
-    for items in best_fit(lengths, left, capacity):
-        place(items, 1)
+    if left.sum() > REST:
+        rest = first_fit_in_bulk(lengths, left, capacity)
+    else:
+        rest = [(items, 1) for items in best_fit(lengths, left, capacity)]
+    for items, times in rest:
+        place(items, times)
     return sequence, rows
 
 
@@ -208,9 +244,9 @@ def layout(histogram: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
     """Where the pieces of each length go: rows (length, first rank, first sequence, copies in one sequence, offset).
 
     The fractional solution is rounded down, never beyond the demand; the rest, less than a sequence for each
-    configuration bought and so bounded whatever the corpus, is placed by best fit. Where lengths do not fill sequences
-    well, the program is solved with lesser fills too and the packing of fewest sequences taken. Rows are in order of
-    (length, first rank).
+    configuration bought and what fits in none, is placed by best fit, or in bulk where it is large: rows and time are
+    bounded by the lengths, whatever the corpus. Where lengths do not fill sequences well, the program is solved with
+    lesser fills too and the packing of fewest sequences taken. Rows are in order of (length, first rank).
     """
     lengths = np.array(sorted(histogram, reverse=True), np.int64)
     demand = np.array([histogram[k] for k in lengths.tolist()], np.int64)

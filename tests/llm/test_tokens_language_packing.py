@@ -186,6 +186,53 @@ def test_the_program_is_nearly_solved():
     assert used <= len(best) * 1.005
 
 
+@pytest.mark.parametrize("low, high, step", [(2100, 2860, 1), (1500, 2000, 1), (1400, 2860, 7)])
+def test_the_rest_does_not_grow_with_the_demand(monkeypatch, low, high, step):
+    rng, given, plain = np.random.default_rng(4), [], packing.best_fit
+    once = {int(k): int(rng.integers(1, 20)) for k in range(low, high, step)} | {50: 30, 700: 5}
+
+    def watched(lengths, left, capacity):
+        given.append(int(left.sum()))
+        return plain(lengths, left, capacity)
+
+    monkeypatch.setattr(packing, "best_fit", watched)
+    pieces = {k: 1000 * n for k, n in once.items()}
+    rows = packing.layout(pieces)
+    assert max(given, default=0) <= packing.REST + 4 * len(once) and len(rows) <= packing.REST + 20 * len(once)
+    after = ends(rows, pieces)
+    used = max(r[2] + -(-(end - r[1]) // r[3]) for r, end in zip(rows.tolist(), after))
+    # As few sequences as best fit of a hundredth of the pieces, and each piece is placed once.
+    few = plain(np.array(sorted(once, reverse=True)), np.array([10 * once[k] for k in sorted(once, reverse=True)]), 4096)
+    assert used <= 100 * len(few) * 1.005
+    fill = np.zeros(used, np.int64)
+    for (length, first, sequence, copies, _), end in zip(rows.tolist(), after):
+        whole, part = divmod(end - first, copies)
+        fill[sequence : sequence + whole] += length * copies
+        fill[sequence + whole : sequence + whole + 1] += length * part
+    assert fill.max() <= 4096 and fill.sum() == sum(k * n for k, n in pieces.items())
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.dictionaries(st.integers(1, 60), st.integers(1, 50), min_size=1))
+def test_first_fit_in_bulk_is_first_fit(histogram):
+    lengths = np.array(sorted(histogram, reverse=True))
+    demand, rooms, seen = np.array([histogram[k] for k in lengths.tolist()]), [], Counter()
+    for size in np.repeat(lengths, demand).tolist():
+        at = next((k for k, room in enumerate(rooms) if room >= size), None)
+        if at is None:
+            at = len(rooms)
+            rooms.append(60)
+        rooms[at] -= size
+    got = packing.first_fit_in_bulk(lengths, demand, 60)
+    for items, times in got:
+        assert sum(int(lengths[i]) * k for i, k in items.items()) <= 60 and times > 0
+        for i, k in items.items():
+            seen[int(lengths[i])] += k * times
+    assert seen == Counter(histogram) and sum(times for _, times in got) == len(rooms)
+    more = packing.first_fit_in_bulk(lengths, demand * 1_000_000, 60)
+    assert len(more) <= len(lengths) + sum(60 // lengths)
+
+
 def ends(rows, pieces):
     """First rank after each row's pieces."""
     rows = rows.tolist()
