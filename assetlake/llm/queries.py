@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from assetlake.llm import (
     embedding_dedup,
     exact_dedup,
+    hard_negatives,
     langid,
     lm_scoring,
     mixing,
@@ -143,3 +144,32 @@ def op9(t):
 def op10(t):
     """Predicted language of every document."""
     return langid.identify(t("documents"), carry=["doc_id"])
+
+
+NEGATIVES_SQL = r"""
+WITH r AS MATERIALIZED (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (
+  SELECT a.id AS anchor, r.id AS id, a.label = r.label AS same, list_dot_product(a.v, r.v)::BIGINT AS score
+  FROM r a JOIN r ON a.id <> r.id WHERE a.id % 100 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5),
+n AS (SELECT p.anchor, p.id AS positive, p.score AS positive_score, s.id, s.score,
+             row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY s.score DESC, s.id) AS rank
+      FROM p JOIN s ON p.anchor = s.anchor AND NOT s.same
+                   AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor AS anchor_id, positive AS positive_id, rank::INT AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM n WHERE rank <= 10
+"""
+
+
+@query("op13_hard_negatives", NEGATIVES_SQL)
+def op13(t):
+    """Hard negatives of every hundredth embedding."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    scaled = F.transform("embedding", lambda x: hard_negatives.floor_scaled(x, 256))
+    rows = t("embeddings").select("vec_id", label.alias("label"), scaled.alias("embedding"))
+    return hard_negatives.hard_negatives(rows)
