@@ -15,6 +15,7 @@ from assetlake.llm import (
     packing,
     sharding,
     simhash,
+    spelling,
     substring_dedup,
     token_counts,
 )
@@ -146,6 +147,51 @@ def op10(t):
     return langid.identify(t("documents"), carry=["doc_id"])
 
 
+SPELLING_SQL = r"""
+WITH tab AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS t),
+runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL),
+hashed AS (
+  SELECT run, n, xor(list_reduce(
+           flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+             lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [192 + (ord(c) >> 6), 128 + (ord(c) & 63)]::BIGINT[] END)),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS h
+  FROM runs, tab),
+v AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n
+        FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+dels AS MATERIALIZED (
+  SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word)))::INT AS i FROM v)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS n FROM dels a JOIN dels b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION ALL SELECT DISTINCT d.word, v.word, v.n FROM dels d JOIN v ON d.rest = v.word
+  UNION ALL SELECT DISTINCT v.word, d.word, d.n FROM dels d JOIN v ON d.rest = v.word),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS form, max(n) AS form_n FROM near GROUP BY word),
+told AS MATERIALIZED (
+  SELECT v.word, v.n, CASE WHEN form_n >= 10 * v.n THEN form END AS form, coalesce(n_near, 0)::BIGINT AS n_near,
+         CASE WHEN form_n >= 10 * v.n THEN form_n END::BIGINT AS form_n
+  FROM v LEFT JOIN best USING (word)),
+way AS (
+  WITH RECURSIVE w AS (
+    SELECT word, word AS here, 0 AS steps FROM told
+    UNION ALL SELECT w.word, told.form, w.steps + 1 FROM w JOIN told ON told.word = w.here WHERE told.form IS NOT NULL)
+  SELECT word, arg_max(here, steps) AS root FROM w GROUP BY word)
+SELECT word, n, form, root, n_near, form_n FROM told JOIN way USING (word)
+"""
+
+
+@query("op12_spelling_variants", SPELLING_SQL)
+def op12(t):
+    """Spelling variants among the words of all documents."""
+    return spelling.document_variants(t("documents"))
+
+
 NEGATIVES_SQL = r"""
 WITH r AS MATERIALIZED (
   SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
