@@ -11,6 +11,7 @@ from assetlake.llm import (
     hard_negatives,
     langid,
     lm_scoring,
+    main_text,
     mixing,
     packing,
     sharding,
@@ -147,6 +148,13 @@ def op10(t):
     return langid.identify(t("documents"), carry=["doc_id"])
 
 
+@query("op11_html_extraction")
+def op11(t):
+    """Main text of every page."""
+    pages = t("pages")
+    return main_text.extract(pages, main_text.train(pages), carry=["page_id", "url"])
+
+
 SPELLING_SQL = r"""
 WITH tab AS (
   SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS t),
