@@ -83,8 +83,9 @@ def level_groups(levels: DataFrame, edges: DataFrame) -> DataFrame:
     has one row with a null dependency. ``edges`` may include external dependencies.
     """
     sizes = levels.groupBy("level").agg(F.count(F.lit(1)).alias("n_assets"))
-    placed = lookup(levels, sizes, ["level"], weight="n_assets")
+    placed = cut_lineage(lookup(levels, sizes, ["level"], weight="n_assets"), "level-sizes")
     depends = edges.select(F.col("dst").alias("node"), F.col("src").alias("dependency")).distinct()
+    depends = cut_lineage(depends, "level-dependencies")
     with_any = lookup(depends, placed, ["node"], how="inner")
     without = placed.join(depends.select("node").distinct(), "node", "left_anti")
     mode = F.when(F.col("n_assets") > 1, "parallel").otherwise("sequential")

@@ -2,23 +2,59 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
+
+from assetlake.session import cut_lineage
 
 #: A key is hot if it has more than this share of the rows, so fewer than ``1 / HOT_SHARE`` keys are.
 HOT_SHARE = 1 / 1000
+#: Keys that the sketch tracks for each one that may be hot; its error is then far below ``HOT_SHARE``.
+TRACKED = 10
+#: Pieces that a hot key's rows are cut into for each mean partition of rows that they would fill.
+PIECES = 16
+
+
+def _hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(f"`{k}`") for k in keys])
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> dict[int, float]:
+    """Hash and share of the keys with more than ``HOT_SHARE`` of the rows, from one pass with a bounded sketch.
+
+    The sketch holds ``TRACKED / HOT_SHARE`` hashes whatever the number of keys. It may overstate a count, never miss a
+    hot key; two keys with one hash count as one.
+    """
+    most = math.ceil(1 / HOT_SHARE)
+    top = F.call_function("approx_top_k", F.col("h"), F.lit(most), F.lit(TRACKED * most))
+    rows, found = df.select(_hash(keys).alias("h")).agg(F.count(F.lit(1)), top).first()
+    return {item["item"]: item["count"] / rows for item in found or [] if item["count"] > rows * HOT_SHARE}
+
+
+def _weighted(dim: DataFrame, keys: Sequence[str], weight: str) -> dict[int, float]:
+    """As :func:`hot_keys`, from the number of rows that ``dim`` holds for each key."""
+    total = dim.agg(F.sum(weight)).first()[0] or 0
+    heavy = dim.filter(F.col(weight) > total * HOT_SHARE).select(_hash(keys), weight)
+    return {h: n / total for h, n in heavy.collect()}  # fewer than 1 / HOT_SHARE rows
 
 
-def _same(keys: Sequence[str], left: str, right: str) -> Column:
-    tests = [F.col(f"{left}{k}").eqNullSafe(F.col(f"{right}{k}")) for k in keys]
-    return reduce(lambda a, b: a & b, tests)
+def _pieces(shares: dict[int, float], keys: Sequence[str], partitions: int) -> Column:
+    """Into how many pieces the rows of a key are cut: a power of two, 1 for all that are not hot."""
+    classes: dict[int, list[int]] = {}
+    for h, share in shares.items():
+        pieces = 1 << max(0, math.ceil(math.log2(PIECES * share * partitions)))
+        classes.setdefault(pieces, []).append(h)
+    # At most one class per power of two; membership is a test of a hash set.
+    return reduce(lambda rest, c: F.when(_hash(keys).isin(classes[c]), F.lit(c)).otherwise(rest), sorted(classes), F.lit(1))
 
 
-def _renamed(df: DataFrame, keys: Sequence[str], prefix: str, *more: Column) -> DataFrame:
-    return df.select(*[F.col(k).alias(f"{prefix}{k}") for k in keys], *more)
+def _hashable(kind: DataType) -> bool:
+    return not any(word in kind.simpleString() for word in ("map<", "variant", "geo"))
 
 
 def lookup(
@@ -30,36 +66,30 @@ def lookup(
 ) -> DataFrame:
     """Join ``df`` to ``dim``, which holds one row per key; null keys match null keys.
 
-    Keys with more than ``HOT_SHARE`` of the rows are looked up by a broadcast, of fewer than ``1 / HOT_SHARE`` rows
-    whatever the size of ``dim``, and their rows are never shuffled. The other rows, none of whose keys is hot, go
-    through a join on the plain key. ``weight`` names a column of ``dim`` that already holds the number of ``df`` rows
-    per key; without it the keys are counted here.
+    One pass over the keys finds those with more than ``HOT_SHARE`` of the rows; the join that follows reads both sides
+    once. It is on the key and a piece: the rows of a hot key are cut into as many pieces as its share asks for, and
+    ``dim`` repeats that key's row for each (in all ``PIECES`` rows a shuffle partition and two a hot key, at most), so
+    no partition gets a hot key whole. A row's piece follows from its contents and its input partition, so a task that
+    runs again deals its rows alike; rows equal in all columns go to as many pieces as there are input partitions. ``weight`` names a column of ``dim`` that holds the number of ``df`` rows per key:
+    ``dim`` is then stored, as it is mostly an aggregate of ``df``, and ``df`` is read by the join only.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported lookup type: {how}")
-    keys = list(keys)
+    keys, spark = list(keys), df.sparkSession
     values = [c for c in dim.columns if c not in keys]
-    entry = F.struct(F.lit(True).alias("found"), *values)
     if weight is not None:
-        total = dim.agg(F.sum(weight)).scalar()
-        hot = _renamed(dim.filter(F.col(weight) > total * HOT_SHARE), keys, "_h_", entry.alias("_hot"))
-    else:
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        heavy = _renamed(counts.filter(F.col("_n") > df.agg(F.count(F.lit(1))).scalar() * HOT_SHARE), keys, "_h_")
-        known = _renamed(dim, keys, "_m_", entry.alias("_known")).join(
-            F.broadcast(heavy), _same(keys, "_m_", "_h_"), "left_semi"
-        )
-        found = F.coalesce(F.col("_known.found"), F.lit(False)).alias("found")
-        hot = heavy.join(F.broadcast(known), _same(keys, "_h_", "_m_"), "left").select(
-            *[f"_h_{k}" for k in keys],
-            F.struct(found, *[F.col("_known")[v].alias(v) for v in values]).alias("_hot"),
-        )
-    answered = df.join(F.broadcast(hot), _same(keys, "", "_h_"), "inner").withColumnRenamed("_hot", "_hit")
-    cold = _renamed(dim, keys, "_c_", entry.alias("_hit"))
-    rest = df.join(F.broadcast(hot.drop("_hot")), _same(keys, "", "_h_"), "left_anti")
-    both = answered.select(*df.columns, "_hit").unionByName(
-        rest.join(cold, _same(keys, "", "_c_"), how).select(*df.columns, "_hit")
-    )
-    if how == "inner":
-        both = both.filter(F.col("_hit.found"))
-    return both.select(*df.columns, *[F.col("_hit")[v].alias(v) for v in values])
+        dim = cut_lineage(dim, "lookup")
+    shares = hot_keys(df, keys) if weight is None else _weighted(dim, keys, weight)
+    known = dim.select(*[F.col(f"`{k}`").alias(f"_k_{i}") for i, k in enumerate(keys)], *[F.col(f"`{v}`") for v in values])
+    match = [F.col(f"`{k}`").eqNullSafe(F.col(f"_k_{i}")) for i, k in enumerate(keys)]
+    columns = df.columns
+    if shares:
+        pieces = _pieces(shares, keys, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        contents = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{f.name}`") for f in df.schema.fields if _hashable(f.dataType)])
+        df = df.withColumn("_piece", F.when(pieces > 1, F.pmod(contents, pieces)).otherwise(0).cast("int"))
+        held = [f"_k_{i}" for i in range(len(keys))]
+        repeated = F.sequence(F.lit(0), _pieces(shares, held, int(spark.conf.get("spark.sql.shuffle.partitions"))) - 1)
+        known = known.withColumn("_k_piece", F.explode(repeated))
+        match.append(F.col("_piece") == F.col("_k_piece"))
+    found = df.join(known, reduce(lambda a, b: a & b, match), how)
+    return found.select(*[F.col(f"`{c}`") for c in columns], *[F.col(f"`{v}`") for v in values])

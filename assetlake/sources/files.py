@@ -71,16 +71,16 @@ def cache_plan(
         return manifest.withColumn("action", F.lit("remote"))
     known = F.coalesce(F.col("checksum"), F.lit("")) != ""
     stored = cache.select("checksum").distinct().withColumn("_cached", F.lit(True))
+    # Rows without a checksum are groups like others here, so the lookup knows how many there are.
     decided = (
-        manifest.filter(known)
-        .groupBy("checksum")
+        manifest.groupBy("checksum")
         .agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_n"))
         .join(stored, "checksum", "left")
     )
     hit = F.col("_cached").isNotNull() | (F.col(order) != F.col("_first"))
-    planned = lookup(manifest.filter(known), decided, ["checksum"], weight="_n")
-    planned = planned.withColumn("action", F.when(hit, "cache").otherwise("fetch")).drop("_first", "_n", "_cached")
-    return planned.unionByName(manifest.filter(~known).withColumn("action", F.lit("remote")))
+    planned = lookup(manifest, decided, ["checksum"], weight="_n")
+    action = F.when(~known, "remote").when(hit, "cache").otherwise("fetch")
+    return planned.withColumn("action", action).drop("_first", "_n", "_cached")
 
 
 def admit(path: Column, size: Column) -> Column:

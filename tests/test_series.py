@@ -90,7 +90,7 @@ def test_counter_text(spark):
 def test_lookup_with_hot_null_and_missing_keys(spark, weighted, monkeypatch):
     from assetlake.operators import skew
 
-    monkeypatch.setattr(skew, "HOT_KEYS", 3)
+    monkeypatch.setattr(skew, "HOT_SHARE", 0.15)
     keys = ["hot"] * 300 + [None] * 200 + ["gone"] * 200 + [f"k{i % 60}" for i in range(300)]
     df = spark.createDataFrame(list(enumerate(keys)), "id long, k string").repartition(6)
     dim_rows = [("hot", 1), (None, 2)] + [(f"k{i}", 10 + i) for i in range(50)]

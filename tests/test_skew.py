@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from assetlake.operators.skew import lookup
+from assetlake.operators.skew import HOT_SHARE, hot_keys, lookup
 from assetlake.session import cut_lineage
 from assetlake.sources import files
 
@@ -45,6 +45,32 @@ def test_no_partition_holds_a_hot_key(spark, plain_joins, facts):
     assert got.filter("NOT v <=> coalesce(k * 2, -1)").isEmpty() and got.count() == 120_000
 
 
+def test_hot_keys(spark, facts):
+    shares = hot_keys(facts, ["k"])
+    null = spark.sql("SELECT xxhash64(cast(null as bigint))").first()[0]
+    assert list(shares) == [null] and abs(shares[null] - 1 / 3) < HOT_SHARE
+    even = spark.range(50_000).select((F.col("id") % 25_000).alias("k"))
+    assert hot_keys(even, ["k"]) == {} and hot_keys(even.limit(0), ["k"]) == {}
+
+
+def test_a_repeated_row_is_dealt_over_the_input_partitions(spark, plain_joins):
+    rows = spark.range(0, 64_000, 1, 64).selectExpr("if(id % 3 = 0, 7, id) AS k", "1 AS v")
+    dim = cut_lineage(spark.range(64_000).selectExpr("id AS k", "id + 1 AS w"), "dim")
+    found = lookup(rows, dim, ["k"])
+    assert largest(found) <= 2.5 and found.filter("w <> k + 1 OR w IS NULL").isEmpty()
+
+
+def scans(df):
+    """Input files read by a query, as often as each is scanned."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return plan.count("Relation ")
+
+
+def test_each_side_is_read_once_after_the_sketch(spark, plain_joins, facts):
+    dim = cut_lineage(spark.range(20_011).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")), "dim")
+    assert scans(lookup(facts, dim, ["k"])) == 2
+
+
 def test_rows_without_a_partner(spark, facts):
     dim = spark.createDataFrame([(5, "five")], "k long, v string")
     left = lookup(facts, dim, ["k"])
