@@ -26,8 +26,9 @@ def project_columns(load):
 )
 def row_at(load):
     turns = load("conversations")
-    front = p.row_at(turns, TURN, 7).withColumn("which", F.lit("first"))
-    back = p.row_at(turns, TURN, -5).withColumn("which", F.lit("last"))
+    table = p.ordered(turns, TURN)
+    front = table.at(7).withColumn("which", F.lit("first"))
+    back = table.at(-5).withColumn("which", F.lit("last"))
     return front.unionByName(back)
 
 
@@ -43,9 +44,10 @@ def row_at(load):
 )
 def row_slice(load):
     turns = load("conversations").select(*TURN, "text")
-    forward = p.row_slice(turns, TURN, 10, None, 7).withColumn("kind", F.lit("forward"))
-    backward = p.row_slice(turns, TURN, None, 20, -3).withColumn("kind", F.lit("backward"))
-    start = p.row_slice(turns, TURN, None, -5).withColumn("kind", F.lit("head"))
+    table = p.ordered(turns, TURN)
+    forward = table.slice(10, None, 7).withColumn("kind", F.lit("forward"))
+    backward = table.slice(None, 20, -3).withColumn("kind", F.lit("backward"))
+    start = table.slice(None, -5).withColumn("kind", F.lit("head"))
     return forward.unionByName(backward).unionByName(start)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from assetlake.operators import catalog, quality
+from assetlake.operators import catalog, position, quality
 from assetlake.session import prepare
 from assetlake.sources import records
 
@@ -130,7 +130,9 @@ class BuildStore:
         self._record(status=STARTED, **build)
         return build
 
-    def _finish(self, build: dict, make: Callable, rules: Sequence[quality.Rule], max_records_per_file: int) -> str | None:
+    def _finish(
+        self, build: dict, make: Callable, rules: Sequence[quality.Rule], max_records_per_file: int, order: Sequence[str] = ()
+    ) -> str | None:
         """Make, write and check the table of a started build; whatever is raised is recorded as its failure."""
         location = f"{self.root}/{build['name']}/{build['build_id']}"
         try:
@@ -139,7 +141,10 @@ class BuildStore:
                 self._record(status=COMPLETED, **build)
                 return None
             df = records.check_table(result)
-            df.write.mode("errorifexists").option("maxRecordsPerFile", max_records_per_file).parquet(location)
+            if order:
+                position.write_ordered(df, order, location, max_records_per_file or position.ROWS_PER_BLOCK)
+            else:
+                df.write.mode("errorifexists").option("maxRecordsPerFile", max_records_per_file).parquet(location)
             if rules:
                 quality.check(self.spark.read.schema(df.schema).parquet(location), rules)
         except BaseException as error:
@@ -156,13 +161,15 @@ class BuildStore:
         rules: Sequence[quality.Rule] = (),
         index: int | None = None,
         max_records_per_file: int = 0,
+        order: Sequence[str] = (),
     ) -> str:
         """Write one build and return its id.
 
-        The table is computed once, into the build's own folder; the rules then run on the
+        The table is written once, into the build's own folder; the rules then run on the
         written columns. If a rule fails, the build is recorded as FAILED, without a location.
+        With a total ``order`` key the build is stored in that order, for :meth:`ordered`.
         """
-        return self._finish(self._start(name, version, index), lambda: df, rules, max_records_per_file)
+        return self._finish(self._start(name, version, index), lambda: df, rules, max_records_per_file, order)
 
     def register(self, function: DatasetFunction) -> None:
         """Record a dataset function's description, dependencies and source digest; the last registration counts."""
@@ -190,8 +197,7 @@ class BuildStore:
         started = self._start(function.name, version, None)
         return self._finish(started, lambda: function(self.spark, *args, **kwargs), function.rules, 0)
 
-    def read(self, name: str, version: str | None = None, index: int | None = None) -> DataFrame:
-        """Latest completed build of a dataset, of one version of it, or exactly one build."""
+    def _find(self, name: str, version: str | None, index: int | None) -> tuple[str, StructType]:
         chosen = self.builds().filter(F.col("name") == name)
         if version is not None:
             chosen = chosen.filter(F.col("version") == version)
@@ -202,4 +208,14 @@ class BuildStore:
         if best is None:
             raise LookupError(f"no completed build of {name}")
         written = self.events().filter((F.col("build_id") == best["build_id"]) & (F.col("status") == COMPLETED)).first()
-        return self.spark.read.schema(StructType.fromJson(json.loads(written["schema"]))).parquet(best["location"])
+        return best["location"], StructType.fromJson(json.loads(written["schema"]))
+
+    def read(self, name: str, version: str | None = None, index: int | None = None) -> DataFrame:
+        """Latest completed build of a dataset, of one version of it, or exactly one build."""
+        location, schema = self._find(name, version, index)
+        return self.spark.read.schema(schema).parquet(location)
+
+    def ordered(self, name: str, version: str | None = None, index: int | None = None) -> position.OrderedTable:
+        """As :meth:`read`, of a build written with ``order``: rows by position, slices and heads without a write."""
+        location, schema = self._find(name, version, index)
+        return position.OrderedTable(self.spark, location, schema)

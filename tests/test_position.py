@@ -1,9 +1,11 @@
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from assetlake.operators import batches as b
 from assetlake.operators import position as p
 from assetlake.operators.profile import fingerprint
+from assetlake.sources.builds import BuildStore
 
 ORDER = ["k", "i"]
 
@@ -63,6 +65,31 @@ def test_row_at_and_head(rows, expected):
     assert p.head(rows, ORDER, -990, rows_per_block=50).count() == 10
 
 
+def test_slices_of_a_stored_build_scan_their_files_only(spark, lake, rows, expected, monkeypatch):
+    store = BuildStore(spark, lake)
+    store.write(rows, "rows", max_records_per_file=50, order=ORDER)
+    table = store.ordered("rows")
+    assert table.total == 1000 and table.index.count() == 20 and store.read("rows").count() == 1000
+
+    def refuse(*args):
+        raise AssertionError("a slice must not write")
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", refuse)
+    for cut in [(100, 130, 1), (None, None, None), (-3, None, None), (700, 20, -9), (5, 5, None)]:
+        got = table.slice(*cut).orderBy("pos").collect()
+        assert [(r["k"], r["i"]) for r in got] == expected[slice(*cut)]
+    assert len(table.slice(500, 510).inputFiles()) <= 3  # the index, and one file or two
+    assert len(table.at(-1).inputFiles()) == 2
+    assert tuple(table.at(42).first()) == expected[42] and table.head(3).count() == 3
+    with pytest.raises(IndexError):
+        table.at(-1001)
+
+
+def test_nothing_in_order(spark, rows):
+    table = p.ordered(rows.limit(0), ORDER)
+    assert table.total == 0 and table.slice().count() == 0 and table.rows().count() == 0
+
+
 def images(spark, *contents):
     return spark.createDataFrame([(i, bytes([c])) for i, c in enumerate(contents)], "i long, image binary")
 
