@@ -62,7 +62,8 @@ def run_outcome(df: DataFrame, keys: Sequence[str], error: Column) -> DataFrame:
     )
 
 
-def _decision() -> Column:
+def decision() -> Column:
+    """What an event of a run's history decides; null for the others."""
     run, task, state = F.col("source") == "run", F.col("source") == "task", F.col("status")
     return (
         F.when(run & state.isin("TERMINATED", "FAILED", "SUCCEEDED"), state)
@@ -72,7 +73,7 @@ def _decision() -> Column:
 
 def fold_columns(seq: str) -> list[Column]:
     """Aggregates that give the first deciding event of a run; the others are left out."""
-    first = F.min(F.when(_decision().isNotNull(), F.struct(F.col(seq).alias("seq"), _decision().alias("outcome"), "info")))
+    first = F.min(F.when(decision().isNotNull(), F.struct(F.col(seq).alias("seq"), decision().alias("outcome"), "info")))
     return [first.alias("_first")]
 
 

@@ -82,7 +82,7 @@ def stream_counter_rate(load):
     root = feeds.run_to_end(
         load.spark,
         "counter-rate",
-        lambda at: feeds.counter_rates(readings, ["user_id"], READING_COLUMNS, f"{at}/rates", f"{at}/state", f"{at}/checkpoint"),
+        lambda at: feeds.counter_rates(readings, ["user_id"], READING_COLUMNS, f"{at}/rates", f"{at}/checkpoint"),
     )
     return feeds.sampled_rates(load.spark, f"{root}/rates", ["user_id"], "event_id")
 
@@ -102,15 +102,14 @@ def stream_fold_status(load):
     + RUN_EVENTS_SQL
     + """, buckets AS (SELECT user_id, hour, sum(cents)::BIGINT AS units FROM run_events GROUP BY 1, 2),
 spread AS (SELECT user_id, hour + unnest(range(1, 21)) AS slot, units FROM buckets)
-SELECT user_id, slot AS hour, round_even(sum(units) / count(*), 0)::BIGINT AS rate FROM spread
-WHERE slot * 3600000000 <= (SELECT max(us) - 3600000000 FROM run_events) GROUP BY ALL""",
+SELECT user_id, slot AS hour, round_even(sum(units) / count(*), 0)::BIGINT AS rate FROM spread GROUP BY ALL""",
 )
 def stream_rate(load):
     events = run_events(_stream(load)).select("user_id", F.col("ts").cast("timestamp").alias("ts"), "cents")
     rates = feeds.live_rate(events, ["user_id"], "ts", "cents", "1 hour", bucket="1 hour")
-    root = feeds.run_to_end(load.spark, "rate", lambda at: feeds.append_rows(rates, f"{at}/rates", f"{at}/checkpoint"))
+    root = feeds.run_to_end(load.spark, "rate", lambda at: feeds.updated_rows(rates, f"{at}/rates", f"{at}/checkpoint"))
     hour = F.floor(F.unix_micros("at") / 3_600_000_000)
-    return load.spark.read.parquet(f"{root}/rates").select("user_id", hour.alias("hour"), "rate")
+    return feeds.last_written(load.spark, f"{root}/rates", ["user_id", "at"]).select("user_id", hour.alias("hour"), "rate")
 
 
 _EVENT_TYPES = ["signup", "purchase", "view", "click"]

@@ -15,8 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from assetlake.operators import catalog, metadata, quality, series
 from assetlake.operators.series import RATE_WINDOW
-from assetlake.operators.skew import lookup
 from assetlake.session import shared_dir
+from assetlake.streaming import keyed
 
 # Poll and waiting times in seconds (fixed values).
 POLL_SECONDS = 3
@@ -83,49 +83,60 @@ def log_sink(calls: DataFrame, keep: Sequence[str], sink: str, checkpoint: str,
     return _writer(calls, checkpoint, follow).foreachBatch(write).start()
 
 
+def _types(df: DataFrame, names: Sequence[str]) -> str:
+    return ", ".join(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names)
+
+
 def counter_rates(
     readings: DataFrame,
     keys: Sequence[str],
     columns: dict[str, str],
     sink: str,
-    state: str,
     checkpoint: str,
     follow: bool = False,
+    ttl: float | None = None,
 ) -> StreamingQuery:
-    """Counter rates per micro-batch, with each key's baseline carried in a state table.
+    """Counter rates per micro-batch, with each key's baseline and first time kept as keyed state.
 
-    The baseline of a key is a reading like any other and precedes the new ones, so a batch is
-    the batch operator over the baselines and the new readings; a hot key is split there. Every
-    batch writes the whole state, numbered like the batch, so a retry finds what it found. The
-    state also holds each key's first time, from which ``x`` (elapsed seconds) and ``step`` (the
-    sampling step) follow. ``columns`` names ``seq``, ``time``, ``counter`` and ``limit``.
+    A batch reads and writes the state of its own keys only. A key without a reading for ``ttl`` seconds leaves the state:
+    its next reading is a new baseline. The new readings of one key are ordered in memory, so bound a batch by
+    ``files_per_batch`` where one key may have very many. ``x`` (elapsed seconds) and ``step`` (the sampling step) follow
+    from the first time. ``columns`` names ``seq``, ``time``, ``counter`` and ``limit``.
     """
     seq, time_, counter, limit = (columns[c] for c in ("seq", "time", "counter", "limit"))
+    rows = readings.filter(F.col(time_).isNotNull()).select(
+        *keys,
+        F.col(seq).alias("seq"),
+        F.col(time_).alias("t"),
+        F.coalesce(F.col(counter), F.lit(0)).alias("c"),
+        F.col(counter).isNull().alias("unknown"),
+        F.col(limit).cast("double").alias("lim"),
+    )
+    kinds = {name: rows.schema[name].dataType.simpleString() for name in ("seq", "t", "c")}
+    given = f"{_types(rows, keys)}, seq {kinds['seq']}, t {kinds['t']}, change {kinds['c']}, span {kinds['t']}, lim double, start {kinds['t']}"
+    changes = keyed.with_state(rows, keys, keyed.Baselines(keys, kinds, ttl), given)
+    used = F.col("change") / F.col("span") / F.lit(1_000_000_000.0)
+    elapsed = F.col("t") - F.col("start")
+    rates = changes.select(
+        *keys,
+        F.col("seq").alias(seq),
+        F.col("t").alias(time_),
+        F.bround(used, 4).alias("used"),
+        F.bround("lim", 2).alias("allocated"),
+        F.bround(elapsed, 0).cast("long").alias("x"),
+        series.sampling_grid(elapsed).alias("step"),
+    )
+    return _start_per_batch(rates, sink, checkpoint, follow, state=True)
+
+
+def _start_per_batch(stream: DataFrame, sink: str, checkpoint: str, follow: bool, state: bool = False) -> StreamingQuery:
+    """Start a query in update mode that writes each batch to its own folder of ``sink``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        unknown = F.lit(None).cast(batch.schema[time_].dataType)
-        rows = batch.select(*keys, seq, time_, counter, limit, unknown.alias("start"))
-        if batch_id > 0:
-            rows = spark.read.schema(rows.schema).parquet(f"{state}/batch={batch_id - 1}").unionByName(rows)
-        baseline = F.struct(F.col(time_), (-F.col(seq)).alias("_minus"), F.col(counter), F.col(limit))
-        kept = rows.groupBy(*keys).agg(
-            F.max(baseline).alias("_b"),
-            F.min(F.coalesce("start", time_)).alias("start"),
-            F.count(F.lit(1)).alias("_rows"),
-        )
-        next_state = kept.select(
-            *keys, (-F.col("_b._minus")).alias(seq), f"_b.{time_}", f"_b.{counter}", f"_b.{limit}", "start"
-        )
-        next_state.write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
-        rates = series.counter_rate(rows.drop("start"), keys, seq, time_, counter, limit)
-        timed = lookup(rates, kept.select(*keys, "start", "_rows"), keys, weight="_rows")
-        elapsed = F.col(time_) - F.col("start")
-        timed.select(
-            *rates.columns, F.bround(elapsed, 0).cast("long").alias("x"), series.sampling_grid(elapsed).alias("step")
-        ).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-
-    return _writer(readings, checkpoint, follow).foreachBatch(write).start()
+        batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+
+    writer = _writer(stream, checkpoint, follow).outputMode("update").foreachBatch(write)
+    return keyed.start_with_state(stream, writer.start) if state else writer.start()
 
 
 def sampled_rates(spark: SparkSession, sink: str, keys: Sequence[str], seq: str) -> DataFrame:
@@ -136,22 +147,31 @@ def sampled_rates(spark: SparkSession, sink: str, keys: Sequence[str], seq: str)
 
 
 def fold_statuses(
-    history: DataFrame, keys: Sequence[str], seq: str, sink: str, checkpoint: str, follow: bool = False
+    history: DataFrame,
+    keys: Sequence[str],
+    seq: str,
+    sink: str,
+    checkpoint: str,
+    follow: bool = False,
+    ttl: float | None = None,
 ) -> StreamingQuery:
-    """Outcome per run as its history arrives: one running aggregate, updated rows per batch."""
-    outcomes = catalog.folded(history.groupBy(*keys).agg(*catalog.fold_columns(seq)), keys)
+    """Outcome per run as its history arrives: the first decision of a run is keyed state, updated rows per batch.
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-
-    return _writer(outcomes, checkpoint, follow).outputMode("update").foreachBatch(write).start()
+    A run that had no decision event for ``ttl`` seconds leaves the state. :func:`current_outcomes` takes the first
+    decision ever written, so events that arrive after that change nothing.
+    """
+    rows = history.select(*keys, F.col(seq).alias("seq"), catalog.decision().alias("outcome"), "info")
+    kind = rows.schema["seq"].dataType.simpleString()
+    given = f"{_types(rows, keys)}, seq {kind}, outcome string, info string"
+    first = keyed.with_state(rows, keys, keyed.FirstDecision(keys, kind, ttl), given)
+    return _start_per_batch(first, sink, checkpoint, follow, state=True)
 
 
 def current_outcomes(spark: SparkSession, sink: str, keys: Sequence[str]) -> DataFrame:
-    """The last written outcome per run."""
+    """The outcome per run of all that was written: its first decision by ``seq``."""
     written = spark.read.parquet(sink)
-    values = [c for c in written.columns if c not in keys and c != "batch"]
-    return catalog.last_by(written, keys, ["batch"], values)
+    first = F.min(F.when(F.col("outcome").isNotNull(), F.struct("seq", "outcome", "info")))
+    return catalog.folded(written.groupBy(*keys).agg(first.alias("_first")), keys)
 
 
 def live_rate(
@@ -163,22 +183,37 @@ def live_rate(
     bucket: str = "1 second",
     window: int = RATE_WINDOW,
 ) -> DataFrame:
-    """Trailing rate per bucket as a stream: sums per bucket, then means over sliding windows.
+    """Trailing rate per bucket as a stream: the mean over the buckets of each sliding window that have units.
 
-    A window that ends where a bucket starts holds exactly the ``window`` buckets before it,
-    so the current bucket is left out.
+    A window that ends where a bucket starts holds exactly the ``window`` buckets before it, so the current bucket is
+    left out. One aggregate keeps each window's sum and a bit per bucket. Written in update mode (:func:`updated_rows`)
+    a window's rate is there from its first event on, also where the input ends before the window does;
+    windows older than the watermark leave the state.
     """
+    if not 0 < window < 64:
+        raise ValueError("a window has 1 to 63 buckets")
     size, unit = bucket.split()
-    sums = (
-        events.withWatermark(time_, lateness)
-        .groupBy(F.window(time_, bucket).alias("_b"), *keys)
-        .agg(F.sum(units).alias("units"))
-    )
     span = f"{int(size) * window} {unit}"
-    slide = F.window(F.window_time("_b"), span, bucket).alias("_w")
-    mean = F.bround(F.sum("units") / F.count("units"), 0).cast("long")
-    rates = sums.groupBy(slide, *keys).agg(mean.alias("rate"))
-    return rates.select(*keys, F.col("_w.end").alias("at"), "rate")
+    sliding = F.window(time_, span, bucket).alias("_w")
+    width = F.unix_micros(F.col("_w.end")) - F.unix_micros(F.col("_w.start"))
+    place = F.floor((F.unix_micros(F.col(time_)) - F.unix_micros(F.col("_w.start"))) * window / width).cast("int")
+    spread = events.withWatermark(time_, lateness).select(*keys, units, time_, sliding)
+    seen = spread.select(*keys, units, "_w", F.call_function("shiftleft", F.lit(1).cast("long"), place).alias("_bit"))
+    summed = seen.groupBy("_w", *keys).agg(F.sum(units).alias("_sum"), F.bit_or("_bit").alias("_bits"))
+    mean = F.bround(F.col("_sum") / F.bit_count("_bits"), 0).cast("long")
+    return summed.select(*keys, F.col("_w.end").alias("at"), mean.alias("rate"))
+
+
+def updated_rows(stream: DataFrame, sink: str, checkpoint: str, follow: bool = False) -> StreamingQuery:
+    """Write the rows that a running aggregate changes, batch by batch; :func:`last_written` reads the result."""
+    return _start_per_batch(stream, sink, checkpoint, follow)
+
+
+def last_written(spark: SparkSession, sink: str, keys: Sequence[str]) -> DataFrame:
+    """Of each key the row of the last batch that wrote it."""
+    written = spark.read.parquet(sink)
+    values = [c for c in written.columns if c not in (*keys, "batch")]
+    return catalog.last_by(written, keys, ["batch"], values)
 
 
 def append_rows(stream: DataFrame, sink: str, checkpoint: str, follow: bool = False) -> StreamingQuery:

@@ -32,7 +32,7 @@ def test_counter_rates_carry_their_baseline_over_batches(spark, lake, parts):
     df, path = parts
     stream = feeds.table_stream(spark, path, files_per_batch=1)
     columns = {"seq": "seq", "time": "t", "counter": "c", "limit": "lim"}
-    feeds.counter_rates(stream, ["host"], columns, f"{lake}/out", f"{lake}/state", f"{lake}/cp").awaitTermination()
+    feeds.counter_rates(stream, ["host"], columns, f"{lake}/out", f"{lake}/cp").awaitTermination()
     got = spark.read.parquet(f"{lake}/out")
     assert got.select("batch").distinct().count() == 3
     batch = series.counter_rate(df, ["host"], "seq", "t", "c", "lim")
@@ -90,3 +90,66 @@ def test_outcomes_over_batches(spark, lake, parts):
     feeds.fold_statuses(history, ["host"], "seq", f"{lake}/out", f"{lake}/cp").awaitTermination()
     got = feeds.current_outcomes(spark, f"{lake}/out", ["host"]).select("host", "outcome", "info")
     assert rows(got.fillna("")) == [("h0", "RUNNING", ""), ("h1", "RUNNING", ""), ("hot", "FAILED", "151")]
+
+
+def test_counter_rates_go_on_after_a_restart(spark, lake, parts):
+    df, path = parts
+    columns = {"seq": "seq", "time": "t", "counter": "c", "limit": "lim"}
+
+    def read_on(ttl=None):
+        stream = feeds.table_stream(spark, f"{lake}/new")
+        feeds.counter_rates(stream, ["host"], columns, f"{lake}/out", f"{lake}/cp", ttl=ttl).awaitTermination()
+        return spark.read.parquet(f"{lake}/out")
+
+    df.filter("seq < 120").coalesce(1).write.parquet(f"{lake}/new")
+    read_on()
+    df.filter("seq >= 120").coalesce(1).write.mode("append").parquet(f"{lake}/new")
+    batch = series.counter_rate(df, ["host"], "seq", "t", "c", "lim")
+    got = read_on()
+    assert rows(got.select(batch.columns)) == rows(batch)
+    assert got.filter("host = 'hot' AND batch > 0").agg(F.min("x")).first()[0] > 50  # counted from the first time of all
+
+
+def test_keys_leave_the_state(spark, lake, parts):
+    df, _ = parts
+    columns = {"seq": "seq", "time": "t", "counter": "c", "limit": "lim"}
+
+    def read_on(low, high):
+        df.filter(F.col("seq").between(low, high)).coalesce(1).write.mode("append").parquet(f"{lake}/new")
+        stream = feeds.table_stream(spark, f"{lake}/new")
+        feeds.counter_rates(stream, ["host"], columns, f"{lake}/out", f"{lake}/cp", ttl=0.5).awaitTermination()
+
+    read_on(0, 119)
+    time.sleep(2)
+    read_on(120, 299)
+    halves = [series.counter_rate(df.filter(part), ["host"], "seq", "t", "c", "lim") for part in ("seq < 120", "seq >= 120")]
+    got = spark.read.parquet(f"{lake}/out")
+    assert rows(got.select(halves[0].columns)) == rows(halves[0].unionByName(halves[1]))
+    assert got.filter("batch > 0").agg(F.min("x")).first()[0] < 5
+
+
+def test_a_decision_stands_after_its_run_left_the_state(spark, lake):
+    def read_on(*events):
+        history = spark.createDataFrame(list(events), "run string, seq long, source string, status string, info string")
+        history.coalesce(1).write.mode("append").parquet(f"{lake}/history")
+        stream = feeds.table_stream(spark, f"{lake}/history")
+        feeds.fold_statuses(stream, ["run"], "seq", f"{lake}/out", f"{lake}/cp", ttl=0.5).awaitTermination()
+        got = feeds.current_outcomes(spark, f"{lake}/out", ["run"]).select("run", "outcome", "info")
+        return rows(got.fillna(""))
+
+    first = read_on(("a", 5, "task", "FAILED", "disk"), ("b", 1, "run", "RUNNING", None), ("a", 7, "run", "SUCCEEDED", None))
+    assert first == [("a", "FAILED", "disk"), ("b", "RUNNING", "")]
+    time.sleep(2)
+    assert read_on(("a", 9, "run", "SUCCEEDED", None), ("b", 3, "run", "SUCCEEDED", None)) == [("a", "FAILED", "disk"), ("b", "SUCCEEDED", "")]
+
+
+def test_windows_that_are_open_at_the_end_are_there(spark, lake):
+    df = spark.createDataFrame([("u", 0, 10), ("u", 1, 20), ("u", 1, 6), ("v", 30, 5)], "user string, sec long, units long")
+    df.select("user", F.timestamp_seconds("sec").alias("ts"), "units").coalesce(1).write.parquet(f"{lake}/in")
+    rates = feeds.live_rate(feeds.table_stream(spark, f"{lake}/in"), ["user"], "ts", "units", "1 second")
+    feeds.updated_rows(rates, f"{lake}/out", f"{lake}/cp").awaitTermination()
+    got = feeds.last_written(spark, f"{lake}/out", ["user", "at"]).select("user", F.unix_seconds("at").alias("at"), "rate")
+    want = [("u", 1, 10)] + [("u", at, 18) for at in range(2, 21)] + [("u", 21, 26)] + [("v", at, 5) for at in range(31, 51)]
+    assert rows(got) == want
+    with pytest.raises(ValueError):
+        feeds.live_rate(rates, ["user"], "at", "rate", "1 second", window=64)
