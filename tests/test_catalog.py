@@ -50,22 +50,18 @@ def test_parse_errors(spark, ref, expected_type, problem):
     assert got["status"] == problem and set(tuple(got)[1:]) == {None}
 
 
-@pytest.mark.parametrize(
-    "ref, url",
-    [
-        ("o/p/datasets/a", "o/p/datasets/a"),
-        ("o/p/datasets/a:12", "o/p/datasets/a?v=12"),
-        ("o/p/datasets/a:12.8", "o/p/datasets/a?v=12.8"),
-        ("o/p/datasets/a#f", "o/p/datasets/a#f"),
-        ("o/p/datasets/a:12#f", "o/p/datasets/a?v=12#f"),
-        ("o/p/datasets/a:12.8#f", "o/p/datasets/a?v=12.8#f"),
-        ("p/datasets/a", None),
-    ],
-)
-def test_render(spark, ref, url):
-    path, got = parsed(spark, ref).select(refs.render_path(F.col("r")), refs.render_url(F.col("r"), "https://h")).first()
-    assert path == ref
-    assert got == (None if url is None else f"https://h/{url}")
+@pytest.mark.parametrize("owner", PATHS)
+def test_render_gives_back_the_parts_there_are(spark, owner):
+    cases = [(f"{owner}models/N_1-x", build, chosen) for build in ("", "v_7", "7.40", "0.3") for chosen in ("", "Col-1")]
+    want = {
+        base + (build and ":" + build) + (chosen and "#" + chosen): base + (build and "?v=" + build) + (chosen and "#" + chosen)
+        for base, build, chosen in cases
+    }
+    df = refs.parse_refs(spark.createDataFrame([(r,) for r in want], "ref string"), "ref", "r")
+    rendered = df.select("ref", refs.render_path(F.col("r")).alias("path"), refs.render_url(F.col("r"), "https://h").alias("url"))
+    complete = owner.count("/") == 2
+    for r in rendered.collect():
+        assert r["path"] == r["ref"] and r["url"] == (f"https://h/{want[r['ref']]}" if complete else None)
 
 
 def test_defaults(spark):
