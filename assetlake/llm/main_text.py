@@ -199,7 +199,10 @@ def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") ->
     name = F.concat_ws("/", F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")), F.crc32(F.encode(page, "UTF-8")))
     fits = page.isNotNull() & (F.octet_length(page) <= SAMPLE_BYTES) & page.rlike("(?i)<(article|main)[ >]")
     sample = pages.where(fits).select(page.alias("html"), F.xxhash64(F.lit(SEED), name).alias("h"))
-    rows = sample.orderBy("h", "html").limit(SAMPLE_PAGES).collect()  # bounded in rows and bytes
+    # The least hashes first, without the pages, so that tasks send numbers only; then the pages that have them.
+    least = [r["h"] for r in sample.select("h").distinct().orderBy("h").limit(SAMPLE_PAGES).collect()]
+    rows = sample.where(F.col("h") <= least[-1]).groupBy("h").agg(F.min("html").alias("html")).collect() if least else []
+    rows.sort(key=lambda r: r["h"])
     marked = [m for m in (own_label(r["html"]) for r in rows) if m is not None]
     written = labelled_pages(WRITTEN_PAGES, SEED)
     return fit([parse(p, True) for p in written] + [parse(p, True, i % 4 == 0) for i, p in enumerate(marked)])
