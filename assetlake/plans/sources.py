@@ -101,6 +101,50 @@ def file_admission(load):
     return listed.select("*", files.admit(F.col("path"), F.col("size")).alias("_a")).select("page_id", "path", "size", "_a.*")
 
 
+@query(
+    "build_set",
+    """WITH sizes AS (
+         SELECT count(*) AS n, count(DISTINCT o_orderstatus) AS states, count(DISTINCT o_custkey) AS customers,
+                count(DISTINCT (o_orderstatus, o_custkey)) AS pairs FROM orders)
+       SELECT 'base' AS name, 0 AS level, 'COMPLETED' AS status, '' AS info, '' AS uses, n AS n_rows FROM sizes
+       UNION ALL SELECT 'by_status', 1, 'COMPLETED', '', 'base', states FROM sizes
+       UNION ALL SELECT 'by_customer', 1, 'COMPLETED', '', 'base', customers FROM sizes
+       UNION ALL SELECT 'joined', 2, 'COMPLETED', '', 'base,by_customer,by_status', pairs FROM sizes
+       UNION ALL SELECT 'raising', 1, 'FAILED', 'no place for ' || n || ' rows', 'base', 0 FROM sizes
+       UNION ALL SELECT 'waiting', 3, 'NOT BUILT', 'not built: raising', '', 0""",
+)
+def build_set(load):
+    """A diamond of datasets made of ``orders``, with a raising member and one that depends on it."""
+    store = builds.BuildStore(load.spark, shared_dir(load.spark, "set"))
+    base = builds.dataset("base")(lambda spark: load("orders"))
+
+    @builds.dataset("by_status", [base])
+    def by_status(spark, orders):
+        return orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("status_rows"))
+
+    @builds.dataset("by_customer", ["base"], rules=[NotNull(["o_custkey"])])
+    def by_customer(spark, orders):
+        return orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("customer_rows"))
+
+    @builds.dataset("joined", [base, by_status, by_customer])
+    def joined(spark, orders, states, customers):
+        pairs = orders.select("o_orderstatus", "o_custkey").distinct()
+        return pairs.join(states, "o_orderstatus").join(customers, "o_custkey")
+
+    @builds.dataset("raising", [base])
+    def raising(spark, orders):
+        raise ValueError(f"no place for {orders.count()} rows")
+
+    waiting = builds.dataset("waiting", [raising, joined])(lambda spark, *tables: tables[1])
+    outcomes = store.build_all([waiting, joined, by_customer, raising, by_status, base])
+    sizes = [store.read(f.name).agg(F.lit(f.name).alias("name"), F.count(F.lit(1)).alias("n_rows")) for f in (base, by_status, by_customer, joined)]
+    told = outcomes.join(builds.concat(sizes), "name", "left")
+    uses = F.concat_ws(",", F.array_sort(F.map_keys("uses")))
+    return told.select(
+        "name", "level", "status", F.coalesce("info", F.lit("")).alias("info"), uses.alias("uses"), F.coalesce("n_rows", F.lit(0)).alias("n_rows")
+    )
+
+
 @query(
     "build_outcomes",
     """SELECT 'good' AS name, 'COMPLETED' AS status, CAST(NULL AS VARCHAR) AS info, count(*) AS n_rows FROM orders

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import functools
+import graphlib
 import hashlib
 import inspect
 import json
+import threading
 import time
 import uuid
 from collections.abc import Callable, Sequence
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -17,13 +20,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from assetlake.operators import catalog, position, quality
+from assetlake.operators.lineage import CycleError
 from assetlake.session import prepare
 from assetlake.sources import records
 
 EVENT_SCHEMA = (
     "seq long, name string, version string, version_no long, index long, build_id string, "
-    "status int, location string, info string, schema string"
+    "status int, location string, info string, schema string, "
+    "uses map<string,string>"
 )
+OUTCOME_SCHEMA = "name string, level int, status string, build_id string, info string, uses map<string,string>"
 REGISTRATION_SCHEMA = "seq long, name string, description string, dependencies array<string>, source_digest string"
 STARTED, COMPLETED, FAILED = 1, 2, 3
 
@@ -70,6 +76,11 @@ class DatasetFunction:
     def __call__(self, *args, **kwargs):
         return self.function(*args, **kwargs)
 
+    @property
+    def needs(self) -> list[str]:
+        """Names of the datasets it depends on."""
+        return [d.name if isinstance(d, DatasetFunction) else d for d in self.dependencies]
+
 
 def dataset(
     name: str, dependencies: Sequence = (), description: str = "", rules: Sequence[quality.Rule] = ()
@@ -95,12 +106,17 @@ class BuildStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = prepare(spark)
         self.root = root.rstrip("/")
+        # Two jobs that append to one folder at once would clean up each other's files.
+        self._appending = threading.RLock()
+
+    def _append(self, row: dict, schema: str, log: str) -> None:
+        columns = [part.split()[0] for part in schema.split(", ")]
+        with self._appending:
+            entry = self.spark.createDataFrame([tuple({"seq": time.time_ns(), **row}[c] for c in columns)], schema)
+            entry.coalesce(1).write.mode("append").parquet(f"{self.root}/{log}")
 
     def _record(self, **event) -> None:
-        row = {"seq": time.time_ns(), "location": None, "info": None, "schema": None, **event}
-        columns = [part.split()[0] for part in EVENT_SCHEMA.split(", ")]
-        entry = self.spark.createDataFrame([tuple(row[c] for c in columns)], EVENT_SCHEMA)
-        entry.coalesce(1).write.mode("append").parquet(f"{self.root}/_events")
+        self._append({"location": None, "info": None, "schema": None, "uses": None, **event}, EVENT_SCHEMA, "_events")
 
     def events(self) -> DataFrame:
         return self.spark.read.schema(EVENT_SCHEMA).parquet(f"{self.root}/_events")
@@ -120,6 +136,10 @@ class BuildStore:
         return (events.agg(F.max("index")).first()[0] or 0) + 1
 
     def _start(self, name: str, version: str, index: int | None) -> dict:
+        with self._appending:
+            return self._started(name, version, index)
+
+    def _started(self, name: str, version: str, index: int | None) -> dict:
         build = {
             "name": name,
             "version": version,
@@ -131,14 +151,18 @@ class BuildStore:
         return build
 
     def _finish(
-        self, build: dict, make: Callable, rules: Sequence[quality.Rule], max_records_per_file: int, order: Sequence[str] = ()
+        self, build: dict, make: Callable, rules: Sequence[quality.Rule], max_records_per_file: int,
+        order: Sequence[str] = (), uses: dict[str, str] | None = None,
     ) -> str | None:
-        """Make, write and check the table of a started build; whatever is raised is recorded as its failure."""
+        """Make, write and check the table of a started build; whatever is raised is recorded as its failure.
+
+        ``uses`` may be filled while the table is made: the build of each dependency that it was made from.
+        """
         location = f"{self.root}/{build['name']}/{build['build_id']}"
         try:
             result = make()
             if result is None:
-                self._record(status=COMPLETED, **build)
+                self._record(status=COMPLETED, uses=uses, **build)
                 return None
             df = records.check_table(result)
             if order:
@@ -148,9 +172,9 @@ class BuildStore:
             if rules:
                 quality.check(self.spark.read.schema(df.schema).parquet(location), rules)
         except BaseException as error:
-            self._record(status=FAILED, info=str(error), **build)
+            self._record(status=FAILED, info=str(error), uses=uses, **build)
             raise
-        self._record(status=COMPLETED, location=location, schema=df.schema.json(), **build)
+        self._record(status=COMPLETED, location=location, schema=df.schema.json(), uses=uses, **build)
         return build["build_id"]
 
     def write(
@@ -173,14 +197,17 @@ class BuildStore:
 
     def register(self, function: DatasetFunction) -> None:
         """Record a dataset function's description, dependencies and source digest; the last registration counts."""
-        names = [d.name if isinstance(d, DatasetFunction) else d for d in function.dependencies]
         try:
             source = inspect.getsource(function.function)
         except OSError:  # defined in an interactive session
             source = function.function.__qualname__
-        row = (time.time_ns(), function.name, function.description, names, hashlib.sha256(source.encode()).hexdigest())
-        entry = self.spark.createDataFrame([row], REGISTRATION_SCHEMA)
-        entry.coalesce(1).write.mode("append").parquet(f"{self.root}/_registrations")
+        row = {
+            "name": function.name,
+            "description": function.description,
+            "dependencies": function.needs,
+            "source_digest": hashlib.sha256(source.encode()).hexdigest(),
+        }
+        self._append(row, REGISTRATION_SCHEMA, "_registrations")
 
     def registrations(self) -> DataFrame:
         """What is registered of each dataset."""
@@ -197,8 +224,77 @@ class BuildStore:
         started = self._start(function.name, version, None)
         return self._finish(started, lambda: function(self.spark, *args, **kwargs), function.rules, 0)
 
-    def _find(self, name: str, version: str | None, index: int | None) -> tuple[str, StructType]:
+    def build_all(self, functions: Sequence[DatasetFunction], version: str = "1", workers: int = 4) -> DataFrame:
+        """Build a set of dataset functions, each after those of the set that it depends on.
+
+        A function is called with the session and a table per dependency, in the declared order: the build that was just
+        made, or the latest completed one of a dataset outside the set. Functions that wait for nothing run side by side,
+        ``workers`` at a time. One that raises is FAILED like any build; what depends on it is NOT BUILT and the others
+        go on. The builds that a build was made from are recorded with it (:meth:`used_builds`).
+
+        Returns ``(name, level, status, build_id, info, uses)``, where level 0 waits for nothing. A cycle raises
+        before anything is built.
+        """
+        members = {f.name: f for f in functions}
+        if len(members) < len(functions):
+            raise ValueError("two functions of the set make the same dataset")
+        inside = {name: [d for d in f.needs if d in members] for name, f in members.items()}
+        waiting = graphlib.TopologicalSorter(inside)
+        try:
+            waiting.prepare()
+        except graphlib.CycleError as error:
+            raise CycleError("the dependencies form a cycle: " + " -> ".join(error.args[1])) from None
+        levels: dict[str, int] = {}
+        for name in graphlib.TopologicalSorter(inside).static_order():
+            levels[name] = 1 + max((levels[d] for d in inside[name]), default=-1)
+        outcomes: dict[str, tuple] = {}
+        running: dict[Future, str] = {}
+        with ThreadPoolExecutor(workers) as pool:
+            while waiting.is_active():
+                for name in waiting.get_ready():
+                    known = {d: outcomes[d] for d in inside[name]}
+                    running[pool.submit(self._build_one, members[name], version, known)] = name
+                for future in wait(running, return_when=FIRST_COMPLETED).done:
+                    name = running.pop(future)
+                    outcomes[name] = future.result()
+                    waiting.done(name)
+        rows = [(name, levels[name], *outcomes[name]) for name in members]
+        return self.spark.createDataFrame(rows, OUTCOME_SCHEMA)
+
+    def _build_one(self, function: DatasetFunction, version: str, known: dict[str, tuple]) -> tuple:
+        """``(status, build_id, info, uses)`` of one function of a set; ``known`` has those of its dependencies in it."""
+        bad = [d for d, outcome in known.items() if outcome[0] != "COMPLETED"]
+        if bad:
+            return "NOT BUILT", None, "not built: " + ", ".join(bad), {}
+        uses: dict[str, str] = {}
+
+        def make():
+            tables = []
+            for name in function.needs:
+                build_id, location, schema = self._find(name, build_id=known[name][1] if name in known else None)
+                uses[name] = build_id
+                tables.append(self.spark.read.schema(schema).parquet(location))
+            return function(self.spark, *tables)
+
+        self.register(function)
+        started = self._start(function.name, version, None)
+        try:
+            self._finish(started, make, function.rules, 0, uses=uses)
+        except Exception as error:
+            return "FAILED", started["build_id"], str(error), uses
+        return "COMPLETED", started["build_id"], None, uses
+
+    def used_builds(self) -> DataFrame:
+        """``(name, build_id, dependency, used_build_id)``: what each completed build was made from."""
+        done = self.events().filter(F.col("status") == COMPLETED)
+        return done.select("name", "build_id", F.explode("uses").alias("dependency", "used_build_id"))
+
+    def _find(
+        self, name: str, version: str | None = None, index: int | None = None, build_id: str | None = None
+    ) -> tuple[str, str, StructType]:
         chosen = self.builds().filter(F.col("name") == name)
+        if build_id is not None:
+            chosen = chosen.filter(F.col("build_id") == build_id)
         if version is not None:
             chosen = chosen.filter(F.col("version") == version)
         if index is not None:
@@ -208,14 +304,14 @@ class BuildStore:
         if best is None:
             raise LookupError(f"no completed build of {name}")
         written = self.events().filter((F.col("build_id") == best["build_id"]) & (F.col("status") == COMPLETED)).first()
-        return best["location"], StructType.fromJson(json.loads(written["schema"]))
+        return best["build_id"], best["location"], StructType.fromJson(json.loads(written["schema"]))
 
     def read(self, name: str, version: str | None = None, index: int | None = None) -> DataFrame:
         """Latest completed build of a dataset, of one version of it, or exactly one build."""
-        location, schema = self._find(name, version, index)
+        _, location, schema = self._find(name, version, index)
         return self.spark.read.schema(schema).parquet(location)
 
     def ordered(self, name: str, version: str | None = None, index: int | None = None) -> position.OrderedTable:
         """As :meth:`read`, of a build written with ``order``: rows by position, slices and heads without a write."""
-        location, schema = self._find(name, version, index)
+        _, location, schema = self._find(name, version, index)
         return position.OrderedTable(self.spark, location, schema)
