@@ -38,6 +38,24 @@ def _kind(value: Column) -> Column:
     return F.coalesce(table[F.coalesce(name, F.lit("?"))], F.lit("number"))
 
 
+# A string of a JSON text, or a number outside of strings (the grammar of JSON).
+LITERAL = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|(-?(?:0|[1-9]\d*+)(?:\.\d++)?+(?:[eE][+-]?\d++)?+(?![\w.+-]))'
+#: Begins a string value that stands for a number; a text can hold it only as written out in escapes.
+NUMBER_MARK = "\u0001\u0002"
+_ESCAPED_MARK = r"\u0001\u0002"
+
+
+def _numbers_as_text(json: Column) -> Column:
+    """A JSON text with each number as a marked string, so that it survives parsing as it was written.
+
+    Numbers that JSON does not allow are left, or cut so that the text stays invalid. Raw control characters, which JSON
+    does not allow either, delimit the tokens on the way.
+    """
+    split = F.regexp_replace(json, LITERAL, "$1\x02$2\x03")
+    opened = F.replace(F.replace(split, F.lit("\x02\x03"), F.lit("")), F.lit("\x02"), F.lit('"' + _ESCAPED_MARK))
+    return F.when(json.rlike("[\x02\x03]"), json).otherwise(F.replace(opened, F.lit("\x03"), F.lit('"')))
+
+
 def _depth(json: Column) -> Column:
     """How deep the objects of a JSON text are nested, from its braces outside of strings."""
     braces = F.regexp_replace(F.regexp_replace(json, r'"(\\.|[^"\\])*"', ""), "[^{}]", "")
@@ -54,7 +72,7 @@ def walk_objects(df: DataFrame, keep: Sequence[str], column: str, delimiter: str
     """All non-object values inside JSON objects of any depth.
 
     Returns ``keep``, the key path, the enclosing key (null at the top), the key, the kind and
-    the plain text of the value. Arrays stay whole. A text that is no valid JSON, or has a key
+    the plain text of the value; numbers are as they were written. Arrays stay whole. A text that is no valid JSON, or has a key
     twice, gives one row of kind ``invalid`` without a path. One pass finds how deep the objects
     go; then a single plan parses each text once and opens all objects level by level.
     """
@@ -62,7 +80,8 @@ def walk_objects(df: DataFrame, keep: Sequence[str], column: str, delimiter: str
     depth = texts.filter(F.startswith("json", F.lit("{"))).agg(F.max(_depth(F.col("json")))).first()[0] or 0
     none = F.lit(None).cast("string")
     rows = texts.select(
-        *keep, none.alias("path"), none.alias("parent"), none.alias("key"), F.try_parse_json("json").alias("v")
+        *keep, none.alias("path"), none.alias("parent"), none.alias("key"),
+        F.try_parse_json(_numbers_as_text(F.col("json"))).alias("v"),
     ).filter("v IS NULL OR startswith(schema_of_variant(v), 'OBJ')")
     # What is no object passes a level as an entry without a key.
     entry = "array<struct<key:string,value:variant>>"
@@ -78,6 +97,10 @@ def walk_objects(df: DataFrame, keep: Sequence[str], column: str, delimiter: str
             F.col("_e.value").alias("v"),
         )
     kind, text = _kind(F.col("v")), F.col("v").cast("string")
+    number = (kind == "string") & F.startswith(text, F.lit(NUMBER_MARK))
+    inside = F.regexp_replace(text, r'"\\u0001\\u0002([^"]*)"', "$1")
+    text = F.when(number, F.substring(text, F.lit(3), F.length(text))).when(kind == "list", inside).otherwise(text)
+    kind = F.when(number, "number").otherwise(kind)
     return rows.select(*keep, "path", "parent", "key", kind.alias("kind"), text.alias("text")).withColumn(
         "text", F.when(F.col("kind") == "boolean", F.initcap("text")).otherwise(F.col("text"))
     )

@@ -113,12 +113,16 @@ def metric_series(load):
        UNION ALL SELECT event_id, 'user/none', 'None' FROM events
        UNION ALL SELECT event_id, 'type', event_type FROM events
        UNION ALL SELECT event_id, 'flag', 'True' FROM events
-       UNION ALL SELECT event_id, 'tags', '[1,{"z":2}]' FROM events""",
+       UNION ALL SELECT event_id, 'tags', '[1.50,{"z":2}]' FROM events
+       UNION ALL SELECT event_id, 'rates/one', (event_id % 7)::VARCHAR || '.0' FROM events
+       UNION ALL SELECT event_id, 'rates/half', '2.50' FROM events
+       UNION ALL SELECT event_id, 'rates/tiny', '-1e-' || event_id % 9 FROM events""",
 )
 def flatten_params(load):
     nested = F.concat(
         F.lit('{"user": {"id": '), F.col("user_id"), F.lit(', "props": '), F.col("props"), F.lit(', "none": null}, "type": "'),
-        F.col("event_type"), F.lit('", "flag": true, "tags": [1, {"z": 2}], "empty": {}}'),
+        F.col("event_type"), F.lit('", "flag": true, "tags": [1.50, {"z": 2}], "rates": {"one": '), F.col("event_id") % 7,
+        F.lit('.0, "half": 2.50, "tiny": -1e-'), F.col("event_id") % 9, F.lit('}, "empty": {}}'),
     )
     return m.flatten_params(load("events").select("event_id", nested.alias("params")), ["event_id"], "params")
 

@@ -65,6 +65,23 @@ def test_flatten_any_depth(spark):
     assert m.flatten_params(df.limit(0), ["id"], "j").isEmpty()
 
 
+def test_numbers_keep_their_text(spark):
+    good = ["1.0", "2.50", "1e-5", "-0", "1E+400", "12345678901234567890123", "0.10"]
+    wrong = ["01", "1.", "1.2.3", "-", "+1", "1e", "0x1", "1 2", ".5"]
+    quoted = ['"1.0"', '"a 1.0, 2"', '"q\\"7"', '"\\\\"']
+    texts = good + wrong + quoted
+    rows = [(i, f'{{"k1": {{"2.0": {t}}}, "l": [{t}, {{"x": {t}}}]}}') for i, t in enumerate(texts)]
+    got = {}
+    for r in m.flatten_params(spark.createDataFrame(rows, "id long, j string"), ["id"], "j").collect():
+        got.setdefault(texts[r["id"]], {})[r["path"]] = r["value"]
+    for t in good:
+        assert got[t] == {"k1/2.0": t, "l": f'[{t},{{"x":{t}}}]'}
+    for t in wrong:
+        assert got[t] == {None: None}
+    assert [got[t]["k1/2.0"] for t in quoted] == ["1.0", "a 1.0, 2", 'q"7', "\\"]
+    assert [got[t]["l"] for t in quoted] == [f'[{t},{{"x":{t}}}]' for t in quoted]
+
+
 def test_decoding(spark):
     rows = [("NUMBER", "2.5"), ("BOOLEAN", "False"), ("TEXT", "t"), ("MARKDOWN", "m"), ("IMAGE", "u"), ("NUMBER", "abc")]
     df = spark.createDataFrame(rows, "type string, value string")
