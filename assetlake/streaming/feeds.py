@@ -216,10 +216,6 @@ def last_written(spark: SparkSession, sink: str, keys: Sequence[str]) -> DataFra
     return catalog.last_by(written, keys, ["batch"], values)
 
 
-def append_rows(stream: DataFrame, sink: str, checkpoint: str, follow: bool = False) -> StreamingQuery:
-    return _writer(stream, checkpoint, follow).outputMode("append").format("parquet").option("path", sink).start()
-
-
 def checked_sink(
     stream: DataFrame,
     rules: Sequence[quality.Rule],
