@@ -82,6 +82,66 @@ def test_the_model_beats_the_unigram_on_held_out_documents(spark):
     assert sum(r["score"] for r in held) / tokens > sum(r["base_score"] for r in held) / tokens + 0.05
 
 
+def plain_score(text, seen, params, words):
+    """The score of a text, token by token with plain loops; ``seen`` has the counts of the learning texts."""
+    r, c, v, b = params
+    tail = lambda w: zlib.crc32(w.encode()[-2:]) % lm.CLASSES
+    output = lambda w: 0 if w is None else words.index(w) + 1 if w in words else len(words) + 1 + tail(w)
+    tokens, log = [*split(lower(text or "")), None], 0.0
+    for t, word in enumerate(tokens):
+        before = [output(tokens[t - 1 - i]) if t - 1 - i >= 0 else 0 for i in range(lm.CONTEXT)]
+        q = [sum(c[i][d] * r[before[i]][d] for i in range(lm.CONTEXT)) for d in range(lm.WIDTH)]
+        scores = [sum(x * y for x, y in zip(q, v[k])) + b[k] for k in range(len(b))]
+        top = max(scores)
+        log += (scores[output(word)] - top - math.log(sum(math.exp(s - top) for s in scores))) / math.log(10)
+        if output(word) > len(words):
+            others = [w for w in seen if w is not None and w not in words and tail(w) == tail(word)]
+            mass = lm.SMOOTH + sum(seen[w] + lm.SMOOTH for w in others)
+            log += math.log10((seen.get(word, 0) + lm.SMOOTH) / mass)
+    return log
+
+
+def test_scores_token_by_token(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{int(x)}" for x in rng.integers(0, 12, n)) for n in (1, 5, 9, 14, 30)] * 4 + ["", None, "New wörd w1", "É" * 3]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    made = []
+
+    def some(encoded, size, q, rounds):
+        params = lm.LogBilinear.start(q)
+        made[:] = [p + rng.normal(0, 0.5, p.shape) for p in params]
+        return made
+
+    monkeypatch.setattr(lm, "train", some)
+    seen = Counter(w for i, t in enumerate(texts) if learns(i) for w in split(lower(t or "")))
+    # With ``direct`` at 30 some words are joined, and the outputs are the words over a thirtieth of the tokens.
+    for direct in (lm.DIRECT, 30):
+        got = {r["doc_id"]: r["score"] for r in lm.score(docs, direct=direct).collect()}
+        total = sum(seen.values()) + sum(map(learns, range(len(texts))))
+        words = sorted((w for w in seen if seen[w] > total / direct), key=lambda w: (-seen[w], w))[: lm.WORDS]
+        assert len(got) == len(texts)
+        for i, text in enumerate(texts):
+            assert abs(got[i] - plain_score(text, seen, made, words)) < 1e-3 * (1 + len(text or ""))
+
+
+def test_scores_beyond_single_precision():
+    q = np.full(8, 1 / 8)
+    r, c, v, b = lm.LogBilinear.start(q)
+    model = lm.LogBilinear([r, c, v, b + np.array([0, 300.0, 0, 0, 0, 0, 0, -300])])
+    assert abs(model.scorer()(np.array([1, 1, 1]))) < 1e-5 and -265 < model.scorer()(np.array([1, 7])) < -255
+    low = lm.LogBilinear([r, c, v, b - 200])
+    assert abs(low.scorer()(np.array([3])) - math.log10(1 / 8)) < 0.3
+
+
+def test_training_raises_the_likelihood():
+    rng = np.random.default_rng(4)
+    q = np.full(20, 1 / 20)
+    ids = (np.cumsum(rng.integers(1, 3, 60_000)) % 20).astype(np.uint8)  # the next is one or two further
+    model = lm.LogBilinear(lm.LogBilinear.start(q))
+    assert model.train(iter([ids]), q, 1) == len(ids)
+    assert model.scorer()(ids[:2000]) / 2000 > math.log10(1 / 20) + 0.7
+
+
 def test_scoring_of_nothing(spark, nothing, odd):
     assert lm.score(nothing).isEmpty()
     got = lm.score(odd.where("doc_id is null")).collect()
