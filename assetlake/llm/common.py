@@ -65,6 +65,33 @@ class Kept(dict):
         return n
 
 
+class Recent(dict):
+    """A function of short strings whose latest results are kept, in two generations of at most ``room`` bytes each.
+
+    A full generation takes the place of the older one; what is asked for again moves up, so frequent strings stay.
+    """
+
+    #: Bytes of a place in a dictionary.
+    PLACE = 100
+
+    def __init__(self, function, room: int):
+        super().__init__()
+        self.function, self.room, self.used, self.older = function, room, 0, {}
+
+    def __missing__(self, key):
+        value = self.older.pop(key, None)
+        if value is None:
+            value = self.function(key)
+        if len(key) <= 64:
+            self.used += self.PLACE + sys.getsizeof(key) + sys.getsizeof(value)
+            if self.used > self.room:
+                self.older, self.used = {}, 0
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
 def in_process(key: str, make):
     """What ``make`` gives, made once per Python worker: a worker that runs several tasks keeps its cache."""
     kept = vars(sys).setdefault("_assetlake_kept", {})

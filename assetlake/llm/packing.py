@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
-from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assetlake.llm.common import Kept, in_process
+from assetlake.llm.common import Recent
 from assetlake.session import cut_lineage
 
 CAPACITY = 4096
@@ -22,10 +23,11 @@ END = 1
 ROUNDS, PRICINGS, ETA, FILLS = 4, 40, 1.0, (0.998, 0.95, 0.85, 0.7)
 #: A packing this close to the least number of sequences that the volume allows is not tried again.
 GOOD = 1.001
-#: Pieces that are placed one by one after rounding; if more are left, equal sequences are placed in bulk.
-REST = 16 * CAPACITY
 ROWS_PER_BLOCK = 4_000
-KEPT_WORDS = 1_000_000
+#: Bytes of a generation of kept words, and of text that is split into words at once.
+KEPT_BYTES, BLOCK = 24 << 20, 1 << 18
+#: The white space between words.
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 class Encoder:
@@ -39,7 +41,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words = Kept(self.ids, KEPT_WORDS)
+        self.words = Recent(self.ids, KEPT_BYTES)
 
     def ids(self, word: bytes) -> bytes:
         # The vocabulary is in lower case, and a mark after a letter is a piece of its own; special strings are left alone.
@@ -51,22 +53,31 @@ class Encoder:
         return array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
 
     def text(self, text: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, text.encode().split()))
+        whole, out, at = text.encode(), [], 0
+        while at < len(whole):
+            space = SPACE.search(whole, at + BLOCK)
+            end = space.start() if space else len(whole)
+            out.append(b"".join(map(self.words.__getitem__, whole[at:end].split())))
+            at = end
+        return b"".join(out)
 
 
 def pieces(
     docs: DataFrame, vocabulary: str, id_col: str, text_col: str, capacity: int = CAPACITY, with_ids: bool = False
 ) -> DataFrame:
-    """(id, piece, start, length, ids_crc32 and, if asked for, ids): the documents' ids and the end, cut at ``capacity``."""
+    """(id, piece, start, length, ids_crc32, row and, if asked for, ids): the documents' ids and the end, cut at ``capacity``.
+
+    ``row`` numbers the pieces, so that pieces that are equal in all else can be told apart once the result is stored.
+    """
     spark, end = docs.sparkSession, np.array([END], "<u4").tobytes()
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = in_process(f"encoder {vocabulary}", lambda: Encoder(vocabulary))
+        encoder, first = Encoder(vocabulary), TaskContext.get().partitionId() << 33
         for batch in batches:
             take, piece, start, length, crc, ids = [], [], [], [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                whole = encoder.text(text or "") + end
+            for i, text in enumerate(batch.column(1)):
+                whole = encoder.text(text.as_py() or "") + end
                 for k, at in enumerate(range(0, len(whole), capacity * 4)):
                     part = whole[at : at + capacity * 4]
                     take.append(i)
@@ -82,13 +93,15 @@ def pieces(
                 pa.array(start, pa.int64()),
                 pa.array(length, pa.int64()),
                 pa.array(crc, pa.int64()),
+                pa.array(range(first, first + len(take)), pa.int64()),
             ]
-            names = ["id", "piece", "start", "length", "ids_crc32"]
+            first += len(take)
+            names = ["id", "piece", "start", "length", "ids_crc32", "row"]
             if with_ids:
                 columns, names = [*columns, pa.array(ids, pa.list_(pa.int32()))], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = f"id {id_type}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
+    schema = f"id {id_type}, piece int, start long, length long, ids_crc32 long, row long" + ", ids array<int>" * with_ids
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(cut, schema)
 
@@ -160,58 +173,47 @@ def solve(
     return x
 
 
-def best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[dict[int, int]]:
-    """Best-fit decreasing of what rounding leaves: copies by item, one dictionary per sequence; ``lengths`` descend."""
-    sequences, rooms, mask = [], defaultdict(list), 0
-    for i, size in enumerate(lengths.tolist()):
-        for _ in range(int(left[i])):
-            fitting = mask >> size
-            if fitting:
+def best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Best-fit decreasing, as (copies by item, number of such sequences); ``lengths`` descend.
+
+    The next piece goes into the fullest sequence that still has room, which then is the fullest one for the piece
+    after it as well. So a sequence takes all copies of a length that fit, and of equal sequences all do, at once: work and rows follow
+    the number of lengths, not of pieces.
+    """
+    rooms, mask, done = defaultdict(list), 0, []
+
+    def put(room: int, items: dict[int, int], times: int) -> None:
+        nonlocal mask
+        if room:
+            rooms[room].append((items, times))
+            mask |= 1 << room
+        else:
+            done.append((items, times))
+
+    for i, (size, n) in enumerate(zip(lengths.tolist(), left.tolist())):
+        n = int(n)
+        while n:
+            if fitting := mask >> size:
                 room = (fitting & -fitting).bit_length() - 1 + size
-                s = rooms[room].pop()
+                items, times = rooms[room].pop()
                 if not rooms[room]:
                     mask &= ~(1 << room)
-            else:
-                room, s = capacity, len(sequences)
-                sequences.append({})
-            sequences[s][i] = sequences[s].get(i, 0) + 1
-            rest = room - size
-            if rest:
-                rooms[rest].append(s)
-                mask |= 1 << rest
-    return sequences
-
-
-def first_fit_in_bulk(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
-    """First-fit decreasing, as (copies by item, number of such sequences); ``lengths`` descend.
-
-    A sequence takes the longest piece left and then, again and again, the longest that fits, which is what first fit
-    gives it; it is repeated until one of its lengths runs short. So a length ends or loses one of its possible copies
-    in a sequence each time, and the number of rows is bounded by the lengths, not by the pieces.
-    """
-    alive = [i for i, n in enumerate(left.tolist()) if n]
-    sizes, counts, out = [-int(lengths[i]) for i in alive], [int(left[i]) for i in alive], []
-    while alive:
-        items, room, at = {}, capacity, 0
-        while (at := max(at, bisect_left(sizes, -room))) < len(alive):
-            items[at] = copies = min(counts[at], room // -sizes[at])
-            room += copies * sizes[at]
-            at += 1
-        times = min(counts[at] // copies for at, copies in items.items())
-        out.append(({alive[at]: copies for at, copies in items.items()}, times))
-        for at, copies in items.items():
-            counts[at] -= copies * times
-        for at in [at for at in items if not counts[at]][::-1]:
-            del alive[at], sizes[at], counts[at]
-    return out
+            else:  # as many new sequences as it takes
+                room, items, times = capacity, {}, -(-n // (capacity // size))
+            copies = min(room // size, n)
+            some = min(times, n // copies)
+            n -= copies * some
+            put(room - copies * size, items | {i: copies}, some)
+            if times > some and items:
+                put(room, items, times - some)
+    return done + [sequence for same in rooms.values() for sequence in same]
 
 
 def rounded(lengths: np.ndarray, demand: np.ndarray, capacity: int, least_fill: float) -> tuple[int, list[tuple]]:
     """A packing as (number of sequences, rows as :func:`layout` gives them).
 
     Rounding leaves less than a sequence of each configuration bought, but pieces that find none as full as
-    ``least_fill`` are not bought at all, and there may be any number of them. So best fit gets ``REST`` pieces at
-    most; more are placed in bulk.
+    ``least_fill`` are not bought at all, and there may be any number of them: best fit places equal sequences at once.
     """
     left = demand.copy()
     rows, sequence, used = [], 0, np.zeros(len(lengths), np.int64)
@@ -231,11 +233,7 @@ def rounded(lengths: np.ndarray, demand: np.ndarray, capacity: int, least_fill:
             for i, k in items:
                 left[i] -= k * times
             place(dict(items), times)
-    if left.sum() > REST:
-        rest = first_fit_in_bulk(lengths, left, capacity)
-    else:
-        rest = [(items, 1) for items in best_fit(lengths, left, capacity)]
-    for items, times in rest:
+    for items, times in best_fit(lengths, left, capacity):
         place(items, times)
     return sequence, rows
 
@@ -244,7 +242,7 @@ def layout(histogram: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
     """Where the pieces of each length go: rows (length, first rank, first sequence, copies in one sequence, offset).
 
     The fractional solution is rounded down, never beyond the demand; the rest, less than a sequence for each
-    configuration bought and what fits in none, is placed by best fit, or in bulk where it is large: rows and time are
+    configuration bought and what fits in none, is placed by best fit, equal sequences at once: rows and time are
     bounded by the lengths, whatever the corpus. Where lengths do not fill sequences well, the program is solved with
     lesser fills too and the packing of fewest sequences taken. Rows are in order of (length, first rank).
     """
@@ -274,8 +272,9 @@ def pack(
     A document is its ids, without special tokens, and the id 1; longer ones are cut into pieces of ``capacity``.
     Returns one row per piece: ``id_col``, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``,
     ``offset`` and, with ``with_ids``, the ``ids``. Only the histogram of lengths, at most ``capacity`` rows, comes to the
-    driver. A piece's place follows from its rank among the pieces of its length; ranks are counted in hashed
-    blocks, so a length that most pieces share is spread over tasks. Null texts count as empty (one token); null and
+    driver. A piece's place follows from its rank among the pieces of its length; ranks are counted in blocks that
+    rows are dealt to by their numbers, so a length, or one and the same piece, that most rows share is spread over tasks.
+    Null texts count as empty (one token); null and
     repeated ids are ordinary rows; an empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
@@ -284,17 +283,17 @@ def pack(
     table = layout(counts, capacity) if counts else np.zeros((0, 5), np.int64)
     shared = spark.sparkContext.broadcast(table)
     blocks = max(1, -(-sum(counts.values()) // rows_per_block))
-    key = F.xxhash64("id", "piece", "ids_crc32")
-    blocked = cut.withColumn("key", key).withColumn("block", F.pmod("key", F.lit(blocks)))
+    blocked = cut.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)))
     onward = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocked.groupBy("length", "block").agg(F.count(F.lit(1)).alias("n"))
     starts = starts.select("length", "block", F.coalesce(F.sum("n").over(onward), F.lit(0)).alias("first"))
-    inside = Window.partitionBy("length", "block").orderBy("key", "id", "piece", "ids_crc32")
+    inside = Window.partitionBy("length", "block").orderBy("row")
+    columns = [c for c in cut.columns if c != "row"]
     ranked = (
         blocked.withColumn("nth", F.row_number().over(inside) - 1)
-        .join(cut_lineage(starts, "pack-starts"), ["length", "block"])
+        .join(cut_lineage(starts, "pack-starts").hint("merge"), ["length", "block"])  # grows with the input: no broadcast
         .withColumn("rank", F.col("first") + F.col("nth"))
-        .select(*cut.columns, "rank")
+        .select(*columns, "rank")
     )
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,6 +310,6 @@ def pack(
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*batch.schema.names[:-1], "sequence_id", "offset"])
 
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.schema)
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.select(*columns).schema)
     placed = ranked.mapInArrow(place, f"{fields}, sequence_id long, offset long")
     return placed.withColumnRenamed("id", id_col)
