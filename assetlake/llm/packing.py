@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assetlake.llm.common import Recent
+from assetlake.llm.common import Recent, in_process
 from assetlake.session import cut_lineage
 
 CAPACITY = 4096
@@ -24,8 +24,8 @@ ROUNDS, PRICINGS, ETA, FILLS = 4, 40, 1.0, (0.998, 0.95, 0.85, 0.7)
 #: A packing this close to the least number of sequences that the volume allows is not tried again.
 GOOD = 1.001
 ROWS_PER_BLOCK = 4_000
-#: Bytes of a generation of kept words, and of text that is split into words at once.
-KEPT_BYTES, BLOCK = 24 << 20, 1 << 18
+#: Bytes of a generation of kept words (a worker has two, for all its tasks), and of text that is split into words at once.
+KEPT_BYTES, BLOCK = 32 << 20, 1 << 18
 #: The white space between words.
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
@@ -73,7 +73,8 @@ def pieces(
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, first = Encoder(vocabulary), TaskContext.get().partitionId() << 33
+        encoder = in_process(f"encoder {vocabulary}", lambda: Encoder(vocabulary))
+        first = TaskContext.get().partitionId() << 33
         for batch in batches:
             take, piece, start, length, crc, ids = [], [], [], [], [], []
             for i, text in enumerate(batch.column(1)):
