@@ -6,7 +6,7 @@ each round as a table in the shared folder, so a lost executor costs one round a
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from assetlake.operators.catalog import last_by
@@ -49,31 +49,77 @@ def lineage_edges(definitions: DataFrame) -> DataFrame:
     return dependencies(definitions).filter("internal").select("src", "dst")
 
 
-def lineage_levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``(node, level)``: the length of the longest path from an asset without dependencies.
+def _numbered(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stored ``(node, id)`` of all nodes and the edges between them as distinct ``(src, dst)`` ids."""
+    ids = cut_lineage(nodes.select("node").distinct().withColumn("id", F.monotonically_increasing_id()), "node-ids")
+    for end in ("src", "dst"):
+        edges = edges.join(ids.select(F.col("node").alias(end), F.col("id").alias(f"_{end}")), end)
+    return ids, cut_lineage(edges.select(F.col("_src").alias("src"), F.col("_dst").alias("dst")).distinct(), "edge-ids")
+
+
+def _place(ids: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(id, level)`` of the nodes that are not on or behind a cycle, and the ``id`` of the others.
 
-    A node enters the round in which its last dependency is placed. Each edge is followed once and then dropped; edges
-    that are left when no node can be placed belong to cycles or hang on one.
+    A link says that a node's level is at least its source's plus ``weight``; ``least`` is what sources placed so far
+    ask for. In a round, nodes without links are placed, and a link whose source has one link itself is moved on to the
+    source of that one, by both weights. So a chain is halved in each round, also where its nodes have further sources
+    that are placed already; links only become fewer.
     """
-    spark = nodes.sparkSession
-    rest = cut_lineage(edges.select("src", "dst").distinct(), "edges")
-    path = shared_dir(spark, "levels")
-    kind = nodes.schema["node"].dataType.simpleString()
-    front = nodes.select("node").distinct().join(rest.select(F.col("dst").alias("node")), "node", "left_anti")
-    level = 0
+    spark = ids.sparkSession
+    path, k = shared_dir(spark, "levels"), 0
+    schema = "dst long, src long, weight long, least long"
+    own = [F.lit(None).cast("long").alias("src"), F.lit(None).cast("long").alias("weight")]
+    links = edges.select("dst", "src", F.lit(1).cast("long").alias("weight"), F.lit(0).cast("long").alias("least"))
+    links = links.unionByName(ids.select(F.col("id").alias("dst"), *own, F.lit(0).cast("long").alias("least")))
+    links = cut_lineage(links, "links")
     while True:
-        front.write.parquet(f"{path}/level={level}")
-        front = spark.read.schema(f"node {kind}").parquet(f"{path}/level={level}")
-        placed = front.select(F.col("node").alias("src"))
-        followed = rest.join(placed, "src", "left_semi").select(F.col("dst").alias("node")).distinct()
-        rest = cut_lineage(rest.join(placed, "src", "left_anti"), "edges")
-        if front.isEmpty():
+        # The source and weight are those of the only link where there is one.
+        state = links.groupBy("dst").agg(
+            F.max("least").alias("least"), F.count("src").alias("n"), F.max("src").alias("up"), F.max("weight").alias("by")
+        )
+        of_source = state.select(F.col("dst").alias("src"), F.col("least").alias("_least"), "n", "up", "by")
+        met = links.where("src is not null").select("dst", "src", "weight").join(of_source, "src")
+        moved = met.select(
+            "dst",
+            F.expr("CASE n WHEN 0 THEN null WHEN 1 THEN up ELSE src END").alias("src"),
+            F.expr("CASE n WHEN 0 THEN null WHEN 1 THEN weight + by ELSE weight END").alias("weight"),
+            F.expr("CASE WHEN n <= 1 THEN _least + weight ELSE 0 END").alias("least"),
+        )
+        # A source that a link was moved on to may be one that is placed in this round.
+        levels = state.where("n = 0").select(F.col("dst").alias("src"), F.col("least").alias("level"))
+        moved = moved.join(levels, "src", "left").select(
+            "dst",
+            F.expr("CASE WHEN level IS NULL THEN src END").alias("src"),
+            F.expr("CASE WHEN level IS NULL THEN weight END").alias("weight"),
+            F.expr("greatest(least, level + weight)").alias("least"),
+        )
+        rest = moved.unionByName(state.where("n > 0").select("dst", *own, "least"))
+        rest = rest.groupBy("dst", "src").agg(F.max("weight").alias("weight"), F.max("least").alias("least"))
+        placed = state.where("n = 0").select("dst", *own, "least")
+        told = Observation()
+        after = rest.withColumn("placed", F.lit(False)).unionByName(placed.withColumn("placed", F.lit(True)))
+        counted = after.observe(told, F.count_if(F.col("placed")).alias("placed"), F.count_if(~F.col("placed")).alias("rest"))
+        counted.write.partitionBy("placed").parquet(f"{path}/round={k}")
+        links = spark.read.schema(f"{schema}, placed boolean").parquet(f"{path}/round={k}").where("not placed").drop("placed")
+        k += 1
+        if not told.get["placed"] or not told.get["rest"]:
             break
-        front = followed.join(rest.select(F.col("dst").alias("node")), "node", "left_anti")
-        level += 1
-    if not rest.isEmpty():
+    every = spark.read.schema(f"{schema}, round int, placed boolean").parquet(path)
+    done = every.where("placed").select(F.col("dst").alias("id"), F.col("least").cast("int").alias("level"))
+    return done, links.select(F.col("dst").alias("id")).distinct()
+
+
+def lineage_levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``(node, level)``: the length of the longest path from an asset without dependencies.
+
+    Rounds follow the logarithm of a chain's length, see ``_place``. Nodes that are left when none can be placed are
+    on cycles or hang on one.
+    """
+    ids, numbered = _numbered(nodes, edges)
+    levels, others = _place(ids, numbered)
+    if not others.isEmpty():
         raise CycleError("the dependencies form a cycle")
-    return spark.read.schema(f"node {kind}, level int").parquet(path)
+    return levels.join(ids, "id").select("node", "level")
 
 
 def level_groups(levels: DataFrame, edges: DataFrame) -> DataFrame:
@@ -94,15 +140,22 @@ def level_groups(levels: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def cyclic_edges(edges: DataFrame) -> DataFrame:
-    """Edges left after removing, again and again, nodes without an incoming or outgoing edge."""
-    rest = cut_lineage(edges.select("src", "dst").distinct(), "cycle-edges")
-    before, count = None, rest.count()
-    while count and count != before:
-        has_in = rest.select(F.col("dst").alias("src")).distinct()
-        has_out = rest.select(F.col("src").alias("dst")).distinct()
-        rest = cut_lineage(rest.join(has_in, "src", "left_semi").join(has_out, "dst", "left_semi"), "cycle-edges")
-        before, count = count, rest.count()
-    return rest.select("src", "dst")
+    """Edges between nodes that both lie behind a cycle and lead to one: those on cycles and on ways from cycle to cycle.
+
+    The nodes that cannot be placed are those behind a cycle; of these, the ones that cannot be placed from the other
+    end lead to one.
+    """
+    nodes = edges.select(F.col("src").alias("node")).union(edges.select(F.col("dst").alias("node")))
+    ids, rest = _numbered(nodes, edges)
+    left = ids.select("id")
+    for _ in range(2):
+        left = cut_lineage(_place(left, rest)[1], "unplaced")
+        for end in ("src", "dst"):
+            rest = rest.join(left.select(F.col("id").alias(end)), end, "left_semi")
+        rest = cut_lineage(rest.select(F.col("dst").alias("src"), F.col("src").alias("dst")), "cycle-edges")
+    for end in ("src", "dst"):
+        rest = rest.join(ids.select(F.col("id").alias(end), F.col("node").alias(f"_{end}")), end)
+    return cut_lineage(rest.select(F.col("_src").alias("src"), F.col("_dst").alias("dst")), "cycle-edges")
 
 
 def _reach(edges: DataFrame) -> DataFrame:
@@ -127,7 +180,7 @@ def _reach(edges: DataFrame) -> DataFrame:
 def cycle_members(edges: DataFrame) -> DataFrame:
     """``(node, component)``: every node on a cycle, with the least node of its strongly connected component.
 
-    Each round peels what is on no cycle and marks every node with the least node that reaches it and the least one it
+    Each round takes off what is on no cycle and marks every node with the least node that reaches it and the least one it
     reaches. Where the two agree, the node and its mark reach each other; these components leave the graph.
     """
     spark = edges.sparkSession

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,3 +83,52 @@ def test_bridge_between_cycles_is_on_none(spark):
     edges = spark.createDataFrame(pairs, "src string, dst string")
     got = {(r["node"], r["component"]) for r in g.cycle_members(edges).collect()}
     assert got == {("a", "a"), ("b", "a"), ("d", "d"), ("e", "d")}
+
+
+def plain_levels(nodes, pairs):
+    """Longest paths by plain peeling; the nodes that cannot be placed are left out."""
+    above = {n: {a for a, b in pairs if b == n} for n in nodes}
+    levels = {}
+    while ready := [n for n in nodes if n not in levels and all(a in levels for a in above[n])]:
+        levels |= {n: max((levels[a] + 1 for a in above[n]), default=0) for n in ready}
+    return levels
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_levels_of_random_graphs(spark, seed):
+    """Chains, trees, shared sources and repeated edges; with an edge back there is a cycle."""
+    rng = random.Random(seed)
+    names = [f"n{k}" for k in range(60)]
+    pairs = [(names[k - 1], names[k]) for k in range(1, 25)]
+    pairs += [(names[rng.randrange(k)], names[k]) for k in range(25, 60) for _ in range(rng.randrange(3))]
+    pairs += [(names[0], names[k]) for k in rng.sample(range(1, 25), 6)] + pairs[:5]
+    nodes = spark.createDataFrame([(n,) for n in names], "node string")
+    edges = spark.createDataFrame(pairs, "src string, dst string")
+    got = {r["node"]: r["level"] for r in g.lineage_levels(nodes, edges).collect()}
+    assert got == plain_levels(names, set(pairs))
+    back = pairs + [(names[20], names[5]), (names[12], names[11])]
+    closed = spark.createDataFrame(back, "src string, dst string")
+    with pytest.raises(g.CycleError):
+        g.lineage_levels(nodes, closed)
+    behind = set(names) - set(plain_levels(names, set(back)))
+    ahead = behind - set(plain_levels(sorted(behind), {(b, a) for a, b in back if a in behind and b in behind}))
+    assert {tuple(r) for r in g.cyclic_edges(closed).collect()} == {(a, b) for a, b in back if a in ahead and b in ahead}
+
+
+def test_rounds_of_long_chains(spark, monkeypatch):
+    """4,096 nodes in a row, each of them also built from the first one: rounds follow the logarithm."""
+    rounds, plain = [], g.Observation
+
+    def counted():
+        rounds.append(1)
+        return plain()
+
+    monkeypatch.setattr(g, "Observation", counted)
+    ids = spark.range(4096).select("id")
+    nodes = ids.select(F.col("id").alias("node"))
+    chain = ids.where("id > 0").select((F.col("id") - 1).alias("src"), F.col("id").alias("dst"))
+    for edges in (chain, chain.unionByName(ids.where("id > 1").select(F.lit(0).cast("long").alias("src"), F.col("id").alias("dst")))):
+        rounds.clear()
+        assert g.lineage_levels(nodes, edges).where("node <> level").isEmpty() and len(rounds) <= 15
+    rounds.clear()
+    assert g.cyclic_edges(chain).isEmpty() and len(rounds) <= 30
