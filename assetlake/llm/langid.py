@@ -10,13 +10,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assetlake.llm.common import held_out, learns
+from assetlake.llm.common import held_out, in_process, learns
 
 FOLDS = 5
 BITS = 15
 ORDERS = 3
 #: Expected number of labelled rows per language that the weights are fitted on; document frequencies use all rows.
 SAMPLE_PER_LANGUAGE = 1_000
+#: Texts whose counts a task holds at once.
+VECTORS = 200
 EPOCHS = 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.01
 UNKNOWN = "und"
@@ -142,10 +144,10 @@ def train(labelled: DataFrame, id_col: str, text_col: str, label_col: str, per_l
     chosen = rows.join(F.broadcast(counts), "label").where(even * F.col("n") < per_language)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, found, n = Grams(), np.zeros(1 << BITS, np.int64), 0
+        grams, found, n = in_process("grams", Grams), np.zeros(1 << BITS, np.int64), 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                if (c := grams.counts(text)) is not None:
+            for text in batch.column(0):
+                if (c := grams.counts(text.as_py())) is not None:
                     found[c[0]] += 1
                     n += 1
         at = np.flatnonzero(found)
@@ -154,8 +156,8 @@ def train(labelled: DataFrame, id_col: str, text_col: str, label_col: str, per_l
         )
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = Grams()
-        for batch in batches:
+        grams = in_process("grams", Grams)
+        for batch in (b.slice(at, VECTORS) for b in batches for at in range(0, b.num_rows, VECTORS)):
             made = [grams.counts(t) for t in batch.column(1).to_pylist()]
             keep = [i for i, m in enumerate(made) if m is not None]
             yield pa.RecordBatch.from_arrays(
@@ -194,6 +196,13 @@ def train(labelled: DataFrame, id_col: str, text_col: str, label_col: str, per_l
     return Model(labels, weights, idf, fit_temperature(np.array(rest).reshape(len(rest), len(labels)), ys[~fits]))
 
 
+def predictions(texts: pa.Array, grams: Grams, model: Model | None) -> Iterator[tuple[str, float]]:
+    """The label and score of each text; only one text's counts are held at a time."""
+    for text in texts:
+        made = grams.counts(t) if model is not None and (t := text.as_py()) else None
+        yield (UNKNOWN, 0.0) if made is None else model.predict(*made)
+
+
 def predict(docs: DataFrame, model: Model | None, id_col: str, text_col: str, carry: list[str | Column]) -> DataFrame:
     """``carry`` columns with ``lang_pred`` and ``score``; only the text is looked at."""
     rows = docs.select(*carry, F.col(text_col).alias("_li_text"))
@@ -201,10 +210,9 @@ def predict(docs: DataFrame, model: Model | None, id_col: str, text_col: str, ca
     shared = docs.sparkSession.sparkContext.broadcast(None if model is None else vars(model))
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, model = Grams(), None if shared.value is None else Model(**shared.value)
+        grams, model = in_process("grams", Grams), None if shared.value is None else Model(**shared.value)
         for batch in batches:
-            made = [(grams.counts(t) if t else None) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            out = [(UNKNOWN, 0.0) if m is None or model is None else model.predict(*m) for m in made]
+            out = list(predictions(batch.column(batch.num_columns - 1), grams, model))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.float64())],
                 [*batch.schema.names[:-1], "lang_pred", "score"],

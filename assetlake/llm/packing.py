@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,41 +26,110 @@ ROUNDS, PRICINGS, ETA, FILLS = 4, 40, 1.0, (0.998, 0.95, 0.85, 0.7)
 GOOD = 1.001
 ROWS_PER_BLOCK = 4_000
 #: Bytes of a generation of kept words (a worker has two, for all its tasks), and of text that is split into words at once.
-KEPT_BYTES, BLOCK = 32 << 20, 1 << 18
+KEPT_BYTES, BLOCK = 24 << 20, 4 << 20
 #: The white space between words.
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
+#: Letters whose lower case is their normal form, and marks without those of special strings and contractions: in words
+#: of such letters and then such marks both are pieces of their own.
+LETTERS, MARKS = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF", "!\"#$%&()*+,-./:;=>?@[\\]^_`{}~"
+PLAIN = f"^[{LETTERS}]*[{re.escape(MARKS)}]*$"
+PIECE = re.compile(f"[{LETTERS}]+|[{re.escape(MARKS)}]+")
+
+
+def byte_letters() -> dict[int, int]:
+    """The letter that a byte-level vocabulary writes for each byte."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(shown)))}
+
+
+def ranges(first: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The numbers first, first + 1, ... of each range, one range after the other."""
+    at = np.repeat((first - (np.cumsum(times) - times)).astype(np.int32), times)
+    at += np.arange(len(at), dtype=np.int32)
+    return at
 
 
 class Encoder:
     """Token ids of texts as little-endian unsigned 32-bit bytes.
 
     The vocabulary drops white space and never joins what it separates, so the ids of a text are those of its words
-    in turn; the library is asked once per word that is not kept.
+    in turn. The words of many texts are told apart first, and the library is asked once per word that is not kept.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.letters = self.tokenizer.model, byte_letters()
         self.words = Recent(self.ids, KEPT_BYTES)
 
     def ids(self, word: bytes) -> bytes:
-        # The vocabulary is in lower case, and a mark after a letter is a piece of its own; special strings are left alone.
-        if b"<|" not in word:
-            if (low := word.lower()) != word:
-                return self.words[low]
-            if word[-1:] in (b",", b".") and word[-2:-1].isalpha():
-                return self.words[word[:-1]] + self.words[word[-1:]]
-        return array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+        text = word.decode()
+        if word.isalpha() and word.islower():  # one piece, which the library's model needs no search for
+            found = [t.id for t in self.model.tokenize(text)]
+        elif PIECE.fullmatch(text):
+            found = [t.id for t in self.model.tokenize(text.lower().encode().decode("latin-1").translate(self.letters))]
+        else:
+            found = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return array("I", found).tobytes()
+
+    def of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some words, one after the other, and their numbers."""
+        plain, lower = pc.match_substring_regex(words, PLAIN), pc.utf8_lower(words)
+        stems = pc.if_else(plain, pc.ascii_rtrim(lower, characters=MARKS), words)
+        marks = pc.if_else(plain, pc.replace_substring_regex(lower, f"^[{LETTERS}]+", ""), "")
+        coded = pa.concat_arrays([stems, marks]).dictionary_encode()
+        found = [self.words[w] if w else b"" for w in coded.dictionary.cast(pa.binary()).to_pylist()]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        part = coded.indices.to_numpy().reshape(2, -1).T.ravel()  # stem, marks, stem, marks ...
+        times = sizes[part]
+        ids = np.frombuffer(b"".join(found), "<u4")
+        return ids[ranges((np.cumsum(sizes) - sizes)[part], times)], times.reshape(-1, 2).sum(axis=1)
 
     def text(self, text: str) -> bytes:
-        whole, out, at = text.encode(), [], 0
-        while at < len(whole):
-            space = SPACE.search(whole, at + BLOCK)
-            end = space.start() if space else len(whole)
-            out.append(b"".join(map(self.words.__getitem__, whole[at:end].split())))
-            at = end
-        return b"".join(out)
+        return next(self.texts(pa.array([text], pa.string())))
+
+    def texts(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text; a null text has none."""
+        some, size = [], 0
+        for text in texts:
+            some.append(text.as_buffer().to_pybytes() if text.is_valid else b"")
+            size += len(some[-1])
+            if size >= BLOCK:
+                yield from self.block(some)
+                some, size = [], 0
+        yield from self.block(some)
+
+    def block(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The ids of some texts; one beyond ``BLOCK`` is taken in parts that end at white space."""
+        few: list = []
+        for text in texts:
+            if len(text) <= BLOCK:
+                few.append(text)
+                continue
+            yield from self.together(few)
+            few, out, at = [], [], 0
+            while at < len(text):
+                space = SPACE.search(text, at + BLOCK)
+                end = space.start() if space else len(text)
+                out.extend(self.together([text[at:end]]))
+                at = end
+            yield b"".join(out)
+        yield from self.together(few)
+
+    def together(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The ids of texts whose words are told apart once for all of them."""
+        if not texts:
+            return
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
+        coded = split.values.dictionary_encode()
+        ids, sizes = self.of_words(coded.dictionary)
+        word = coded.indices.to_numpy()
+        times = sizes[word]
+        out = ids[ranges((np.cumsum(sizes) - sizes)[word], times)]
+        ends = np.concatenate(([0], np.cumsum(times)))[split.offsets.to_numpy()].tolist()
+        for low, high in zip(ends, ends[1:]):
+            yield out[low:high].tobytes()
 
 
 def pieces(
@@ -77,8 +147,8 @@ def pieces(
         first = TaskContext.get().partitionId() << 33
         for batch in batches:
             take, piece, start, length, crc, ids = [], [], [], [], [], []
-            for i, text in enumerate(batch.column(1)):
-                whole = encoder.text(text.as_py() or "") + end
+            for i, whole in enumerate(encoder.texts(batch.column(1))):
+                whole += end
                 for k, at in enumerate(range(0, len(whole), capacity * 4)):
                     part = whole[at : at + capacity * 4]
                     take.append(i)

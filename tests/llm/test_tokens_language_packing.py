@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -263,6 +264,41 @@ def test_long_texts_are_encoded_in_blocks(word_bpe, encoder, monkeypatch):
         assert list(np.frombuffer(encoder.text(text), "<u4")) == word_bpe.encode(text, add_special_tokens=False).ids
 
 
+def test_words_and_marks_are_encoded_once_and_by_the_model_alone(word_bpe):
+    encoder, asked = packing.Encoder(WORD), Counter()
+    library, of_ids = encoder.tokenizer, encoder.words.function
+
+    class Asked:
+        def encode(self, text, **options):
+            asked["library", text] += 1
+            return library.encode(text, **options)
+
+    def ids(word):
+        asked[word] += 1
+        return of_ids(word)
+
+    encoder.tokenizer, encoder.words.function = Asked(), ids
+    texts = ["The cat,*** ÀÉß... tien&&& (the)", None, "", "the THE the, ñu $$$ cat don't x<y a|b 12", " cat.\t\tñu*** "] * 50
+    got = list(encoder.texts(pa.array(texts, pa.string())))
+    assert [list(np.frombuffer(g, "<u4")) for g in got] == [word_bpe.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert set(asked.values()) == {1}
+    assert {word for kind, word in (k for k in asked if isinstance(k, tuple))} == {"(the)", "don't", "x<y", "a|b", "12"}
+
+
+def test_predictions_take_one_text_at_a_time():
+    counted, grams = [], langid.Grams()
+
+    class Counting:
+        def counts(self, text):
+            counted.append(text)
+            return grams.counts(text)
+
+    model = langid.Model(["a", "b"], np.zeros((2, 1 << langid.BITS)), np.ones(1 << langid.BITS), 1.0)
+    told = langid.predictions(pa.array(["one", None, "", "12", "two"], pa.string()), Counting(), model)
+    assert next(told) == ("a", 0.5) and counted == ["one"]
+    assert list(told) == [("und", 0.0)] * 3 + [("a", 0.5)] and counted == ["one", "12", "two"]
+
+
 def ends(rows, pieces):
     """First rank after each row's pieces."""
     rows = rows.tolist()
