@@ -9,7 +9,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -157,13 +157,19 @@ def fold_statuses(
 ) -> StreamingQuery:
     """Outcome per run as its history arrives: the first decision of a run is keyed state, updated rows per batch.
 
-    A run that had no decision event for ``ttl`` seconds leaves the state. :func:`current_outcomes` takes the first
-    decision ever written, so events that arrive after that change nothing.
+    Without a time to live the state is that of an aggregate. With one, a run that had no decision event for ``ttl``
+    seconds leaves the state. :func:`current_outcomes` takes the first decision ever written, so events that arrive after
+    that change nothing.
     """
     rows = history.select(*keys, F.col(seq).alias("seq"), catalog.decision().alias("outcome"), "info")
-    kind = rows.schema["seq"].dataType.simpleString()
-    given = f"{_types(rows, keys)}, seq {kind}, outcome string, info string"
-    first = keyed.with_state(rows, keys, keyed.FirstDecision(keys, kind, ttl), given)
+    if ttl is None:
+        decided = F.struct(F.col("seq").isNull(), "seq", "outcome", "info")
+        folded = rows.groupBy(*keys).agg(F.min(F.when(F.col("outcome").isNotNull(), decided)).alias("_first"))
+        first = folded.select(*keys, "_first.seq", "_first.outcome", "_first.info")
+    else:
+        kind = rows.schema["seq"].dataType.simpleString()
+        given = f"{_types(rows, keys)}, seq {kind}, outcome string, info string"
+        first = keyed.with_state(rows, keys, keyed.FirstDecision(keys, kind, ttl), given)
     return _start_per_batch(first, sink, checkpoint, follow, state=True)
 
 
@@ -186,34 +192,54 @@ def live_rate(
     """Trailing rate per bucket as a stream: the mean over the buckets of each sliding window that have units.
 
     A window that ends where a bucket starts holds exactly the ``window`` buckets before it, so the current bucket is
-    left out. One aggregate keeps each window's sum and a bit per bucket. Written in update mode (:func:`updated_rows`)
-    a window's rate is there from its first event on, also where the input ends before the window does;
-    windows older than the watermark leave the state.
+    left out. One aggregate keeps, per key and stretch of twice ``window`` buckets, each bucket's sum and a bit for it;
+    stretches start ``window`` buckets apart, so an event is in two of them, and each gives the windows that end in its
+    second half. Written in update mode (:func:`updated_rows`) a window's rate is there from its first event on, also where
+    the input ends before the window does; stretches older than the watermark leave the state.
     """
     if not 0 < window < 64:
         raise ValueError("a window has 1 to 63 buckets")
     size, unit = bucket.split()
-    span = f"{int(size) * window} {unit}"
-    sliding = F.window(time_, span, bucket).alias("_w")
-    width = F.unix_micros(F.col("_w.end")) - F.unix_micros(F.col("_w.start"))
-    place = F.floor((F.unix_micros(F.col(time_)) - F.unix_micros(F.col("_w.start"))) * window / width).cast("int")
-    spread = events.withWatermark(time_, lateness).select(*keys, units, time_, sliding)
-    seen = spread.select(*keys, units, "_w", F.call_function("shiftleft", F.lit(1).cast("long"), place).alias("_bit"))
-    summed = seen.groupBy("_w", *keys).agg(F.sum(units).alias("_sum"), F.bit_or("_bit").alias("_bits"))
-    mean = F.bround(F.col("_sum") / F.bit_count("_bits"), 0).cast("long")
-    return summed.select(*keys, F.col("_w.end").alias("at"), mean.alias("rate"))
+    stretch = F.window(time_, f"{int(size) * window * 2} {unit}", f"{int(size) * window} {unit}").alias("_w")
+    start, end = (F.unix_micros(F.col(f"_w.{c}")) for c in ("start", "end"))
+    place = F.floor((F.unix_micros(F.col(time_)) - start) * (2 * window) / (end - start)).cast("int")
+    spread = events.withWatermark(time_, lateness).select(*keys, F.col(units).alias("_units"), time_, stretch)
+    seen = spread.select(*keys, "_units", "_w", place.alias("_place"))
+    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
+
+    def bits(first: int) -> Column:
+        inside = F.col("_place").between(first, first + window - 1)
+        return F.bit_or(F.when(inside, F.call_function("shiftleft", one, F.col("_place") - first)).otherwise(zero))
+
+    sums = [F.sum(F.when(F.col("_place") == i, F.col("_units"))).alias(f"_s{i}") for i in range(2 * window)]
+    summed = seen.groupBy("_w", *keys).agg(bits(0).alias("_early"), bits(window).alias("_late"), *sums)
+
+    kind = summed.schema["_s0"].dataType
+
+    def rate(k: Column) -> Column:
+        """The rate of the window that ends ``k`` buckets after the middle of the stretch."""
+        total = F.aggregate(F.slice("_sums", k + 1, window), F.lit(None).cast(kind), lambda a, x: F.coalesce(a + x, a, x))
+        early = F.call_function("shiftrightunsigned", F.col("_early"), k)
+        late = F.col("_late").bitwiseAND(F.call_function("shiftleft", one, k) - 1)
+        n = F.bit_count(early) + F.bit_count(late)
+        at = F.timestamp_micros((start + F.floor((end - start) * (k + window) / (2 * window))).cast("long"))
+        return F.struct(n.alias("n"), at.alias("at"), F.bround(total / n, 0).cast("long").alias("rate"))
+
+    rates = F.filter(F.transform(F.sequence(F.lit(0), F.lit(window - 1)), rate), lambda r: r["n"] > 0)
+    held = summed.select(*keys, "_w", "_early", "_late", F.array(*[F.col(f"_s{i}") for i in range(2 * window)]).alias("_sums"))
+    return held.select(*keys, F.inline(rates)).drop("n")
 
 
 def updated_rows(stream: DataFrame, sink: str, checkpoint: str, follow: bool = False) -> StreamingQuery:
     """Write the rows that a running aggregate changes, batch by batch; :func:`last_written` reads the result."""
-    return _start_per_batch(stream, sink, checkpoint, follow)
+    return _start_per_batch(stream, sink, checkpoint, follow, state=True)
 
 
 def last_written(spark: SparkSession, sink: str, keys: Sequence[str]) -> DataFrame:
     """Of each key the row of the last batch that wrote it."""
     written = spark.read.parquet(sink)
     values = [c for c in written.columns if c not in (*keys, "batch")]
-    return catalog.last_by(written, keys, ["batch"], values)
+    return written.groupBy(*keys).agg(*[F.max_by(c, "batch").alias(c) for c in values])
 
 
 def checked_sink(

@@ -153,3 +153,37 @@ def test_windows_that_are_open_at_the_end_are_there(spark, lake):
     assert rows(got) == want
     with pytest.raises(ValueError):
         feeds.live_rate(rates, ["user"], "at", "rate", "1 second", window=64)
+
+
+def test_outcomes_without_expiry_need_no_call_per_run(spark, lake, monkeypatch):
+    monkeypatch.setattr(feeds.keyed, "with_state", None)
+    events = [("a", 5, "task", "FAILED", "disk"), ("a", 7, "run", "SUCCEEDED", None), (None, 2, "run", "SUCCEEDED", None), ("b", 1, "run", "RUNNING", None)]
+    for some in (events, [("a", 9, "run", "RUNNING", None), ("b", 3, "run", "SUCCEEDED", None)]):
+        history = spark.createDataFrame(some, "run string, seq long, source string, status string, info string")
+        history.coalesce(1).write.mode("append").parquet(f"{lake}/history")
+        feeds.fold_statuses(feeds.table_stream(spark, f"{lake}/history"), ["run"], "seq", f"{lake}/out", f"{lake}/cp").awaitTermination()
+    last = spark.read.parquet(f"{lake}/out/batch=1").select("run", "seq", "outcome", "info")
+    assert rows(last.fillna("")) == [("a", 5, "FAILED", "disk"), ("b", 3, "SUCCEEDED", "")]
+    got = feeds.current_outcomes(spark, f"{lake}/out", ["run"]).select("run", "outcome")
+    assert rows(got.fillna("")) == [("", "SUCCEEDED"), ("a", "FAILED"), ("b", "SUCCEEDED")]
+
+
+def test_live_rates_keep_two_rows_of_state_for_a_bucket(spark, lake):
+    events = [("u", 0, 10), ("u", 21, None), ("u", 25, 7), ("u", 39, 4), (None, 40, 6), ("u", 61, 1)]
+    for some in (events, [("u", 39, 8), ("u", 62, 3)]):
+        df = spark.createDataFrame(some, "user string, sec long, units long").select("user", F.timestamp_seconds("sec").alias("ts"), "units")
+        df.coalesce(1).write.mode("append").parquet(f"{lake}/in")
+        rates = feeds.live_rate(feeds.table_stream(spark, f"{lake}/in"), ["user"], "ts", "units", "100 seconds", "1 second")
+        query = feeds.updated_rows(rates, f"{lake}/out", f"{lake}/cp")
+        query.awaitTermination()
+        assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2 * len(events)
+    got = feeds.last_written(spark, f"{lake}/out", ["user", "at"]).select("user", F.unix_seconds("at").alias("at"), "rate")
+    units = {"u": {0: 10, 21: None, 25: 7, 39: 12, 61: 1, 62: 3}, None: {40: 6}}
+    want = []
+    for user, buckets in units.items():
+        for at in range(1, 90):
+            inside = [n for sec, n in buckets.items() if at - 20 <= sec < at]
+            if inside:
+                known = [n for n in inside if n is not None]
+                want.append((user, at, round(sum(known) / len(inside)) if known else None))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
