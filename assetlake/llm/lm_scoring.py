@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,68 +18,132 @@ from assetlake.session import cut_lineage
 
 FOLDS = 10
 SMOOTH = 0.1
-#: Words with over 1 / DIRECT of all tokens, so fewer than DIRECT words, are looked up inside the tasks.
+#: Words with over 1 / DIRECT of all tokens, so fewer than DIRECT words, are looked up inside the tasks and are outputs of
+#: their own; the others share outputs.
 DIRECT = 131_072
-#: Outputs of the model: the end, the most frequent words, and classes of all other words by their last two bytes.
+#: Outputs told apart at once: the end, the most frequent words, groups of the other words over the limit, and classes of
+#: the words below it by their last two bytes. Groups and the parts of classes grow with the vocabulary.
 WORDS, CLASSES = 128, 127
 WIDTH, CONTEXT = 16, 4
 ROUNDS = 2
-NOISE, BATCH, RATE = 64, 2_048, 0.15
-#: Tokens of one matrix product, tokens of one shuffled run of training, and the range in which exponentials of single
-#: precision need no shift.
-BLOCK, RUN, LARGEST, SMALLEST = 1_024, 1 << 20, 80.0, 1e-30
-FLUSH = 300_000
+NOISE, BATCH, RATE, FLOOR = 64, 2_048, 0.15, 1e-6
+#: Tokens of one matrix product, tokens whose inner outputs are scored together, tokens of one shuffled run of training,
+#: and the range in which exponentials of single precision need no shift.
+BLOCK, SPAN, RUN, LARGEST, SMALLEST = 1_024, 1 << 17, 1 << 20, 80.0, 1e-30
+#: Bytes of text split up at once, words whose outputs are kept, and numbers of a model in one row of the average.
+CHUNK, ROOM, PIECE = 1 << 23, 300_000, 1 << 12
 END = b""
 
 
-def tokens(text: str | None) -> list[bytes]:
-    return [*(text or "").encode().lower().split(), END]
+def split_up(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts one after the other, A-Z in lower case, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    flat, parents = lists.flatten(), pc.list_parent_indices(lists)
+    some = pc.greater(pc.binary_length(flat), 0)  # leading and trailing white space give empty pieces
+    n = np.bincount(parents.filter(some).to_numpy(zero_copy_only=False), minlength=len(texts))
+    return flat.filter(some).cast(pa.binary()), n
+
+
+def chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about CHUNK bytes of the texts in ``column``, at least a row each."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(ends):
+            before = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + CHUNK, "right")))
+            yield batch.slice(at, stop - at)
+            at = stop
 
 
 def count_words(texts: DataFrame) -> DataFrame:
     """(word, n) over all texts; the empty word is the end of a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def flush():
-            out = pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], ["word", "n"])
-            seen.clear()
-            return out
-
-        for batch in batches:
-            for text in batch.column(0):
-                seen.update(tokens(text.as_py()))
-                if len(seen) >= FLUSH:
-                    yield flush()
-        yield flush()
+        ends = 0
+        for batch in chunks(batches, 0):
+            seen = pc.value_counts(split_up(batch.column(0))[0])
+            ends += batch.num_rows
+            yield pa.RecordBatch.from_arrays([seen.field("values"), seen.field("counts")], ["word", "n"])
+        if ends:
+            yield pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([ends], pa.int64())], ["word", "n"])
 
     return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-class Vocabulary:
-    """Outputs of words: 0 is the end, then the most frequent words, then the classes."""
+class Levels:
+    """Outputs in two levels: the first ``first`` are told apart at once; the others lie in groups, one after the other,
+    each group below one of the first, its parent."""
 
-    def __init__(self, words: list[bytes]):
-        self.words = words
-        known = {w: i + 1 for i, w in enumerate(words)} | {END: 0}
-        first = len(words) + 1
-        self.output = Kept(lambda w: known[w] if w in known else first + zlib.crc32(w[-2:]) % CLASSES, FLUSH)
-        self.dtype = np.uint8 if self.size <= 256 else np.uint16
+    def __init__(self, first: int, parents: np.ndarray, sizes: np.ndarray):
+        self.first = first
+        self.starts = first + np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+        self.group = np.repeat(np.arange(len(sizes)), sizes)
+        self.parent = np.concatenate((np.arange(first), np.repeat(parents, sizes))).astype(np.int64)
 
     @property
     def size(self) -> int:
-        return len(self.words) + 1 + CLASSES
+        return len(self.parent)
+
+    @property
+    def dtype(self) -> type:
+        return np.uint8 if self.size <= 1 << 8 else np.uint16 if self.size <= 1 << 16 else np.uint32
+
+    def inner(self, ids: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+        """Per group of at least two outputs that is met: its bounds and the places of its outputs, as in ``order``."""
+        order = order[ids[order] >= self.first]
+        if len(order):
+            group = self.group[ids[order] - self.first]
+            order = order[np.argsort(group, kind="stable")]
+            ends = np.cumsum(np.bincount(group, minlength=len(self.starts) - 1))
+            for k, (a, b) in enumerate(zip(np.concatenate(([0], ends)), ends)):
+                if a < b and self.starts[k + 1] - self.starts[k] > 1:
+                    yield int(self.starts[k]), int(self.starts[k + 1]), order[a:b]
+
+
+class Vocabulary:
+    """Outputs of words: 0 is the end, then come the most frequent ``words``, groups of ``members``, and classes.
+
+    ``members`` are cut into as many groups as a group has words, by their order from the last byte on; each is an output
+    below its group. The ``heads`` parts of a class, by a word's first two bytes, are outputs below the class.
+    """
+
+    def __init__(self, words: list[bytes], members: list[bytes], heads: int):
+        per = max(1, math.isqrt(len(members)))
+        groups = -(-len(members) // per)
+        parts = heads if heads > 1 else 0  # a class of one part is an output itself
+        first = 1 + len(words) + groups + CLASSES
+        sizes = [*(min(per, len(members) - at) for at in range(0, len(members), per)), *([parts] * CLASSES)]
+        self.levels = Levels(first, np.arange(1 + len(words), first), np.array(sizes))
+        #: The first output of words that are not known one by one; those of groups lie between, but no word has them.
+        self.rare = first + len(members) if parts else first - CLASSES
+        self.own = {END: 0} | {w: i + 1 for i, w in enumerate(words)} | {w: first + i for i, w in enumerate(members)}
+        part = lambda w: zlib.crc32(w[-2:]) % CLASSES * heads + zlib.crc32(w[:2]) % heads
+        self.output = Kept(lambda w: self.own[w] if w in self.own else self.rare + part(w), ROOM)
+
+    def is_rare(self, ids: np.ndarray) -> np.ndarray:
+        return (ids >= self.rare) & ((ids < self.levels.first) | (self.rare >= self.levels.first))
 
     def ids(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.output.__getitem__, words), self.dtype, len(words))
+        return np.fromiter(map(self.output.__getitem__, words), self.levels.dtype, len(words))
+
+    def weights(self, often: dict[bytes, int], mass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per output its smoothed count, and its share: among the first ones, or of its group."""
+        held, levels = np.zeros(self.levels.size), self.levels
+        for w, i in self.own.items():
+            held[i] = often[w] + SMOOTH
+        held[self.rare : self.rare + len(mass)] = mass
+        inner = np.bincount(levels.parent[levels.first :], held[levels.first :], levels.first)
+        first = held[: levels.first] + inner
+        return held, np.concatenate((first / first.sum(), held[levels.first :] / first[levels.parent[levels.first :]]))
 
 
 class LogBilinear:
     """Context vectors R, position weights C, target vectors V and biases b; a context predicts q = sum of C_i * R[w_i]."""
 
-    def __init__(self, params: list[np.ndarray]):
+    def __init__(self, params: list[np.ndarray], levels: Levels | None = None):
         self.r, self.c, self.v, self.b = (p.copy() for p in params)
+        self.levels = levels or Levels(len(self.b), np.zeros(0, int), np.zeros(0, int))
 
     @staticmethod
     def start(q: np.ndarray) -> list[np.ndarray]:
@@ -91,49 +155,82 @@ class LogBilinear:
         return sum(self.c[i] * self.r.take(context[:, i], axis=0) for i in range(CONTEXT))
 
     def scorer(self):
-        """A function that gives the log10 probability of a text's outputs, normalised over all outputs."""
-        size, ones = len(self.b), np.ones(len(self.b), np.float32)
+        """A function that gives the log10 probability of a text's outputs; see :meth:`texts_scorer`."""
+        each = self.texts_scorer()
+        return lambda ids: float(each(ids, np.array([len(ids)]))[0])
+
+    def texts_scorer(self):
+        """A function of the outputs of texts one after the other and the texts' lengths, each at least 1, that gives
+        their log10 probabilities, normalised over the first outputs and within each group."""
+        size, levels = len(self.b), self.levels
         # The bias is one more coordinate, so a block's scores are one matrix product.
         around = [np.hstack((c * self.r, np.full((size, 1), i == 0))).astype(np.float32) for i, c in enumerate(self.c)]
         v = np.vstack((self.v.T, self.b)).astype(np.float32)
 
-        def log10(ids: np.ndarray) -> float:
-            padded, total = np.concatenate((np.zeros(CONTEXT, np.intp), ids)), 0.0
-            for at in range(0, len(ids), BLOCK):
-                target = padded[at + CONTEXT : at + CONTEXT + BLOCK]
-                n = len(target)
-                scores = sum(a.take(padded[at + CONTEXT - 1 - i :][:n], axis=0) for i, a in enumerate(around)) @ v
-                reached = scores[np.arange(n), target]
-                if scores.max() < LARGEST and (sums := np.exp(scores) @ ones).min() > SMALLEST:
-                    norm = np.log(sums)
-                else:  # beyond single precision: each row from its largest score
-                    top = scores.max(axis=1)
-                    norm = np.log(np.exp(scores - top[:, None]).sum(axis=1)) + top
-                total += float((reached - norm).sum(dtype=np.float64))
-            return total / math.log(10)
+        def logs(hidden: np.ndarray, target: np.ndarray, start: int, stop: int) -> np.ndarray:
+            """Natural logarithms of the probabilities of ``target`` among the outputs from ``start`` to ``stop``."""
+            scores = hidden @ v[:, start:stop]
+            reached = scores[np.arange(len(target)), target - start]
+            if scores.max() < LARGEST and (sums := np.exp(scores) @ np.ones(stop - start, np.float32)).min() > SMALLEST:
+                norm = np.log(sums)
+            else:  # beyond single precision: each row from its largest score
+                top = scores.max(axis=1)
+                norm = np.log(np.exp(scores - top[:, None]).sum(axis=1)) + top
+            return reached - norm
+
+        def log10(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+            place = np.arange(len(ids)) + CONTEXT * np.repeat(np.arange(1, len(lengths) + 1), lengths)
+            padded = np.zeros(len(ids) + CONTEXT * len(lengths), np.intp)
+            padded[place] = ids
+            total = np.empty(len(ids))
+            for at in range(0, len(ids), SPAN):
+                here = ids[at : at + SPAN].astype(np.intp)
+                before, out = place[at : at + SPAN] - 1, total[at : at + SPAN]
+                hidden = sum(a.take(padded[before - i], axis=0) for i, a in enumerate(around))
+                top = levels.parent[here]
+                for k in range(0, len(here), BLOCK):
+                    out[k : k + BLOCK] = logs(hidden[k : k + BLOCK], top[k : k + BLOCK], 0, levels.first)
+                for start, stop, rows in levels.inner(here, np.arange(len(here))):
+                    for k in range(0, len(rows), BLOCK):
+                        some = rows[k : k + BLOCK]
+                        out[some] += logs(hidden[some], here[some], start, stop)
+            return np.add.reduceat(total, np.cumsum(lengths) - lengths) / math.log(10)
 
         return log10
 
     def train(self, batches: Iterator[np.ndarray], q: np.ndarray, seed: int) -> int:
         """One pass of noise-contrastive estimation with shared noise words and adaptive rates; returns the tokens.
 
-        The pass is in single precision; each array of ``batches`` is trained in random order.
+        The pass is in single precision; each array of ``batches`` is trained in random order. A step tells apart the
+        first outputs, or those of one group, and touches the context vectors that it meets.
         """
-        rng, n = np.random.default_rng(seed), 0
+        rng, n, levels = np.random.default_rng(seed), 0, self.levels
         self.r, self.c, self.v, self.b = params = [p.astype(np.float32) for p in (self.r, self.c, self.v, self.b)]
-        squares = [np.full(p.shape, 1e-8, np.float32) for p in params]
-        cumulative = np.cumsum(q)
+        squares = [np.full(p.shape, FLOOR, np.float32) for p in params]
         log_noise = np.log(NOISE * q).astype(np.float32)
+        met, local = np.zeros(len(self.r), bool), np.zeros(len(self.r), np.uint16)
         for ids in batches:
             padded, n = np.concatenate((np.zeros(CONTEXT, ids.dtype), ids)), n + len(ids)
-            order = rng.permutation(len(ids))
-            for at in range(0, len(ids), BATCH):
-                take = order[at : at + BATCH]
+            order, top = rng.permutation(len(ids)), levels.parent[ids]
+            parts = [(0, levels.first, order), *levels.inner(ids, order)]
+            steps = [(start, stop, places[at : at + BATCH]) for start, stop, places in parts for at in range(0, len(places), BATCH)]
+            for k in rng.permutation(len(steps)):
+                start, stop, take = steps[k]
                 context = np.stack([padded[take + (CONTEXT - 1 - i)] for i in range(CONTEXT)], axis=1)
-                noise = np.minimum(np.searchsorted(cumulative, rng.random(NOISE) * cumulative[-1]), len(q) - 1)
-                for p, s, g in zip(params, squares, self.gradients(context, ids[take], noise, log_noise)):
-                    s += g * g
-                    p += np.float32(RATE) * g / np.sqrt(s)
+                met[context] = True
+                rows = np.flatnonzero(met)  # at most BATCH * CONTEXT
+                met[rows] = False
+                local[rows] = np.arange(len(rows))
+                cumulative = np.cumsum(q[start:stop])
+                noise = np.minimum(np.searchsorted(cumulative, rng.random(NOISE) * cumulative[-1]), stop - start - 1)
+                target = ((ids if start else top)[take] - start).astype(np.uint16)
+                here = (rows, slice(None), slice(start, stop), slice(start, stop))
+                part = LogBilinear([p[w] for p, w in zip(params, here)])
+                grads = part.gradients(local[context], target, noise, log_noise[start:stop])
+                for p, s, w, g in zip(params, squares, here, grads):
+                    g = g * np.float32(len(take) / BATCH)  # a step of few tokens moves the model less
+                    s[w] += g * g
+                    p[w] += np.float32(RATE) * g / np.sqrt(s[w])
         return n
 
     def gradients(self, context, target, noise, log_noise):
@@ -143,50 +240,56 @@ class LogBilinear:
         false = -1 / (1 + np.exp(-(predicted @ vn.T + (self.b[noise] - log_noise[noise]))))
         to_predicted = data[:, None] * vt + false @ vn
 
-        def by_output(rows, values):
-            """The sum of the values of each output."""
+        def by_output(rows, values, size):
+            """The sum of the values of each of ``size`` outputs."""
             order = np.argsort(rows, kind="stable")
             ordered = rows[order]
             first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-            out = np.zeros((len(self.b), *values.shape[1:]), values.dtype)
+            out = np.zeros((size, *values.shape[1:]), values.dtype)
             out[ordered[first]] = np.add.reduceat(values.take(order, axis=0), first, axis=0)
             return out
 
         both = np.concatenate((target, noise.astype(target.dtype)))
-        dv = by_output(both, np.concatenate((data[:, None] * predicted, false.T @ predicted)))
-        db = by_output(both, np.concatenate((data, false.sum(axis=0))))
-        near = [by_output(context[:, i], to_predicted) for i in range(CONTEXT)]
+        dv = by_output(both, np.concatenate((data[:, None] * predicted, false.T @ predicted)), len(self.b))
+        db = by_output(both, np.concatenate((data, false.sum(axis=0))), len(self.b))
+        near = [by_output(context[:, i], to_predicted, len(self.r)) for i in range(CONTEXT)]
         dr = sum(c * s for c, s in zip(self.c, near))
         dc = np.stack([(self.r * s).sum(axis=0) for s in near])
         return [g / len(target) for g in (dr, dc, dv, db)]
 
 
-def stored_ids(column: pa.Array, dtype: type) -> Iterator[np.ndarray]:
-    """The outputs of each text of a binary column, one after the other."""
-    return (np.frombuffer(ids.as_buffer(), dtype) for ids in column)
+def stored_ids(column: pa.Array, dtype: type) -> tuple[np.ndarray, np.ndarray]:
+    """The outputs of the texts of a binary column, one after the other, and the texts' lengths."""
+    lengths = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+    first = np.frombuffer(column.buffers()[1], np.int32)[column.offset] if len(column) else 0
+    data = column.buffers()[2] if len(column) else pa.py_buffer(b"")
+    size = np.dtype(dtype).itemsize
+    return np.frombuffer(data, dtype, int(lengths.sum()) // size, int(first)), lengths // size
 
 
-def train(encoded: DataFrame, size: int, q: np.ndarray, rounds: int) -> list[np.ndarray]:
+def train(encoded: DataFrame, levels: Levels, q: np.ndarray, rounds: int) -> list[np.ndarray]:
     """Parameters after ``rounds`` passes, each over its share of the texts' outputs (columns ``ids`` and ``part``).
 
     In a pass every task trains its own copy on its texts; the copies are averaged by their tokens in a shuffle, so
     only one model's worth of numbers comes back.
     """
     spark, params = encoded.sparkSession, LogBilinear.start(q)
-    shapes, dtype = [p.shape for p in params], np.uint8 if size <= 256 else np.uint16
+    params[2][levels.first :] = 0  # at first a word has its share of its group
+    shapes = [p.shape for p in params]
     for k in range(rounds):
-        shared = spark.sparkContext.broadcast((params, q))
+        shared = spark.sparkContext.broadcast(([p.astype(np.float32) for p in params], q, levels))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            start, q = shared.value
-            model = LogBilinear(start)
+            start, q, levels = shared.value
+            model = LogBilinear(start, levels)
 
             def joined():
                 some, n = [], 0
                 for batch in batches:
-                    for ids in stored_ids(batch.column(0), dtype):
-                        some.append(ids)
-                        n += len(ids)
+                    ids, _ = stored_ids(batch.column(0), levels.dtype)
+                    for at in range(0, len(ids), RUN):
+                        some.append(ids[at : at + RUN])
+                        n += len(some[-1])
                         if n >= RUN:
                             yield np.concatenate(some)
                             some, n = [], 0
@@ -194,22 +297,28 @@ def train(encoded: DataFrame, size: int, q: np.ndarray, rounds: int) -> list[np.
                     yield np.concatenate(some)
 
             n = model.train(joined(), q, seed=17)
-            flat = np.concatenate([p.ravel() for p in (model.r, model.c, model.v, model.b)]).astype(np.float64)
+            flat = np.concatenate([p.ravel() for p in (model.r, model.c, model.v, model.b)])
             if n:
-                columns = [np.arange(len(flat)), flat * n, np.full(len(flat), n)]
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1]), pa.array(columns[2], pa.int64())], ["i", "x", "n"])
-
-        made = encoded.where(F.col("part") == k).select("ids").mapInArrow(run, "i int, x double, n long")
-        got = made.groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x")).collect()
+                pieces = [flat[at : at + PIECE].tobytes() for at in range(0, len(flat), PIECE)]
+                columns = [pa.array(range(len(pieces)), pa.int32()), pa.array(pieces, pa.binary()), pa.array([n] * len(pieces), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["i", "x", "n"])
+
+        def average(copies: pa.Table) -> pa.Table:
+            x, n = 0, 0
+            for one, times in zip(copies["x"], copies["n"]):
+                x, n = x + np.frombuffer(one.as_buffer(), np.float32).astype(np.float64) * times.as_py(), n + times.as_py()
+            return pa.table({"i": copies["i"][:1], "x": pa.array([(x / n).astype(np.float32).tobytes()], pa.binary())})
+
+        made = encoded.where(F.col("part") == k).select("ids").mapInArrow(run, "i int, x binary, n long")
+        got = made.groupBy("i").applyInArrow(average, "i int, x binary").collect()
         if got:
-            flat = np.empty(sum(int(np.prod(s)) for s in shapes))
-            flat[[r["i"] for r in got]] = [r["x"] for r in got]
+            flat = np.concatenate([np.frombuffer(r["x"], np.float32) for r in sorted(got, key=lambda r: r["i"])])
             cuts = np.cumsum([int(np.prod(s)) for s in shapes])[:-1]
             params = [p.reshape(s) for p, s in zip(np.split(flat, cuts), shapes)]
     return params
 
 
-def encode(rows: DataFrame, words: list[bytes], often: dict[bytes, int], mass: np.ndarray) -> DataFrame:
+def encode(rows: DataFrame, vocabulary: tuple, often: dict[bytes, int], held: np.ndarray) -> DataFrame:
     """What training and scoring need of each row (id, text, held_out, part), stored: a text is split up here only.
 
     ``ids`` are the text's outputs. ``known`` and ``logs`` count and sum over the tokens of the words in ``often``;
@@ -217,36 +326,48 @@ def encode(rows: DataFrame, words: list[bytes], often: dict[bytes, int], mass: n
     their words' counts.
     """
     spark, id_type = rows.sparkSession, rows.schema["id"].dataType.simpleString()
-    shared = spark.sparkContext.broadcast((words, often, mass))
+    shared = spark.sparkContext.broadcast((vocabulary, bool(often[END]), held))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, often, mass = shared.value
-        vocabulary = Vocabulary(words)
-        logs = {w: math.log10(c + SMOOTH) for w, c in often.items()}
-        held = np.array([*(logs[w] for w in (END, *words)), *np.log10(np.maximum(mass, SMOOTH))])
+        made, ends_known, held = shared.value
+        vocabulary = Vocabulary(*made)
+        logs = np.log10(np.maximum(held, SMOOTH))
         row = TaskContext.get().partitionId() << 33
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32())]
         names = ["id", "held_out", "part", "row", "n_tokens", "known", "logs", "inside", "ids", "words", "times"]
-        for batch in batches:
-            out: list = [[] for _ in kinds]
-            for text in batch.column(1):
-                own = tokens(text.as_py())
-                ids = vocabulary.ids(own)
-                here, n, rare, times = 0.0, 0, [], []
-                for w, m in Counter(own).items():
-                    if (log := logs.get(w)) is None:
-                        rare.append(w)
-                        times.append(m)
-                    else:
-                        here += m * log
-                        n += m
-                known = n if often[END] else n - 1
-                inside = float(np.bincount(ids, minlength=len(held)) @ held)
-                for column, value in zip(out, (row, len(own), known, here, inside, ids.tobytes(), rare, times)):
-                    column.append(value)
-                row += 1
-            made = (pa.array(c, k) for c, k in zip(out, kinds))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), *made], names)
+        for batch in chunks(batches, 1):
+            flat, n = split_up(batch.column(1))
+            coded = flat.dictionary_encode()
+            words, code = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+            outputs = vocabulary.ids(words.to_pylist())
+            # Each text's words and its end, output 0.
+            lengths = n + 1
+            stops = np.cumsum(lengths)
+            starts = stops - lengths
+            ids, is_word = np.zeros(stops[-1], outputs.dtype), np.ones(stops[-1], bool)
+            is_word[stops - 1] = False
+            ids[is_word] = outputs[code]
+            each, rare = logs[ids], vocabulary.is_rare(ids)
+            known = np.add.reduceat(~rare, starts, dtype=np.int64) - (not ends_known)
+            # The distinct other words of each text.
+            text = np.repeat(np.arange(len(n)), n)[rare[is_word]]
+            pairs, times = np.unique(text * len(words) + code[rare[is_word]], return_counts=True)
+            of_text = np.bincount(pairs // max(1, len(words)), minlength=len(n))
+            cuts = pa.array(np.concatenate(([0], np.cumsum(of_text))), pa.int32())
+            others = words.take(pa.array(pairs % max(1, len(words))))
+            size = ids.dtype.itemsize
+            bounds = np.concatenate(([0], stops * size)).astype(np.int32)
+            columns = [
+                pa.array(np.arange(row, row + len(n))),
+                pa.array(lengths, pa.int64()),
+                pa.array(known),
+                pa.array(np.add.reduceat(np.where(rare, 0.0, each), starts)),
+                pa.array(np.add.reduceat(each, starts)),
+                pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(bounds), pa.py_buffer(ids)]),
+                pa.ListArray.from_arrays(cuts, others),
+                pa.ListArray.from_arrays(cuts, pa.array(times, pa.int32())),
+            ]
+            row += len(n)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), *columns], names)
 
     schema = (
         f"id {id_type}, held_out boolean, part int, row long, n_tokens long, known long, logs double, inside double,"
@@ -255,17 +376,24 @@ def encode(rows: DataFrame, words: list[bytes], often: dict[bytes, int], mass: n
     return cut_lineage(rows.select("id", "text", "held_out", "part").mapInArrow(run, schema), "lm-rows")
 
 
-def network_scores(encoded: DataFrame, params: list[np.ndarray]) -> DataFrame:
+def network_scores(encoded: DataFrame, params: list[np.ndarray], levels: Levels) -> DataFrame:
     """``encoded`` without the lists, with ``network``: the log10 probability of a text's outputs."""
-    shared = encoded.sparkSession.sparkContext.broadcast(params)
+    shared = encoded.sparkSession.sparkContext.broadcast((params, levels))
     kept = ["id", "held_out", "row", "n_tokens", "known", "logs", "inside"]
-    dtype = np.uint8 if len(params[3]) <= 256 else np.uint16
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        log10 = LogBilinear(shared.value).scorer()
+        params, levels = shared.value
+        log10 = LogBilinear(params, levels).texts_scorer()
         for batch in batches:
-            scores = pa.array(map(log10, stored_ids(batch.column(len(kept)), dtype)), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], scores], [*kept, "network"])
+            ids, lengths = stored_ids(batch.column(len(kept)), levels.dtype)
+            stops, at, scores = np.cumsum(lengths), 0, []
+            while at < len(lengths):  # texts of about SPAN tokens together
+                first = stops[at] - lengths[at]
+                stop = max(at + 1, int(np.searchsorted(stops, first + SPAN, "right")))
+                scores.append(log10(ids[first : stops[stop - 1]], lengths[at:stop]))
+                at = stop
+            made = pa.array(np.concatenate([np.zeros(0), *scores]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], made], [*kept, "network"])
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in encoded.select(*kept).schema)
     return encoded.select(*kept, "ids").mapInArrow(run, f"{fields}, network double")
@@ -292,28 +420,26 @@ def score(
     often = {bytes(r["word"]): r["n"] for r in counts.where(F.col("n") > total / direct).collect()}  # fewer than ``direct``
     ends = counts.where(F.length("word") == 0).first()
     often[END] = ends["n"] if ends else 0
-    words = sorted((w for w in often if w != END), key=lambda w: (-often[w], w))[:WORDS]
-    kind = (F.crc32(F.substring("word", -2, 2)) % CLASSES).alias("k")
-    by_class = counts.where(F.length("word") > 0).groupBy(kind).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"))
-    mass = np.full(CLASSES, SMOOTH)
-    for r in by_class.collect():  # at most CLASSES rows
-        mass[r["k"]] += r["n"] + SMOOTH * r["v"]
-    for w in words:
-        mass[zlib.crc32(w[-2:]) % CLASSES] -= often[w] + SMOOTH
-    singles = np.array([often[END] + SMOOTH, *(often[w] + SMOOTH for w in words)])
-    q = np.concatenate((singles, np.maximum(mass, SMOOTH)))
-    q = q / q.sum()
-    stored = encode(rows, words, often, mass)
-    params = train(stored.where("not held_out"), len(q), q, rounds)
+    ranked = sorted((w for w in often if w != END), key=lambda w: (-often[w], w))
+    words, members = ranked[:WORDS], sorted(ranked[WORDS:], key=lambda w: w[::-1])
+    heads = max(1, math.isqrt(distinct) // CLASSES)
+    others = counts.where((F.col("n") <= total / direct) & (F.length("word") > 0))
+    kind = F.crc32(F.substring("word", -2, 2)) % CLASSES * heads + F.crc32(F.substring("word", 1, 2)) % heads
+    mass = np.full(CLASSES * heads, SMOOTH)
+    for r in others.groupBy(kind.alias("k")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect():
+        mass[r["k"]] += r["n"] + SMOOTH * r["v"]  # at most CLASSES + sqrt(distinct) rows
+    vocabulary = Vocabulary(words, members, heads)
+    held, q = vocabulary.weights(often, mass)
+    stored = encode(rows, (words, members, heads), often, held)
+    params = train(stored.where("not held_out"), vocabulary.levels, q, rounds)
     log_base = math.log10(total + SMOOTH * (distinct + 1))
     rare = stored.select("row", F.explode(F.arrays_zip("words", "times")).alias("t")).select("row", F.col("t.words").alias("word"), F.col("t.times").alias("m"))
-    others = counts.where((F.col("n") <= total / direct) & (F.length("word") > 0))
     met = rare.join(others, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     added = met.groupBy("row").agg(
         F.sum(F.col("m") * F.log10(F.col("n") + SMOOTH)).alias("rare_logs"), F.sum(F.when(F.col("n") > 0, F.col("m")).otherwise(0)).alias("more")
     )
     logs = F.col("logs") + F.coalesce("rare_logs", F.lit(0.0))
-    return network_scores(stored, params).join(added, "row", "left").select(
+    return network_scores(stored, params, vocabulary.levels).join(added, "row", "left").select(
         F.col("id").alias(id_col),
         "held_out",
         "n_tokens",

@@ -124,6 +124,105 @@ def test_scores_token_by_token(spark, monkeypatch):
             assert abs(got[i] - plain_score(text, seen, made, words)) < 1e-3 * (1 + len(text or ""))
 
 
+def levelled(rng, words=4, members=30, heads=3):
+    vocabulary = lm.Vocabulary([b"t%d" % i for i in range(words)], [b"m%d" % i for i in range(members)], heads)
+    often = {w: int(rng.integers(5, 50)) for w in vocabulary.own}
+    held, q = vocabulary.weights(often, rng.random(lm.CLASSES * heads) + 0.1)
+    return vocabulary, held, q
+
+
+@pytest.mark.parametrize("heads", [1, 3])
+def test_outputs_in_two_levels(heads):
+    rng = np.random.default_rng(5)
+    vocabulary, held, q = levelled(rng, heads=heads)
+    levels = vocabulary.levels
+    ids = vocabulary.ids([b"", b"t0", b"t3", *(b"m%d" % i for i in range(30)), *(b"x%d" % i for i in range(1000))])
+    assert len(set(ids[:33])) == 33 and list(vocabulary.is_rare(ids)) == [False] * 33 + [True] * 1000
+    assert not set(ids[:33]) & set(ids[33:]) and len(set(ids[33:])) <= lm.CLASSES * heads
+    assert abs(q[: levels.first].sum() - 1) < 1e-9
+    for a, b in zip(levels.starts, levels.starts[1:]):
+        assert a == b or abs(q[a:b].sum() - 1) < 1e-9
+    # All outputs that words have share one, after any context.
+    model = lm.LogBilinear([p + rng.normal(0, 0.5, p.shape) for p in lm.LogBilinear.start(q)], levels)
+    reached = [*np.flatnonzero(held)]
+    before, log10 = np.array(reached)[rng.integers(0, len(reached), 6)], model.scorer()
+    assert abs(sum(10 ** (log10(np.append(before, w)) - log10(before)) for w in reached) - 1) < 1e-4
+    texts = [np.array(reached)[rng.integers(0, len(reached), n)] for n in (1, 7, 3000)]
+    together = model.texts_scorer()(np.concatenate(texts), np.array([1, 7, 3000]))
+    assert np.allclose(together, [log10(t) for t in texts], rtol=1e-4)
+
+
+def test_outputs_grow_with_the_vocabulary():
+    sizes = []
+    for n in (0, 1_000, 16_000):
+        levels = lm.Vocabulary([], [b"%d" % i for i in range(n)], 1).levels
+        assert levels.size >= n and levels.first <= lm.CLASSES + 2 + 1.1 * n**0.5
+        assert max(np.diff(levels.starts), default=0) <= max(1, n**0.5)
+        sizes.append(levels.size)
+    assert sizes == sorted(set(sizes))
+
+
+def test_words_below_the_limit_share_parts_of_classes(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    frequent = [f"f{i}é" for i in range(40)]
+    texts = [" ".join([*(f"{chr(97 + k % 26)}{k:x}" for k in range(100 * i, 100 * i + 100)), *rng.choice(frequent, 60)]) for i in range(800)]
+    texts += ["a", "é b new-word F1É f1é"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    made = []
+
+    def some(encoded, levels, q, rounds):
+        made[:] = [p + rng.normal(0, 0.5, p.shape) for p in lm.LogBilinear.start(q)], q
+        return made[0]
+
+    monkeypatch.setattr(lm, "train", some)
+    monkeypatch.setattr(lm, "WORDS", 10)
+    got = {r["doc_id"]: r["score"] for r in lm.score(docs, direct=2_000).collect()}
+    seen = Counter(w.encode() for i, t in enumerate(texts) if learns(i) for w in split(lower(t)))
+    learnt = sum(map(learns, range(len(texts))))
+    total = sum(seen.values()) + learnt
+    ranked = sorted((w for w in seen if seen[w] > total / 2_000), key=lambda w: (-seen[w], w))
+    heads = math.isqrt(len(seen) + 1) // lm.CLASSES
+    vocabulary = lm.Vocabulary(ranked[:10], sorted(ranked[10:], key=lambda w: w[::-1]), heads)
+    assert heads == 2 and len(ranked) == 40
+    mass = np.full(vocabulary.levels.size, lm.SMOOTH)
+    words = list(seen)
+    ids = vocabulary.ids(words)
+    for w, k in zip(words, ids):
+        mass[k] += seen[w] + lm.SMOOTH
+    params, q = made
+    model = lm.LogBilinear(params, vocabulary.levels).scorer()
+    for i in (0, 7, 311, 799, 800, 801):
+        own = [*(w.encode() for w in split(lower(texts[i]))), b""]
+        outputs = vocabulary.ids(own)
+        rare = [(w, k) for w, k in zip(own, outputs) if w not in vocabulary.own]
+        want = model(outputs) + sum(math.log10((seen[w] + lm.SMOOTH) / mass[k]) for w, k in rare)
+        assert abs(got[i] - want) < 1e-4 * len(own) + 1e-3
+
+
+def test_context_tells_words_of_one_class_apart(spark):
+    """Each word is followed by its own partner; all end alike, so they were one class with their plain shares in it."""
+    rng = np.random.default_rng(7)
+    n = 300
+    texts = []
+    for _ in range(1_500):
+        picked = rng.integers(0, n, 40)
+        texts.append(" ".join(f"a{k % 6}{k}st b{k % 6}{k}st" for k in picked))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    got = lm.score(docs).where("held_out").collect()
+    tokens = sum(r["n_tokens"] for r in got)
+    gain = (sum(r["score"] for r in got) - sum(r["base_score"] for r in got)) / tokens
+    assert len(got) > 80 and gain > 0.3 + 0.2, gain
+
+
+def test_words_and_texts_split_up_as_by_bytes():
+    import pyarrow as pa
+
+    texts = [None, "", " ", "A\x1cB\x0bc\x0c D\u2003É\x85ß \u3000", "\t x\r\ny ", "a" * 70]
+    flat, n = lm.split_up(pa.array(texts))
+    want = [(t or "").encode().lower().split() for t in texts]
+    assert flat.to_pylist() == sum(want, []) and list(n) == list(map(len, want))
+
+
 def test_scores_beyond_single_precision():
     q = np.full(8, 1 / 8)
     r, c, v, b = lm.LogBilinear.start(q)
