@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assetlake.llm.common import Kept, held_out, learns
+from assetlake.llm.common import held_out, learns
 from assetlake.session import cut_lineage
 
 FOLDS = 10
@@ -27,11 +28,13 @@ WORDS, CLASSES = 128, 127
 WIDTH, CONTEXT = 16, 4
 ROUNDS = 2
 NOISE, BATCH, RATE, FLOOR = 64, 2_048, 0.15, 1e-6
-#: Tokens of one matrix product, tokens whose inner outputs are scored together, tokens of one shuffled run of training,
-#: and the range in which exponentials of single precision need no shift.
-BLOCK, SPAN, RUN, LARGEST, SMALLEST = 1_024, 1 << 17, 1 << 20, 80.0, 1e-30
-#: Bytes of text split up at once, words whose outputs are kept, and numbers of a model in one row of the average.
-CHUNK, ROOM, PIECE = 1 << 23, 300_000, 1 << 12
+#: Scores of one matrix product (a processor's cache holds them), tokens whose inner outputs are scored together, tokens of
+#: one shuffled run of training, and the range in which exponentials of single precision need no shift.
+BLOCK, SPAN, RUN, LARGEST, SMALLEST = 1 << 18, 1 << 17, 1 << 20, 80.0, 1e-30
+#: Bytes of text split up at once, and numbers of a model in one row of the average.
+CHUNK, PIECE = 1 << 23, 1 << 12
+#: Bytes of counted words in a partition, with PLACE for each, up to which they are joined by a hash table, not by sorting.
+TABLE, PLACE = 1 << 26, 100
 END = b""
 
 
@@ -71,6 +74,38 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+@cache
+def crc_table() -> np.ndarray:
+    """The crc32 of all texts of two bytes (at 256 times the first plus the second), then of those of one byte."""
+    two, one = (zlib.crc32(i.to_bytes(2)) for i in range(1 << 16)), (zlib.crc32(i.to_bytes(1)) for i in range(1 << 8))
+    return np.array([*two, *one], np.int64)
+
+
+def end_crcs(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The crc32 of the first two and of the last two bytes of words of at least one byte."""
+    bounds = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    data, start, stop = np.frombuffer(words.buffers()[2], np.uint8), bounds[:-1], bounds[1:]
+
+    def crc(at: np.ndarray) -> np.ndarray:
+        one, two = data[at].astype(np.intp), data[np.minimum(at + 1, stop - 1)]
+        return crc_table()[np.where(stop - start == 1, (1 << 16) + one, (one << 8) + two)]
+
+    return crc(start), crc(np.maximum(stop - 2, start))
+
+
+class Space:
+    """Arrays by name that are used again: to get a new one from the system costs more than the work done in it."""
+
+    def __init__(self):
+        self.kept = {}
+
+    def __call__(self, name: str, shape: tuple[int, ...], dtype: type) -> np.ndarray:
+        size = math.prod(shape)
+        if name not in self.kept or len(self.kept[name]) < size:
+            self.kept[name] = np.empty(size, dtype)
+        return self.kept[name][:size].reshape(shape)
+
+
 class Levels:
     """Outputs in two levels: the first ``first`` are told apart at once; the others lie in groups, one after the other,
     each group below one of the first, its parent."""
@@ -78,7 +113,8 @@ class Levels:
     def __init__(self, first: int, parents: np.ndarray, sizes: np.ndarray):
         self.first = first
         self.starts = first + np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
-        self.group = np.repeat(np.arange(len(sizes)), sizes)
+        groups = np.arange(len(sizes), dtype=np.uint16 if len(sizes) <= 1 << 16 else np.uint32)
+        self.group = np.repeat(groups, sizes)  # 16 bits are sorted by counting
         self.parent = np.concatenate((np.arange(first), np.repeat(parents, sizes))).astype(np.int64)
 
     @property
@@ -118,14 +154,19 @@ class Vocabulary:
         #: The first output of words that are not known one by one; those of groups lie between, but no word has them.
         self.rare = first + len(members) if parts else first - CLASSES
         self.own = {END: 0} | {w: i + 1 for i, w in enumerate(words)} | {w: first + i for i, w in enumerate(members)}
-        part = lambda w: zlib.crc32(w[-2:]) % CLASSES * heads + zlib.crc32(w[:2]) % heads
-        self.output = Kept(lambda w: self.own[w] if w in self.own else self.rare + part(w), ROOM)
+        self.heads, self.listed = heads, pa.array(list(self.own), pa.binary())
 
     def is_rare(self, ids: np.ndarray) -> np.ndarray:
         return (ids >= self.rare) & ((ids < self.levels.first) | (self.rare >= self.levels.first))
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.output.__getitem__, words), self.levels.dtype, len(words))
+    def ids(self, words: list[bytes] | pa.Array) -> np.ndarray:
+        words = pa.array(words, pa.binary())
+        at = pc.index_in(words, value_set=self.listed).fill_null(-1).to_numpy(zero_copy_only=False)
+        ids, other = np.fromiter(self.own.values(), np.int64, len(self.own))[at], at < 0
+        if other.any():
+            first, last = end_crcs(words.filter(pa.array(other)))
+            ids[other] = self.rare + last % CLASSES * self.heads + first % self.heads
+        return ids.astype(self.levels.dtype)
 
     def weights(self, often: dict[bytes, int], mass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Per output its smoothed count, and its share: among the first ones, or of its group."""
@@ -162,21 +203,23 @@ class LogBilinear:
     def texts_scorer(self):
         """A function of the outputs of texts one after the other and the texts' lengths, each at least 1, that gives
         their log10 probabilities, normalised over the first outputs and within each group."""
-        size, levels = len(self.b), self.levels
+        size, levels, space = len(self.b), self.levels, Space()
         # The bias is one more coordinate, so a block's scores are one matrix product.
         around = [np.hstack((c * self.r, np.full((size, 1), i == 0))).astype(np.float32) for i, c in enumerate(self.c)]
         v = np.vstack((self.v.T, self.b)).astype(np.float32)
+        longest, highest = math.sqrt(float(np.square(self.v, dtype=np.float64).sum(axis=1).max())), float(self.b.max())
+        ones = np.ones(size, np.float32)
 
-        def logs(hidden: np.ndarray, target: np.ndarray, start: int, stop: int) -> np.ndarray:
+        def logs(hidden: np.ndarray, target: np.ndarray, start: int, stop: int, small: bool) -> np.ndarray:
             """Natural logarithms of the probabilities of ``target`` among the outputs from ``start`` to ``stop``."""
-            scores = hidden @ v[:, start:stop]
+            scores = np.matmul(hidden, v[:, start:stop], out=space("scores", (len(target), stop - start), np.float32))
             reached = scores[np.arange(len(target)), target - start]
-            if scores.max() < LARGEST and (sums := np.exp(scores) @ np.ones(stop - start, np.float32)).min() > SMALLEST:
-                norm = np.log(sums)
-            else:  # beyond single precision: each row from its largest score
-                top = scores.max(axis=1)
-                norm = np.log(np.exp(scores - top[:, None]).sum(axis=1)) + top
-            return reached - norm
+            if small or scores.max() < LARGEST:
+                if (sums := np.exp(scores, out=scores) @ ones[: stop - start]).min() > SMALLEST:
+                    return reached - np.log(sums)
+                scores = hidden @ v[:, start:stop]
+            top = scores.max(axis=1)  # beyond single precision: each row from its largest score
+            return reached - np.log(np.exp(scores - top[:, None]).sum(axis=1)) - top
 
         def log10(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
             place = np.arange(len(ids)) + CONTEXT * np.repeat(np.arange(1, len(lengths) + 1), lengths)
@@ -186,14 +229,20 @@ class LogBilinear:
             for at in range(0, len(ids), SPAN):
                 here = ids[at : at + SPAN].astype(np.intp)
                 before, out = place[at : at + SPAN] - 1, total[at : at + SPAN]
-                hidden = sum(a.take(padded[before - i], axis=0) for i, a in enumerate(around))
-                top = levels.parent[here]
-                for k in range(0, len(here), BLOCK):
-                    out[k : k + BLOCK] = logs(hidden[k : k + BLOCK], top[k : k + BLOCK], 0, levels.first)
+                hidden, more = (space(name, (len(here), WIDTH + 1), np.float32) for name in ("hidden", "more"))
+                around[0].take(padded[before], axis=0, out=hidden, mode="clip")
+                for i in range(1, CONTEXT):
+                    np.add(hidden, around[i].take(padded[before - i], axis=0, out=more, mode="clip"), out=hidden)
+                # No score is beyond the product of the longest vectors and the highest bias.
+                small = math.sqrt(float(np.einsum("ij,ij->i", hidden, hidden).max())) * longest + highest < LARGEST
+                top, step = levels.parent[here], max(1, BLOCK // levels.first)
+                for k in range(0, len(here), step):
+                    out[k : k + step] = logs(hidden[k : k + step], top[k : k + step], 0, levels.first, small)
                 for start, stop, rows in levels.inner(here, np.arange(len(here))):
-                    for k in range(0, len(rows), BLOCK):
-                        some = rows[k : k + BLOCK]
-                        out[some] += logs(hidden[some], here[some], start, stop)
+                    step = max(1, BLOCK // (stop - start))
+                    for k in range(0, len(rows), step):
+                        some = rows[k : k + step]
+                        out[some] += logs(hidden.take(some, axis=0), here[some], start, stop, small)
             return np.add.reduceat(total, np.cumsum(lengths) - lengths) / math.log(10)
 
         return log10
@@ -208,54 +257,80 @@ class LogBilinear:
         self.r, self.c, self.v, self.b = params = [p.astype(np.float32) for p in (self.r, self.c, self.v, self.b)]
         squares = [np.full(p.shape, FLOOR, np.float32) for p in params]
         log_noise = np.log(NOISE * q).astype(np.float32)
-        met, local = np.zeros(len(self.r), bool), np.zeros(len(self.r), np.uint16)
+        met, local = np.zeros(len(self.r), bool), np.zeros(len(self.r), np.intp)
+        space = Space()
         for ids in batches:
             padded, n = np.concatenate((np.zeros(CONTEXT, ids.dtype), ids)), n + len(ids)
+            # The words before each token, nearest first, as one item that is fetched at once.
+            before = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, CONTEXT)[: len(ids), ::-1])
+            before = before.view(np.dtype((np.void, CONTEXT * ids.itemsize))).ravel()
             order, top = rng.permutation(len(ids)), levels.parent[ids]
             parts = [(0, levels.first, order), *levels.inner(ids, order)]
             steps = [(start, stop, places[at : at + BATCH]) for start, stop, places in parts for at in range(0, len(places), BATCH)]
             for k in rng.permutation(len(steps)):
                 start, stop, take = steps[k]
-                context = np.stack([padded[take + (CONTEXT - 1 - i)] for i in range(CONTEXT)], axis=1)
+                context = before.take(take).view(ids.dtype).reshape(-1, CONTEXT)
                 met[context] = True
                 rows = np.flatnonzero(met)  # at most BATCH * CONTEXT
                 met[rows] = False
                 local[rows] = np.arange(len(rows))
                 cumulative = np.cumsum(q[start:stop])
                 noise = np.minimum(np.searchsorted(cumulative, rng.random(NOISE) * cumulative[-1]), stop - start - 1)
-                target = ((ids if start else top)[take] - start).astype(np.uint16)
-                here = (rows, slice(None), slice(start, stop), slice(start, stop))
-                part = LogBilinear([p[w] for p, w in zip(params, here)])
-                grads = part.gradients(local[context], target, noise, log_noise[start:stop])
-                for p, s, w, g in zip(params, squares, here, grads):
-                    g = g * np.float32(len(take) / BATCH)  # a step of few tokens moves the model less
-                    s[w] += g * g
-                    p[w] += np.float32(RATE) * g / np.sqrt(s[w])
+                target = (ids if start else top)[take].astype(np.intp) - start
+                part = LogBilinear([self.r.take(rows, axis=0), self.c, self.v[start:stop], self.b[start:stop]], levels)
+                grads = part.gradients(local[context], target, noise, log_noise[start:stop], space)
+                for p, s, w, old, g in zip(params, squares, (rows, ..., slice(start, stop), slice(start, stop)), part.params(), grads):
+                    g *= np.float32(len(take) / BATCH)  # a step of few tokens moves the model less
+                    square = s.take(rows, axis=0) if w is rows else s[w]
+                    square += g * g
+                    if w is rows:
+                        s[w] = square
+                    g *= np.float32(RATE)
+                    g /= np.sqrt(square)
+                    p[w] = old + g
         return n
 
-    def gradients(self, context, target, noise, log_noise):
-        predicted = self.predicted(context)
-        vt, vn = self.v.take(target, axis=0), self.v[noise]
-        data = 1 / (1 + np.exp((predicted * vt).sum(axis=1) + self.b[target] - log_noise[target]))
-        false = -1 / (1 + np.exp(-(predicted @ vn.T + (self.b[noise] - log_noise[noise]))))
-        to_predicted = data[:, None] * vt + false @ vn
-
-        def by_output(rows, values, size):
-            """The sum of the values of each of ``size`` outputs."""
-            order = np.argsort(rows, kind="stable")
-            ordered = rows[order]
-            first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-            out = np.zeros((size, *values.shape[1:]), values.dtype)
-            out[ordered[first]] = np.add.reduceat(values.take(order, axis=0), first, axis=0)
+    def params(self) -> list[np.ndarray]:
+        return [self.r, self.c, self.v, self.b]
+
+    def gradients(self, context, target, noise, log_noise, space=None):
+        """The objective's mean gradients by ``params``, for contexts (a row of CONTEXT words each) and their targets."""
+        space, (size, width), n, dtype = space or Space(), self.r.shape, len(target), self.r.dtype
+        near = self.r.take(context, axis=0, out=space("near", (n, CONTEXT, width), dtype), mode="clip")
+        flat = near.reshape(n, CONTEXT * width)
+        predicted = np.matmul(flat, np.vstack([np.diag(c) for c in self.c]), out=space("predicted", (n, width), dtype))
+        noise, times = np.unique(noise, return_counts=True)  # a noise word drawn several times is one column
+        times = times.astype(dtype)[:, None]
+        vt, vn, shift = self.v.take(target, axis=0, out=space("vt", (n, width), dtype), mode="clip"), self.v[noise], self.b - log_noise
+        data = 1 / (1 + np.exp(np.einsum("ij,ij->i", predicted, vt) + shift[target]))
+        false = np.matmul(predicted, -vn.T, out=space("false", (n, len(noise)), dtype))
+        false -= shift[noise]
+        np.exp(false, out=false)
+        false += 1
+        np.divide(-1, false, out=false)
+        to_predicted = np.matmul(false, times * vn, out=space("to_predicted", (n, width), dtype))
+        vt *= data[:, None]
+        to_predicted += vt
+
+        def by_output(rows, lines, size):
+            """The sum of the values of each of ``size`` outputs, from a line of values per coordinate."""
+            out = np.empty((size, width), dtype)
+            for k, line in enumerate(lines):
+                out[:, k] = np.bincount(rows, line, size)
             return out
 
-        both = np.concatenate((target, noise.astype(target.dtype)))
-        dv = by_output(both, np.concatenate((data[:, None] * predicted, false.T @ predicted)), len(self.b))
-        db = by_output(both, np.concatenate((data, false.sum(axis=0))), len(self.b))
-        near = [by_output(context[:, i], to_predicted, len(self.r)) for i in range(CONTEXT)]
-        dr = sum(c * s for c, s in zip(self.c, near))
-        dc = np.stack([(self.r * s).sum(axis=0) for s in near])
-        return [g / len(target) for g in (dr, dc, dv, db)]
+        each = space("each", (width, n), float)
+        dv = by_output(target, np.multiply(predicted.T, data, out=each), len(self.b))
+        db = np.bincount(target, data, len(self.b)).astype(dtype)
+        dv[noise] += times * (false.T @ predicted)
+        db[noise] += times[:, 0] * (np.ones(n, dtype) @ false)
+        each[:] = to_predicted.T
+        spread = space("spread", (CONTEXT, n), float)
+        dr = by_output(context.T.ravel(), (np.multiply(c[:, None], line, out=spread).ravel() for c, line in zip(self.c.T, each)), size)
+        dc = np.stack([np.einsum("ij,ij->j", near[:, i], to_predicted) for i in range(CONTEXT)])
+        for g in (dr, dc, dv, db):
+            g /= n
+        return [dr, dc, dv, db]
 
 
 def stored_ids(column: pa.Array, dtype: type) -> tuple[np.ndarray, np.ndarray]:
@@ -297,7 +372,7 @@ def train(encoded: DataFrame, levels: Levels, q: np.ndarray, rounds: int) -> lis
                     yield np.concatenate(some)
 
             n = model.train(joined(), q, seed=17)
-            flat = np.concatenate([p.ravel() for p in (model.r, model.c, model.v, model.b)])
+            flat = np.concatenate([p.ravel() for p in model.params()])
             if n:
                 pieces = [flat[at : at + PIECE].tobytes() for at in range(0, len(flat), PIECE)]
                 columns = [pa.array(range(len(pieces)), pa.int32()), pa.array(pieces, pa.binary()), pa.array([n] * len(pieces), pa.int64())]
@@ -338,7 +413,7 @@ def encode(rows: DataFrame, vocabulary: tuple, often: dict[bytes, int], held: np
             flat, n = split_up(batch.column(1))
             coded = flat.dictionary_encode()
             words, code = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
-            outputs = vocabulary.ids(words.to_pylist())
+            outputs = vocabulary.ids(words)
             # Each text's words and its end, output 0.
             lengths = n + 1
             stops = np.cumsum(lengths)
@@ -415,7 +490,7 @@ def score(
     part = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("round")), F.lit(rounds)).cast("int")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), held_out(id_col, folds).alias("held_out"), part.alias("part"))
     counts = cut_lineage(count_words(docs.where(learns(id_col, folds)).select(F.col(text_col).alias("text"))), "lm-counts")
-    total, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
+    total, distinct, held_bytes = counts.agg(F.sum("n"), F.count(F.lit(1)), F.sum(F.length("word") + PLACE)).first()
     total = total or 0
     often = {bytes(r["word"]): r["n"] for r in counts.where(F.col("n") > total / direct).collect()}  # fewer than ``direct``
     ends = counts.where(F.length("word") == 0).first()
@@ -434,6 +509,8 @@ def score(
     params = train(stored.where("not held_out"), vocabulary.levels, q, rounds)
     log_base = math.log10(total + SMOOTH * (distinct + 1))
     rare = stored.select("row", F.explode(F.arrays_zip("words", "times")).alias("t")).select("row", F.col("t.words").alias("word"), F.col("t.times").alias("m"))
+    if (held_bytes or 0) <= TABLE * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        others = others.hint("shuffle_hash")
     met = rare.join(others, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     added = met.groupBy("row").agg(
         F.sum(F.col("m") * F.log10(F.col("n") + SMOOTH)).alias("rare_logs"), F.sum(F.when(F.col("n") > 0, F.col("m")).otherwise(0)).alias("more")

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import SPACE, lower, simhash, split, word_counts
 
@@ -152,6 +153,34 @@ def test_outputs_in_two_levels(heads):
     assert np.allclose(together, [log10(t) for t in texts], rtol=1e-4)
 
 
+@pytest.mark.parametrize("heads", [1, 3])
+def test_outputs_of_words_of_any_length(heads):
+    vocabulary = lm.Vocabulary([b"t"], [b"member", b"m2"], heads)
+    words = [b"", b"a", b"t", "é".encode(), b"ab", b"member", b"abc", b"m2", b"x" * 99, bytes([0, 255]), b"\xff"]
+    part = lambda w: zlib.crc32(w[-2:]) % lm.CLASSES * heads + zlib.crc32(w[:2]) % heads
+    want = [vocabulary.own[w] if w in vocabulary.own else vocabulary.rare + part(w) for w in words]
+    kept = pa.array([b"before", *words], pa.binary()).slice(1)
+    assert list(vocabulary.ids(words)) == list(vocabulary.ids(kept)) == want and len(vocabulary.ids([])) == 0
+
+
+def test_a_noise_word_drawn_often_is_one_column(monkeypatch):
+    # Of three outputs all draws meet at most three, so no step may take more than three columns of noise through exp.
+    rng = np.random.default_rng(3)
+    model = lm.LogBilinear(lm.LogBilinear.start(np.full(3, 1 / 3)))
+    context, target, noise = rng.integers(0, 3, (7, lm.CONTEXT)), rng.integers(0, 3, 7), rng.integers(0, 3, lm.NOISE)
+    made, exp = [], np.exp
+    monkeypatch.setattr(np, "exp", lambda x, **kw: made.append(x.size) or exp(x, **kw))
+    model.gradients(context, target, noise, np.zeros(3))
+    assert max(made) <= 7 * 3
+
+
+def test_rare_words_are_joined_by_sorting_where_a_table_is_too_large(docs, monkeypatch):
+    plan = lambda: lm.score(docs, direct=50, rounds=1)._jdf.queryExecution().toString()
+    assert "ShuffledHashJoin" in plan()
+    monkeypatch.setattr(lm, "TABLE", 1)
+    assert "ShuffledHashJoin" not in plan()
+
+
 def test_outputs_grow_with_the_vocabulary():
     sizes = []
     for n in (0, 1_000, 16_000):
