@@ -28,9 +28,9 @@ WORDS, CLASSES = 128, 127
 WIDTH, CONTEXT = 16, 4
 ROUNDS = 2
 NOISE, BATCH, RATE, FLOOR = 64, 2_048, 0.15, 1e-6
-#: Scores of one matrix product (a processor's cache holds them), tokens whose inner outputs are scored together, tokens of
+#: Scores of one matrix product, tokens whose inner outputs are scored together, tokens of
 #: one shuffled run of training, and the range in which exponentials of single precision need no shift.
-BLOCK, SPAN, RUN, LARGEST, SMALLEST = 1 << 18, 1 << 17, 1 << 20, 80.0, 1e-30
+BLOCK, SPAN, RUN, LARGEST, SMALLEST = 1 << 19, 1 << 17, 1 << 20, 80.0, 1e-30
 #: Bytes of text split up at once, and numbers of a model in one row of the average.
 CHUNK, PIECE = 1 << 23, 1 << 12
 #: Bytes of counted words in a partition, with PLACE for each, up to which they are joined by a hash table, not by sorting.
@@ -287,7 +287,8 @@ class LogBilinear:
                         s[w] = square
                     g *= np.float32(RATE)
                     g /= np.sqrt(square)
-                    p[w] = old + g
+                    old += g
+                    p[w] = old
         return n
 
     def params(self) -> list[np.ndarray]:
